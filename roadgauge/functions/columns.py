@@ -156,6 +156,12 @@ def percentage(part, whole) -> Column:
     return F.try_divide(_col(part), _col(whole)) * 100
 
 
+def settled_round(value, digits: int = 2) -> Column:
+    """Round a mean of doubles. Their sum differs in its last bits with the task order, which
+    would decide values halfway between two results; so those bits are dropped first."""
+    return F.round(F.round(_col(value), 9), digits)
+
+
 def as_decimal(value, precision: int = 5, scale: int = 2) -> Column:
     """Decimal, or null where the value does not fit."""
     return _col(value).try_cast(f"decimal({precision},{scale})")

@@ -170,7 +170,7 @@ def hourly_utilization(gps: DataFrame, day: str | None = None) -> DataFrame:
     )
     return per_vehicle.groupBy("hour").agg(
         F.count("vehicle_id").alias("active_vehicles"),
-        F.round(F.try_divide(F.sum("speed"), F.sum("speeds")), 2).alias("avg_speed"),
+        C.settled_round(F.try_divide(F.sum("speed"), F.sum("speeds"))).alias("avg_speed"),
         F.sum("moving").alias("moving_count"),
     ).orderBy("hour")
 

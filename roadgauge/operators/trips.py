@@ -212,8 +212,11 @@ def headline_kpis(extended: DataFrame, deliveries: DataFrame) -> DataFrame:
 
 
 def vehicle_hours(gps: DataFrame) -> DataFrame:
-    """Per vehicle and hour: pings, mean speed, moving and idle pings, efficiency score."""
-    return gps.groupBy("vehicle_id", F.date_trunc("hour", "event_timestamp").alias("window_start")).agg(
+    """Per vehicle and hour window: pings, mean speed, moving and idle pings, efficiency score.
+
+    Same in batch and, with a watermark set, in a stream.
+    """
+    return gps.groupBy(F.window("event_timestamp", "1 hour"), "vehicle_id").agg(
         F.count(F.lit(1)).alias("gps_events"),
         F.avg("speed_mph").alias("avg_speed"),
         F.count_if(C.is_moving()).alias("moving_time_events"),
@@ -222,11 +225,19 @@ def vehicle_hours(gps: DataFrame) -> DataFrame:
 
 
 def vehicle_hour_deliveries(deliveries: DataFrame) -> DataFrame:
+    """Per vehicle and hour window: deliveries made and their mean delay."""
     return deliveries.where(C.has_status("DELIVERED")).groupBy(
-        "vehicle_id", F.date_trunc("hour", "event_timestamp").alias("window_start"),
+        F.window("event_timestamp", "1 hour"), "vehicle_id",
     ).agg(F.count(F.lit(1)).alias("deliveries"), F.avg("delay_minutes").alias("avg_delay_minutes"))
 
 
 def route_hours(gps: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Hourly driving beside hourly deliveries of the same vehicle; aggregates first, joins after."""
-    return vehicle_hours(gps).join(vehicle_hour_deliveries(deliveries), ["vehicle_id", "window_start"])
+    return vehicle_hours(gps).join(vehicle_hour_deliveries(deliveries), ["window", "vehicle_id"])
+
+
+def flatten_window(df: DataFrame) -> DataFrame:
+    """Replace the window struct by window_start and window_end."""
+    return df.withColumns({
+        "window_start": F.col("window.start"), "window_end": F.col("window.end"),
+    }).drop("window")

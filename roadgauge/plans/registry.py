@@ -21,7 +21,7 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double") * 1e6) / 1e6
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, STAMP)
         elif isinstance(field.dataType, T.DateType):
