@@ -152,10 +152,15 @@ def is_delay_alert() -> Column:
 
 
 def percentage(part, whole) -> Column:
-    """100 * part / whole, null for an empty whole."""
+    """part / whole * 100 in doubles, in the order the stored tables use; null for an empty whole."""
     return F.try_divide(_col(part), _col(whole)) * 100
 
 
+def share(part, whole) -> Column:
+    """100 * part / whole with one rounding, for shares shown with two decimals."""
+    return F.try_divide(_col(part) * 100.0, _col(whole))
+
+
 def settled_round(value, digits: int = 2) -> Column:
     """Round a mean of doubles. Their sum differs in its last bits with the task order, which
     would decide values halfway between two results; so those bits are dropped first."""

@@ -76,8 +76,8 @@ def delivery_performance(deliveries: DataFrame, dates: DataFrame, as_of, days: i
     return bounds.join(recent, "date_key").select(
         "full_date", "day_name", "total_deliveries", "successful_deliveries", "on_time_deliveries",
         "avg_delay_minutes",
-        F.round(C.percentage("on_time_deliveries", "total_deliveries"), 2).alias("on_time_pct"),
-        F.round(C.percentage("successful_deliveries", "total_deliveries"), 2).alias("success_rate"),
+        F.round(C.share("on_time_deliveries", "total_deliveries"), 2).alias("on_time_pct"),
+        F.round(C.share("successful_deliveries", "total_deliveries"), 2).alias("success_rate"),
     ).orderBy("full_date")
 
 
@@ -87,10 +87,10 @@ def driver_leaderboard(deliveries: DataFrame, drivers: DataFrame, dates: DataFra
     per_driver = deliveries.join(recent, "date_key", "left_semi").groupBy("driver_id").agg(
         F.count(F.lit(1)).alias("total_deliveries"),
         F.count_if("is_on_time").alias("on_time_deliveries"),
-        F.round(F.avg("delay_minutes"), 2).alias("avg_delay"),
+        C.settled_round(F.avg("delay_minutes")).alias("avg_delay"),
     )
     return per_driver.join(drivers.select("driver_id", "driver_name"), "driver_id").withColumn(
-        "on_time_pct", F.round(C.percentage("on_time_deliveries", "total_deliveries"), 2),
+        "on_time_pct", F.round(C.share("on_time_deliveries", "total_deliveries"), 2),
     ).orderBy(F.desc_nulls_last("on_time_pct"), F.desc_nulls_last("total_deliveries"), F.asc("driver_id"))
 
 

@@ -156,8 +156,8 @@ def daily_delivery_performance(deliveries: DataFrame, since: str | None = None)
     return rows.groupBy("event_date").agg(
         _rows().alias("total_deliveries"),
         F.count_if("is_on_time").alias("on_time"),
-        F.round(F.avg("delay_minutes"), 2).alias("avg_delay"),
-        F.round(100.0 * F.count_if("is_on_time") / _rows(), 2).alias("on_time_pct"),
+        C.settled_round(F.avg("delay_minutes")).alias("avg_delay"),
+        F.round(C.share(F.count_if("is_on_time"), _rows()), 2).alias("on_time_pct"),
     ).orderBy("event_date")
 
 

@@ -16,6 +16,11 @@ from roadgauge.sources import files, sample
 AS_OF = "2024-01-28"
 
 
+def half(expr: str, name: str) -> str:
+    """SQL for two decimals, halves rounded up."""
+    return f"cast(round(cast(round({expr}, 9) as decimal(38, 9)), 2) as double) as {name}"
+
+
 def gps_clean(spark, folder):
     return quality.clean_gps(sample.gps(spark, folder))
 
@@ -171,8 +176,8 @@ def t3(spark, folder):
 
 
 A12_SQL = f"""select event_date, count(*) as total_deliveries, count(*) filter (is_on_time) as on_time,
-    {rd('round(avg(delay_minutes), 2)', 'avg_delay')},
-    {rd('round(100.0e0 * count(*) filter (is_on_time) / count(*), 2)', 'on_time_pct')}
+    {half('avg(delay_minutes)', 'avg_delay')},
+    {half('100.0e0 * count(*) filter (is_on_time) / count(*)', 'on_time_pct')}
     from del_clean where event_date >= '2024-01-01' group by event_date"""
 
 
@@ -188,7 +193,7 @@ def t1(spark, folder):
 
 @query("a13_hourly_utilization", check(
     f"""select {at("date_trunc('hour', event_timestamp)", 'hour')}, count(distinct vehicle_id) as active_vehicles,
-        {rd('round(round(avg(speed_mph), 9), 2)', 'avg_speed')}, count(*) filter (engine_status = 'ON') as moving_count
+        {half('avg(speed_mph)', 'avg_speed')}, count(*) filter (engine_status = 'ON') as moving_count
         from gps_clean group by date_trunc('hour', event_timestamp)""", "gps_clean"))
 def a13(spark, folder):
     return rollups.hourly_utilization(gps_clean(spark, folder).withColumn("is_moving", C.is_moving()))
@@ -200,8 +205,8 @@ def a13(spark, folder):
     f"""select strftime(full_date, '%Y-%m-%d') as full_date, day_name, count(*) as total_deliveries,
         count(*) filter (is_successful) as successful_deliveries, count(*) filter (is_on_time) as on_time_deliveries,
         {rd('avg(delay_minutes)', 'avg_delay_minutes')},
-        {rd('round(count(*) filter (is_on_time) * 100.0e0 / count(*), 2)', 'on_time_pct')},
-        {rd('round(count(*) filter (is_successful) * 100.0e0 / count(*), 2)', 'success_rate')}
+        {half('count(*) filter (is_on_time) * 100.0e0 / count(*)', 'on_time_pct')},
+        {half('count(*) filter (is_successful) * 100.0e0 / count(*)', 'success_rate')}
         from del_clean join dates using (date_key) where full_date >= date '{AS_OF}' - 30
         group by full_date, day_name""", "del_clean", "dates"))
 def a14(spark, folder):
@@ -209,8 +214,8 @@ def a14(spark, folder):
 
 
 LEADERS = f"""select driver_id, driver_name, count(*) as total_deliveries,
-    count(*) filter (is_on_time) as on_time_deliveries, {rd('round(avg(delay_minutes), 2)', 'avg_delay')},
-    {rd('round(count(*) filter (is_on_time) * 100.0e0 / count(*), 2)', 'on_time_pct')}
+    count(*) filter (is_on_time) as on_time_deliveries, {half('avg(delay_minutes)', 'avg_delay')},
+    {half('count(*) filter (is_on_time) * 100.0e0 / count(*)', 'on_time_pct')}
     from drivers join del_clean using (driver_id) join dates using (date_key)
     where full_date >= date '{AS_OF}' - 7 group by driver_id, driver_name"""
 

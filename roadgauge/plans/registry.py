@@ -21,7 +21,8 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double") * 1e6) / 1e6
+            # two steps: sums of doubles differ in their last bits, which must not decide a half
+            c = F.round(F.round(c.cast("double"), 9), 6)
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, STAMP)
         elif isinstance(field.dataType, T.DateType):
@@ -51,7 +52,7 @@ def query(name: str, sql: str | None = None):
 # --- pieces of check SQL -----------------------------------------------------------------
 
 def rd(expr: str, name: str | None = None) -> str:
-    return f"round({expr}, 6) as {name or expr}"
+    return f"cast(round(cast(round({expr}, 9) as decimal(38, 9)), 6) as double) as {name or expr}"
 
 
 def n(expr: str, name: str | None = None) -> str:
@@ -139,8 +140,8 @@ _CTE: dict[str, tuple[str, tuple[str, ...]]] = {
         select date_key, total_gps_events, active_vehicles, avg_speed, avg_fuel_level, total_deliveries,
             successful_deliveries, on_time_deliveries, avg_delay_minutes, active_drivers, delivery_vehicles,
             strftime(strptime(cast(date_key as varchar), '%Y%m%d'), '%Y-%m-%d') as summary_date,
-            round(on_time_deliveries * 100.0e0 / total_deliveries, 2) as on_time_delivery_pct,
-            round(successful_deliveries * 100.0e0 / total_deliveries, 2) as delivery_success_rate
+            round(on_time_deliveries / total_deliveries::double * 100, 2) as on_time_delivery_pct,
+            round(successful_deliveries / total_deliveries::double * 100, 2) as delivery_success_rate
         from daily_gps full join daily_del using (date_key)""", ("daily_gps", "daily_del")),
 }
 
