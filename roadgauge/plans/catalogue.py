@@ -1,4 +1,4 @@
 """All registered queries. Importing the modules registers them."""
 
-from roadgauge.plans import queries_records, queries_summaries  # noqa: F401
+from roadgauge.plans import queries_records, queries_summaries, queries_streams  # noqa: F401
 from roadgauge.plans.registry import CHECK_SQL, QUERIES  # noqa: F401
