@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgauge.functions import columns as C
-from roadgauge.plans.registry import at, check, define, n, query, rd
+from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.session import scratch_dir
 from roadgauge.sources import sample
 from roadgauge.streaming import counters, job, sinks, windows
@@ -72,7 +72,7 @@ def x3(spark, folder):
     near = windows.fleet_metrics(rows).select(
         "window_start", F.col("active_vehicles").alias("near_vehicles"), F.col("median_speed").alias("near_median"))
     exact = windows.fleet_metrics_exact(rows).join(near, "window_start")
-    close = F.abs(F.col("near_vehicles") - F.col("active_vehicles")) <= F.greatest(F.col("active_vehicles") * 0.15, F.lit(1.0))
+    close = close_count("near_vehicles", "active_vehicles")
     return exact.withColumn(
         "approx_within_bound", close & F.col("near_median").eqNullSafe(F.col("median_speed")),
     ).drop("near_vehicles", "near_median")
@@ -87,7 +87,7 @@ def x4(spark, folder):
     near = windows.delivery_kpis(rows).select(
         "window_start", F.col("active_drivers").alias("near_drivers"), F.col("p95_delay").alias("near_p95"))
     exact = windows.delivery_kpis_exact(rows).join(near, "window_start")
-    close = F.abs(F.col("near_drivers") - F.col("active_drivers")) <= F.greatest(F.col("active_drivers") * 0.15, F.lit(1.0))
+    close = close_count("near_drivers", "active_drivers")
     return exact.withColumn(
         "approx_within_bound", close & F.col("near_p95").eqNullSafe(F.col("p95_delay")),
     ).drop("near_drivers", "near_p95")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadgauge.functions import columns as C
 from roadgauge.operators import dims, quality, reports, rollups, timeline, trips
 from roadgauge.plans.queries_records import landed_rollup_gps
-from roadgauge.plans.registry import at, check, define, n, query, rd
+from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.schemas import RATES
 from roadgauge.sources import files, sample
 
@@ -81,13 +81,10 @@ def a3(spark, folder):
 
 
 def within_bound(summary, rows, counts: list[str], key: str = "date_key"):
-    """Exact summary, and whether each approximate count lies within three standard errors
-    (5 percent each) or one of the exact one."""
+    """Exact summary, and whether each approximate count is as near as its sketch allows."""
     near = summary(rows).select(key, *[F.col(c).alias(f"_{c}") for c in counts])
     exact = summary(rows, exact=True)
-    tests = [
-        F.abs(F.col(c) - F.col(f"_{c}")) <= F.greatest(F.col(c) * 0.15, F.lit(1.0)) for c in counts
-    ]
+    tests = [close_count(f"_{c}", c) for c in counts]
     flag = tests[0]
     for test in tests[1:]:
         flag = flag & test
