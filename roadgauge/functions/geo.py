@@ -23,7 +23,8 @@ def _cell(value: Column, low: float, span: float, bits: int) -> Column:
         .when(value >= (guess + 1) * width + low, guess + 1)
         .otherwise(guess)
     )
-    return F.greatest(F.lit(0).cast("bigint"), F.least(F.lit(last).cast("bigint"), exact))
+    # not greatest() and least(), which would turn a null into a cell
+    return F.when(exact < 0, F.lit(0)).when(exact > last, F.lit(last)).otherwise(exact)
 
 
 def _axes(precision: int) -> tuple[int, int]:

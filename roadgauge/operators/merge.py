@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadgauge.operators import timeline
 from roadgauge.operators.quality import keep_first
+from roadgauge.session import stage
 
 HISTORY = ("effective_start", "effective_end", "is_current")
 
@@ -94,7 +95,7 @@ def scd2(
 
     A version starts at its own event time and ends where the next one starts. Rows that
     change nothing add no version. Several versions of one key in a batch chain up, and a
-    late one is put in its place. Running the same batch again changes nothing.
+    late one is put in its place among the stored versions.
     """
     columns = [c for c in source.columns if c != ts]
     tracked = tracked or [c for c in columns if c not in keys]
@@ -110,6 +111,8 @@ def scd2(
     # at one start time the source row replaces the stored one
     rest = [F.desc(c) for c in incoming.columns if c not in (*keys, "effective_start", "_source")]
     single = keep_first(incoming, [*keys, "effective_start"], [F.desc("_source"), *rest]).drop("_source")
+    # used four times below
+    single = stage(single, "versions")
     linked = timeline.with_previous(single, keys, ["effective_start"], tracked, unit=unit)
     same = F.struct(*tracked).eqNullSafe(F.struct(*[F.col(f"previous.{c}").alias(c) for c in tracked]))
     versions = linked.where(F.col("previous").isNull() | ~same).drop("previous")

@@ -21,15 +21,22 @@ def _keys(key: str | list[str]) -> list[str]:
 
 
 def _sliced(df: DataFrame, ts: str, unit: str) -> DataFrame:
-    return df.withColumn(_SLICE, F.date_trunc(unit, ts))
+    """Add the slice; a frame that kept it stays partitioned by it and is not shuffled again."""
+    return df if _SLICE in df.columns else df.withColumn(_SLICE, F.date_trunc(unit, ts))
+
+
+def _tidy(df: DataFrame, keep_slice: bool, *helpers: str) -> DataFrame:
+    return df.drop(*helpers) if keep_slice else df.drop(*helpers, _SLICE)
 
 
 def with_previous(
-    df: DataFrame, key: str | list[str], order: list[str], columns: list[str], name: str = "previous", unit: str = SLICE,
+    df: DataFrame, key: str | list[str], order: list[str], columns: list[str], name: str = "previous",
+    unit: str = SLICE, keep_slice: bool = False,
 ) -> DataFrame:
     """Add a struct of the given columns from the key's preceding row; null fields on its first.
 
-    ``order`` starts with the timestamp and must order a key's rows fully.
+    ``order`` starts with the timestamp and must order a key's rows fully. With ``keep_slice``
+    a following operator on the same key and order needs no further shuffle of the rows.
     """
     keys, fields = _keys(key), list(dict.fromkeys(order + columns))
     rows = _sliced(df, order[0], unit)
@@ -38,16 +45,13 @@ def with_previous(
     carry = last.select(
         *keys, _SLICE, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_SLICE)).alias("_carry"),
     )
-    return (
-        rows.withColumn("_here", F.lag(F.struct(*fields)).over(within))
-        .join(carry, [*keys, _SLICE], "left")
-        .withColumn(name, F.coalesce("_here", "_carry"))
-        .drop("_here", "_carry", _SLICE)
-    )
+    joined = rows.withColumn("_here", F.lag(F.struct(*fields)).over(within)).join(carry, [*keys, _SLICE], "left")
+    return _tidy(joined.withColumn(name, F.coalesce("_here", "_carry")), keep_slice, "_here", "_carry")
 
 
 def with_next(
-    df: DataFrame, key: str | list[str], order: list[str], columns: list[str], name: str = "following", unit: str = SLICE,
+    df: DataFrame, key: str | list[str], order: list[str], columns: list[str], name: str = "following",
+    unit: str = SLICE, keep_slice: bool = False,
 ) -> DataFrame:
     """Mirror of :func:`with_previous`."""
     keys, fields = _keys(key), list(dict.fromkeys(order + columns))
@@ -57,16 +61,13 @@ def with_next(
     carry = first.select(
         *keys, _SLICE, F.lead("_first").over(Window.partitionBy(*keys).orderBy(_SLICE)).alias("_carry"),
     )
-    return (
-        rows.withColumn("_here", F.lead(F.struct(*fields)).over(within))
-        .join(carry, [*keys, _SLICE], "left")
-        .withColumn(name, F.coalesce("_here", "_carry"))
-        .drop("_here", "_carry", _SLICE)
-    )
+    joined = rows.withColumn("_here", F.lead(F.struct(*fields)).over(within)).join(carry, [*keys, _SLICE], "left")
+    return _tidy(joined.withColumn(name, F.coalesce("_here", "_carry")), keep_slice, "_here", "_carry")
 
 
 def with_running_total(
     df: DataFrame, key: str | list[str], order: list[str], value: Column, name: str, unit: str = SLICE,
+    keep_slice: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` over the key's rows up to and including this one."""
     keys, rows = _keys(key), _sliced(df, order[0], unit).withColumn("_value", value)
@@ -76,16 +77,13 @@ def with_running_total(
         rows.groupBy(*keys, _SLICE).agg(F.sum("_value").alias("_sum"))
         .select(*keys, _SLICE, F.sum("_sum").over(before).alias("_carry"))
     )
-    return (
-        rows.withColumn("_here", F.sum("_value").over(upto))
-        .join(carry, [*keys, _SLICE], "left")
-        .withColumn(name, F.col("_here") + F.coalesce("_carry", F.lit(0)))
-        .drop("_here", "_carry", "_value", _SLICE)
-    )
+    joined = rows.withColumn("_here", F.sum("_value").over(upto)).join(carry, [*keys, _SLICE], "left")
+    return _tidy(joined.withColumn(name, F.col("_here") + F.coalesce("_carry", F.lit(0))), keep_slice, "_here", "_carry", "_value")
 
 
 def with_last_known(
     df: DataFrame, key: str | list[str], order: list[str], column: str, name: str, unit: str = SLICE,
+    keep_slice: bool = False,
 ) -> DataFrame:
     """Latest non-null value of a column over the key's rows up to and including this one."""
     keys, rows = _keys(key), _sliced(df, order[0], unit)
@@ -97,12 +95,8 @@ def with_last_known(
         .agg(F.max(F.when(F.col(column).isNotNull(), known)).alias("_last"))
         .select(*keys, _SLICE, F.last("_last", ignorenulls=True).over(before).alias("_carry"))
     )
-    return (
-        rows.withColumn("_here", F.last(column, ignorenulls=True).over(upto))
-        .join(carry, [*keys, _SLICE], "left")
-        .withColumn(name, F.coalesce("_here", F.col("_carry")[column]))
-        .drop("_here", "_carry", _SLICE)
-    )
+    joined = rows.withColumn("_here", F.last(column, ignorenulls=True).over(upto)).join(carry, [*keys, _SLICE], "left")
+    return _tidy(joined.withColumn(name, F.coalesce("_here", F.col("_carry")[column])), keep_slice, "_here", "_carry")
 
 
 def with_driver_as_of(pings: DataFrame, deliveries: DataFrame) -> DataFrame:

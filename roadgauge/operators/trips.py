@@ -22,11 +22,11 @@ def attempt_numbers(deliveries: DataFrame, order: list[str] | None = None) -> Da
     )
 
 
-def linked_pings(gps: DataFrame) -> DataFrame:
+def linked_pings(gps: DataFrame, keep_slice: bool = False) -> DataFrame:
     """Each ping with the vehicle's preceding one: minutes, miles and fuel in between."""
     columns = ["latitude", "longitude", "fuel_level", "engine_status", "odometer_miles"]
     was = F.col("previous")
-    return timeline.with_previous(gps, "vehicle_id", PING_ORDER, columns).withColumns({
+    return timeline.with_previous(gps, "vehicle_id", PING_ORDER, columns, keep_slice=keep_slice).withColumns({
         "gap_minutes": (F.unix_micros("event_timestamp") - F.unix_micros(was["event_timestamp"])) / 60e6,
         "gap_miles": geo.flat_miles(was["latitude"], was["longitude"], F.col("latitude"), F.col("longitude")),
         # refuelling raises the level and is not consumption
@@ -47,7 +47,7 @@ def ping_distances(gps: DataFrame) -> DataFrame:
 def with_trip_id(gps: DataFrame, rates: Rates = RATES) -> DataFrame:
     """Number each vehicle's trips. A trip starts on the first ping, after a gap longer than
     ``trip_gap_minutes``, and on the ping after the engine was OFF."""
-    linked = linked_pings(gps)
+    linked = linked_pings(gps, keep_slice=True)
     starts = (
         F.col("previous").isNull()
         | (F.col("gap_minutes") > rates.trip_gap_minutes)
@@ -92,7 +92,7 @@ def gap_sessions(gps: DataFrame, gap_minutes: int = RATES.trip_gap_minutes) -> D
 
     Batch twin of the streaming session window, whose end is the last ping plus the gap.
     """
-    linked = timeline.with_previous(gps, "vehicle_id", PING_ORDER, [])
+    linked = timeline.with_previous(gps, "vehicle_id", PING_ORDER, [], keep_slice=True)
     pause = F.unix_micros("event_timestamp") - F.unix_micros("previous.event_timestamp")
     starts = F.coalesce(pause >= gap_minutes * 60_000_000, F.lit(True))
     numbered = timeline.with_running_total(

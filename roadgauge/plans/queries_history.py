@@ -12,7 +12,7 @@ from roadgauge.plans import daily, incremental
 from roadgauge.plans.queries_records import DELIVERY, DELIVERY_COLUMNS, DELAY_SQL, ENRICHED_GPS, SIZE_SQL, bisected
 from roadgauge.plans.queries_summaries import SUMMARY, dates, del_clean, gps_clean
 from roadgauge.plans.registry import at, check, define, n, query, rd
-from roadgauge.session import scratch_dir
+from roadgauge.session import scratch_dir, stage
 from roadgauge.sinks import tables, versioned
 from roadgauge.sources import files, sample
 
@@ -165,17 +165,10 @@ def driver_feed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 
 def driver_history(spark: SparkSession, folder: str) -> DataFrame:
     first, second = driver_feed(spark, folder)
-    history = stored(spark, merge.scd2(None, first, ["driver_id"], "updated_at", TRACKED), "drivers")
+    history = stage(merge.scd2(None, first, ["driver_id"], "updated_at", TRACKED), "drivers")
     return merge.scd2(history, second, ["driver_id"], "updated_at", TRACKED)
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """The frame as a written table: merge targets are tables, not unevaluated plans."""
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 define("driver_v2", """
     select driver_id, driver_name, case when cast(substr(driver_id, 2) as int) % 5 = 0 then (home_depot + 1) % 25
         else home_depot end as home_depot from drivers
@@ -208,7 +201,7 @@ def c4(spark, folder):
 def c4_repeated(spark, folder):
     """The same batch once more adds nothing."""
     second = driver_feed(spark, folder)[1]
-    history = stored(spark, driver_history(spark, folder), "drivers")
+    history = stage(driver_history(spark, folder), "drivers")
     return merge.scd2(history, second, ["driver_id"], "updated_at", TRACKED)
 
 
@@ -234,7 +227,7 @@ def c5(spark, folder):
             and (h.effective_end is null or event_timestamp < h.effective_end)""", "deliveries", "driver_history"))
 def j10(spark, folder):
     """The key is looked up by time, then resolved to the version's depot."""
-    dim = dims.versioned_dim(stored(spark, driver_history(spark, folder), "drivers"), "driver_id", "driver_key")
+    dim = dims.versioned_dim(stage(driver_history(spark, folder), "drivers"), "driver_id", "driver_key")
     keyed = dims.lookup_key(sample.deliveries(spark, folder), dim, "driver_id", "driver_key")
     return keyed.join(dim.select("driver_key", "home_depot"), "driver_key", "left").select(*DELIVERY_COLUMNS, "home_depot")
 
@@ -273,7 +266,7 @@ def d2(spark, folder):
 
 @query("d3_dim_driver", check(f"select {HISTORY}, true as key_is_unique from driver_history", "driver_history"))
 def d3(spark, folder):
-    dim = dims.versioned_dim(stored(spark, driver_history(spark, folder), "drivers"), "driver_id", "driver_key")
+    dim = dims.versioned_dim(stage(driver_history(spark, folder), "drivers"), "driver_id", "driver_key")
     copies = dim.groupBy("driver_key").agg(F.count(F.lit(1)).alias("n"))
     return dim.join(copies, "driver_key").withColumn("key_is_unique", F.col("n") == 1).drop("n", "driver_key")
 

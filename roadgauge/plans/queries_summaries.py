@@ -11,6 +11,7 @@ from roadgauge.operators import dims, quality, reports, rollups, timeline, trips
 from roadgauge.plans.queries_records import landed_rollup_gps
 from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.schemas import RATES
+from roadgauge.session import stage
 from roadgauge.sources import files, sample
 
 AS_OF = "2024-01-28"
@@ -25,6 +26,11 @@ def gps_clean(spark, folder):
     return quality.clean_gps(sample.gps(spark, folder))
 
 
+def gps_facts(spark, folder):
+    """Cleaned pings as a written table, for operators that read them several times."""
+    return stage(gps_clean(spark, folder), "gps-facts")
+
+
 def del_clean(spark, folder):
     return quality.clean_deliveries(sample.deliveries(spark, folder))
 
@@ -507,7 +513,7 @@ define("trips", f"""
     f"select event_id, vehicle_id, {n('trip_number')}, concat(vehicle_id, '-', cast(trip_number as bigint)) as trip_id from numbered",
     "numbered"))
 def w6(spark, folder):
-    return trips.with_trip_id(gps_clean(spark, folder)).select("event_id", "vehicle_id", "trip_number", "trip_id")
+    return trips.with_trip_id(gps_facts(spark, folder)).select("event_id", "vehicle_id", "trip_number", "trip_id")
 
 
 define("idle_days", """
@@ -521,7 +527,7 @@ define("idle_days", """
 @query("w7_idle_and_stops", check(
     f"select vehicle_id, date_key, stop_count, {rd('idle_minutes')} from idle_days", "idle_days"))
 def w7(spark, folder):
-    return trips.idle_days(gps_clean(spark, folder)).drop("fuel_used")
+    return trips.idle_days(gps_facts(spark, folder)).drop("fuel_used")
 
 
 @query("w8_lifecycle_violations", check(
@@ -541,7 +547,7 @@ def w8(spark, folder):
     f"""select event_id, vehicle_id, {at('event_timestamp')}, {rd('gap_miles')},
         {rd('odometer_miles - p_odo', 'odometer_gap_miles')} from linked""", "linked"))
 def w9(spark, folder):
-    return trips.ping_distances(gps_clean(spark, folder))
+    return trips.ping_distances(gps_facts(spark, folder))
 
 
 @query("x10_gap_sessions_batch", check(
@@ -551,7 +557,7 @@ def w9(spark, folder):
                 over (partition by vehicle_id order by event_timestamp, event_id) as session_number from linked)
         group by vehicle_id, session_number""", "linked"))
 def x10(spark, folder):
-    return trips.gap_sessions(gps_clean(spark, folder))
+    return trips.gap_sessions(gps_facts(spark, folder))
 
 
 TRIP = f"""trip_id, vehicle_id, trip_number, gps_events, {at('start_time')}, {at('end_time')}, {rd('avg_speed_mph')},
@@ -562,7 +568,7 @@ TRIP = f"""trip_id, vehicle_id, trip_number, gps_events, {at('start_time')}, {at
     f"""select {TRIP}, {rd(f'gallons * {RATES.fuel_price}', 'fuel_cost')},
         {rd(f'gallons * {RATES.fuel_price} / nullif(distance_miles, 0)', 'cost_per_mile')} from trips""", "trips"))
 def a24(spark, folder):
-    return trips.trips(gps_clean(spark, folder))
+    return trips.trips(gps_facts(spark, folder))
 
 
 define("routes", f"""
@@ -587,7 +593,7 @@ define("routes", f"""
 
 
 def routes(spark, folder):
-    return trips.route_performance(gps_clean(spark, folder), del_latest(spark, folder))
+    return trips.route_performance(gps_facts(spark, folder), del_latest(spark, folder))
 
 
 @query("a23_route_performance", check(
