@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jvm_path).getLength()
+
+
 def scan(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """Whole table with partition discovery; a given schema skips reading footers."""
     reader = spark.read if schema is None else spark.read.schema(schema)

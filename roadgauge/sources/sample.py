@@ -9,10 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgauge.functions import columns as C
+from roadgauge.sources import files
+
+
+ROW_GROUP_BYTES = 128 * 1024 * 1024
+SPREAD_FROM_BYTES = 1024 * 1024
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A sample table.
+
+    A Parquet file is split by row groups, so a file with one group would be derived, sorted
+    and partly aggregated by one core. Tables between a megabyte and one row group per core
+    are therefore spread over the cores first. Larger ones have splits enough and are read
+    as they are.
+    """
+    path = f"{folder}/{name}.parquet"
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.read.parquet(path)
+    if SPREAD_FROM_BYTES < files.size(spark, path) < ROW_GROUP_BYTES * cores:
+        # by leading key columns: round robin would sort every row first to be repeatable
+        return rows.repartition(cores, *rows.columns[:3])
+    return rows
 
 
 def gps(spark: SparkSession, folder: str) -> DataFrame:
