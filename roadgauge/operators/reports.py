@@ -19,8 +19,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def latest_positions(gps: DataFrame) -> DataFrame:
-    """Newest ping per vehicle."""
-    return latest_per_key(gps, ["vehicle_id"], ["event_timestamp", "processed_at"])
+    """Newest ping per vehicle; of copies, the one processed last if that is known."""
+    order = [c for c in ("event_timestamp", "processed_at") if c in gps.columns]
+    return latest_per_key(gps, ["vehicle_id"], order)
 
 
 def latest_statuses(deliveries: DataFrame) -> DataFrame:
