@@ -17,7 +17,7 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 class AttemptCounter(StatefulProcessor):
     """Numbers a delivery's final-status events as they arrive. The state is one counter."""
 
-    def __init__(self, ttl_ms: int):
+    def __init__(self, ttl_ms: int | None):
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -37,12 +37,16 @@ class AttemptCounter(StatefulProcessor):
         pass
 
 
-def attempt_numbers(deliveries: DataFrame, ttl_days: int = 30) -> DataFrame:
+def attempt_numbers(deliveries: DataFrame, ttl_days: int | None = None) -> DataFrame:
     """Attempt number per final-status event, in arrival order across micro-batches.
 
-    A counter expires ``ttl_days`` after its last use. Needs the RocksDB state store.
+    With ``ttl_days`` a counter expires that long after its last use. Expiry runs on the
+    processing clock, which never ends by itself: use it with an interval trigger only.
+    Needs the RocksDB state store.
     """
+    ttl_ms = None if ttl_days is None else ttl_days * 86_400_000
     events = deliveries.where(C.is_terminal()).select("delivery_id", "event_type", "event_timestamp")
     return events.groupBy("delivery_id").transformWithStateInPandas(
-        AttemptCounter(ttl_days * 86_400_000), outputStructType=OUTPUT, outputMode="append", timeMode="ProcessingTime",
+        AttemptCounter(ttl_ms), outputStructType=OUTPUT, outputMode="append",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
