@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadgauge.llm import bpe, common, exact_dedup, packing, simhash, substring_dedup
+from roadgauge.llm import (
+    bpe, common, exact_dedup, fingerprints, lang_id, packing, pii, simhash, substring_dedup, token_counts,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
 
 
+#: A production run takes its key from a secret store; this one makes the registered query repeatable.
+PII_KEY = "registered-query-key"
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file."""
     import public_tokenizers
@@ -58,6 +65,14 @@ def op1(documents: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op2_language_id")
+def op2(documents: DataFrame) -> DataFrame:
+    path, held_out = tokenizer_path("piece_bpe_32k.model"), common.fold_of("doc_id", 3) == 1
+    languages, table = lang_id.train(documents.where(~held_out), path)
+    found = lang_id.predict(documents, path, languages, table)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op3_exact_dedup", """
 with texts as (
     select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as h
@@ -71,6 +86,18 @@ def op3(documents: DataFrame) -> DataFrame:
     return exact_dedup.deduplicate(documents, exact_dedup.new_index(documents.sparkSession))
 
 
+@query("op4_edit_fingerprints")
+def op4(documents: DataFrame) -> DataFrame:
+    return fingerprints.fingerprints(documents).select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
+
+
+@query("op5_pii_pseudonyms")
+def op5(documents: DataFrame) -> DataFrame:
+    return pii.protect(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), PII_KEY)
+
+
 @query("op6_bpe_chunks")
 def op6(documents: DataFrame) -> DataFrame:
     return bpe.encode(documents, tokenizer_path("word_bpe_49k.json")).select(
@@ -87,3 +114,23 @@ def op7(documents: DataFrame) -> DataFrame:
 def op8(documents: DataFrame) -> DataFrame:
     return simhash.near_duplicates(documents).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_token_counts")
+def op10(documents: DataFrame) -> DataFrame:
+    return token_counts.count_tokens(documents, tokenizer_path("piece_bpe_32k.model"))
+
+
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Fitted to the labels whose documents are not held out."""
+    return toxicity.train(documents, labels.where(common.fold_of("doc_id", 5) != 0))
+
+
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    documents = common.table(spark, folder, "documents")
+    model = toxicity_model(documents, common.table(spark, folder, "labels"))
+    return toxicity.score(documents, model).select(
+        "doc_id", (common.fold_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+QUERIES["op9_toxicity"] = op9
