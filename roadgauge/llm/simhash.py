@@ -6,6 +6,8 @@ a shard's BK-tree (children keyed by their integer Hamming distance to the paren
 radius. Shards meet their queries in a shuffle; a broadcast of all trees would grow with the data. A shard of
 more than SHARD_ROWS fingerprints is split into that many part trees, each queried by each part, so no task holds more than
 two parts. A task reports links as stars below its smallest fingerprints: never all pairs.
+
+near_duplicates links fingerprints of three-word shingles within 3 bits; near_groups links texts of similarity 0.8 or more.
 """
 
 from __future__ import annotations
@@ -28,28 +30,37 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 AGREEING = 2
 SEED = 42
 SHINGLE_WORDS = 3
+#: The pipeline's near duplicates: similarity over five-word shingles, estimated from so many smallest hashes.
+NEAR_SHINGLE_WORDS, SIMILAR, SKETCH = 5, 0.8, 128
+BANDS, NEAR_RADIUS = 6, 20
 
 
-def fingerprint(text: str) -> int:
-    """A bit is 1 if set in over half the shingles' XXH64. No words: zero."""
+def shingle_hashes(text: str, size: int) -> np.ndarray:
+    """XXH64 of the shingles of a text, in order, repeats included. Fewer words than size: the whole sequence."""
     from xxhash import xxh64_intdigest as hashed
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    if len(words) < SHINGLE_WORDS:
-        return hashed(b" ".join(words), SEED)
+    if len(words) <= size:
+        return np.array([hashed(b" ".join(words), SEED)] if words else [], "<u8")
     whole = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths).tolist()
-    hashes = np.array([hashed(whole[i:j], SEED) for i, j in zip(starts, ends[SHINGLE_WORDS - 1:].tolist())], "<u8")
-    counts = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 255 * 64):  # bounded memory for very long texts
-        counts += np.unpackbits(hashes[i:i + 255 * 64].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.array([hashed(whole[i:j], SEED) for i, j in zip(starts, ends[size - 1:].tolist())], "<u8")
+
+
+def folded(hashes: np.ndarray) -> int:
+    """A bit is 1 if set in over half the hashes. No hashes: zero."""
+    counts, step = np.zeros(64, np.int64), 1 << 14  # bounded memory for very long texts
+    for i in range(0, len(hashes), step):
+        counts += np.unpackbits(hashes[i:i + step].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str) -> int:
+    return folded(shingle_hashes(text, SHINGLE_WORDS))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (a signed long) of every row. A null text has no words."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -60,40 +71,42 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 class BKTree:
-    """Fingerprints; each node's children are keyed by their Hamming distance to it."""
+    """Items at fingerprints; each node's children are keyed by their Hamming distance to it."""
 
     def __init__(self):
-        self.root: tuple[int, dict] | None = None
+        self.root: tuple[int, dict, list] | None = None
 
-    def add(self, value: int) -> None:
+    def add(self, value: int, item) -> None:
         if self.root is None:
-            self.root = (value, {})
+            self.root = (value, {}, [item])
             return
         node = self.root
         while True:
             d = (node[0] ^ value).bit_count()
             if d == 0:
+                node[2].append(item)
                 return
             child = node[1].get(d)
             if child is None:
-                node[1][d] = (value, {})
+                node[1][d] = (value, {}, [item])
                 return
             node = child
 
-    def near(self, value: int, radius: int) -> list[int]:
+    def near(self, value: int, radius: int) -> list:
         found, todo = [], [self.root] if self.root else []
         while todo:
-            other, children = todo.pop()
+            other, children, items = todo.pop()
             d = (other ^ value).bit_count()
             if d <= radius:
-                found.append(other)
+                found += items
             if children:
                 todo.extend([child for e, child in children.items() if d - radius <= e <= d + radius])
         return found
 
 
-def unit_links(trees: list[int], asking: list[int], radius: int) -> list[tuple[int, int]]:
-    """(value, smallest value reached) of one shard unit. Without asking, the tree's own values ask."""
+def unit_links(trees: list[tuple], asking: list[tuple], radius: int, alike=None) -> list[tuple[int, int]]:
+    """(node, smallest node reached) of one shard unit. Entries are (fingerprint, node, more); alike compares the more of two
+    entries. Without asking, the tree's own entries ask."""
     parent: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -102,20 +115,19 @@ def unit_links(trees: list[int], asking: list[int], radius: int) -> list[tuple[i
             x = up
         return x
 
-    def link(x: int, y: int) -> None:
-        x, y = top(x), top(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
+    def ask(entry: tuple) -> None:
+        for other in tree.near(entry[0], radius):
+            x, y = top(entry[1]), top(other[1])
+            if x != y and (alike is None or alike(entry[2], other[2])):
+                parent[max(x, y)] = min(x, y)
 
     tree = BKTree()
-    for value in trees:
+    for entry in trees:
         if not asking:
-            for other in tree.near(value, radius):
-                link(value, other)
-        tree.add(value)
-    for value in asking:
-        for other in tree.near(value, radius):
-            link(value, other)
+            ask(entry)
+        tree.add(entry[0], entry)
+    for entry in asking:
+        ask(entry)
     return [(x, top(x)) for x in list(parent)]
 
 
@@ -132,41 +144,50 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROW
     """Stars (a, b) over distinct fingerprints fp whose components are those of all links within the radius."""
     if radius > RADIUS:
         raise ValueError("five blocks guarantee two agreeing ones up to a radius of 3")
-    keyed = distinct.select("fp", F.explode(_keys()).alias("key"))
+    keyed = distinct.select(F.explode(_keys()).alias("key"), "fp", F.col("fp").alias("node"), F.lit(None).cast("binary").alias("more"))
+    return shard_links(keyed, radius, shard_rows, None, unsigned=True)
+
+
+def shard_links(keyed: DataFrame, radius: int, shard_rows: int, alike, unsigned: bool = False) -> DataFrame:
+    """Stars (a, b) over nodes linked within any shard. keyed: key, fp, node, more.
+
+    unsigned: nodes are compared as unsigned numbers.
+    """
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = keyed.join(sizes, "key").withColumn("parts", F.ceil(F.col("n") / shard_rows).cast("int"))
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     units = parts.withColumn("own", own).select(
-        "key", "fp", "own", F.explode(F.expr("sequence(0, parts - 1)")).alias("other")
-    ).select("key", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("ask"), "own", "fp")
+        "key", "fp", "node", "more", "own", F.explode(F.expr("sequence(0, parts - 1)")).alias("other")
+    ).select("key", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("ask"), "own", "fp", "node", "more")
+    mask = 0xFFFFFFFFFFFFFFFF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, trees, asking, made = None, [], [], []
 
         def close() -> None:
             if at is not None and len(trees) + len(asking) > 1 and (at[1] == at[2] or (trees and asking)):
-                made.extend(unit_links(trees, asking, radius))
+                made.extend(unit_links(trees, asking, radius, alike))
 
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("key", "tree", "ask", "own", "fp")]
-            for key, tree, ask, own, fp in zip(*columns):
+            columns = [batch.column(name).to_pylist() for name in ("key", "tree", "ask", "own", "fp", "node", "more")]
+            for key, tree, ask, own, fp, node, more in zip(*columns):
                 if at != (key, tree, ask):
                     close()
                     at, trees, asking = (key, tree, ask), [], []
-                (trees if own == tree else asking).append(fp & 0xFFFFFFFFFFFFFFFF)
+                (trees if own == tree else asking).append((fp & mask, node & mask if unsigned else node, more))
             if made:
-                yield to_edges(made)
+                yield to_edges(made, unsigned)
                 made = []
         close()
         if made:
-            yield to_edges(made)
+            yield to_edges(made, unsigned)
 
-    dealt = units.repartition("key", "tree", "ask").sortWithinPartitions("key", "tree", "ask", "fp")
+    dealt = units.repartition("key", "tree", "ask").sortWithinPartitions("key", "tree", "ask", "fp", "node")
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def to_edges(made: list[tuple[int, int]]) -> pa.RecordBatch:
-    values = np.array(made, np.uint64).reshape(-1, 2).view(np.int64)
+def to_edges(made: list[tuple[int, int]], unsigned: bool) -> pa.RecordBatch:
+    values = np.array(made, np.uint64 if unsigned else np.int64).reshape(-1, 2).view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(values[:, 0].copy()), pa.array(values[:, 1].copy())], ["a", "b"])
 
 
@@ -186,12 +207,49 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def sketch(text: str) -> tuple[int, bytes, list[int]]:
+    """Of the distinct five-word shingles: the fingerprint, the SKETCH smallest hashes, and keys of BANDS pairs of minimum hashes."""
+    hashes = np.unique(shingle_hashes(text, NEAR_SHINGLE_WORDS))
+    if not len(hashes):
+        hashes = np.zeros(1, np.uint64)
+    lows = [int((hashes * np.uint64(2 * i + 3) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(i * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)).min())
+            for i in range(2 * BANDS)]
+    keys = [hash((i, lows[2 * i], lows[2 * i + 1])) for i in range(BANDS)]
+    return folded(hashes), (hashes[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes(), keys
+
+
+def alike(one: bytes, other: bytes) -> bool:
+    """Whether the similarity (shared share of all shingles) is SIMILAR or more; exact up to SKETCH shingles, else estimated from the
+    smallest hashes of the union."""
+    a, b = set(np.frombuffer(one, "<u4").tolist()), set(np.frombuffer(other, "<u4").tolist())
+    lowest = sorted(a | b)[:SKETCH] if max(len(a), len(b)) >= SKETCH else a | b
+    return sum(x in a and x in b for x in lowest) >= SIMILAR * len(lowest)
+
+
+def near_groups(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(a, root): documents with a near duplicate of similarity 0.8 or more over five-word shingles, and the smallest id of their group.
+
+    Such texts differ in about 10 of 64 bits, more than blocks of bits can find. Shards are therefore keyed by pairs of minimum
+    hashes (6 pairs miss 2 in 1000 of such texts at a similarity of 0.8, fewer above); each shard's BK-tree is
+    searched within NEAR_RADIUS, and what it returns is verified. Rows with a null id take no part.
+    """
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fps, more, keys = zip(*(sketch(text or "") for text in batch.column("text").to_pylist()))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(more, pa.binary()),
+             pa.array(keys, pa.list_(pa.int64()))], ["node", "fp", "more", "keys"])
+
+    rows = common.id_and_text(docs).where("doc_id is not null")
+    made = stage(common.map_batches(rows, run, "node long, fp long, more binary, keys array<long>"), "sketches")
+    keyed = made.select(F.explode("keys").alias("key"), "fp", "node", "more")
+    return components(shard_links(keyed, NEAR_RADIUS, shard_rows, alike))
+
+
 def survivors(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each component, all columns unchanged.
+    """The document with the smallest doc_id of each group of near duplicates, all columns unchanged.
 
-    Rows that repeat a doc_id count as one document. Rows without doc_id have no identity and all stay.
+    Rows that repeat a doc_id are one document and stay or go together. Rows without doc_id have no identity and all stay.
     """
-    first = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    gone = near_groups(docs).where("a <> root").select(F.col("a").alias("__id")).distinct()
     named = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    stay = named.join(first, "__id", "left_semi").dropDuplicates(["__id"])
-    return stay.unionByName(named.where("__id is null")).select(*docs.columns)
+    return named.join(gone, "__id", "left_anti").select(*docs.columns)

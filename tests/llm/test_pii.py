@@ -1,0 +1,52 @@
+"""Pseudonyms: formats stay, values change, equal values stay linked, the permutation loses nothing."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from roadgauge.llm import pii
+
+
+def luhn(digits):
+    return sum(sum(divmod(2 * int(x), 10)) if i % 2 else int(x) for i, x in enumerate(digits[::-1])) % 10 == 0
+
+
+CARD, OTHER_CARD = "4111111111111111", "5500 0000 0000 0004"
+TEXT = (f"Pay {CARD} or {OTHER_CARD}; not 4111111111111112. Call +1 (212) 555-0187. Mail Jo.Doe7@mail.example.com from 192.168.7.12, "
+        "born 1984-02-29 or 07/23/1991 or 31.12.1999, not 2023-02-30; id 123-45-6789; version 2.0.1; 300.1.1.1; "
+        "token = \"9b0b3c6a43eb78aa99cbd7049c572391524f37a8\"")
+
+
+def test_formats(docs_of):
+    docs = docs_of([(1, TEXT), (2, f"again {CARD}."), (3, None), (4, ""), (5, "no values"), (6, "9" * 40_000 + " " + "a" * 40_000), (7, "\n" + CARD), (8, CARD)])
+    made = {r["doc_id"]: r for r in pii.protect(docs, "key").collect()}
+    out = made[1]["text"]
+    shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", s)))
+    masked = lambda s: re.sub(r"9+(\.9+){3}", "IP", re.sub(r"\"[a-f9]+\"", "HEX", shape(s)))
+    assert masked(re.sub(r"\"[0-9a-f]{40}\"", "\"f\"", out)) == masked(re.sub(r"\"[0-9a-f]{40}\"", "\"f\"", TEXT))
+    for kept in ("4111111111111112", "2023-02-30", "version 2.0.1", "300.1.1.1", "@mail.example.com", "+1"):
+        assert kept in out
+    for gone in (CARD, OTHER_CARD, "555-0187", "Jo.Doe7", "192.168.7.12", "1984-02-29", "07/23/1991", "31.12.1999", "123-45-6789", "9b0b3c6a"):
+        assert gone not in out
+    new = re.search(r"Pay (\d{16}) or (\d{4} \d{4} \d{4} \d{4});", out)
+    assert luhn(new[1]) and luhn(new[2].replace(" ", ""))
+    assert f"again {new[1]}." == made[2]["text"] and made[7]["text"] == "\n" + new[1] and made[8]["text"] == new[1]
+    assert made[3]["text"] is None and made[4]["text"] == "" and made[5]["text"] == "no values"
+    assert made[6]["text"].endswith(" " + "a" * 40_000) and made[2]["n_chars"] == len(made[2]["text"])
+    assert pii.protect(docs, "key").columns == docs.columns
+    assert pii.protect(docs, "other").where("doc_id = 8").first()["text"] != new[1]
+
+
+def test_permutations(spark):
+    digits = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("x"))
+    assert {r[0] for r in digits.select(pii.permuted(F.col("x"), 10, "t", "k")).collect()} == {f"{i:03d}" for i in range(1000)}
+    letters = spark.range(676).select(F.concat(F.char(97 + F.floor(F.col("id") / 26)), F.char(97 + F.col("id") % 26)).alias("x"))
+    assert letters.select(pii.permuted(F.col("x"), 26, "t", "k").alias("y")).distinct().count() == 676
+    days = spark.range(73_049).select(F.date_format(F.date_add(F.make_date(F.lit(1900), F.lit(1), F.lit(1)), F.col("id").cast("int")), "yyyy-MM-dd").alias("x"))
+    made = days.select(pii.date(F.col("x"), "yyyy-MM-dd", "k").alias("y")).distinct()
+    assert made.where(pii.is_date(F.col("y"), "yyyy-MM-dd")).count() == 73_049
+
+
+def test_plan_is_native(docs_of):
+    plan = pii.protect(docs_of([(1, TEXT)]), "key")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
