@@ -18,7 +18,7 @@ YEARS = (1900, 200)
 
 # No pattern can start inside a run it might have matched, and runs are possessive: matching stays linear.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-SECRET = r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])"
+SECRET = r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![A-Za-z0-9])"
 PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ -]?\([0-9]{2,4}\)[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])"
 CARD = r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])(?!-[0-9])"
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
@@ -151,8 +151,9 @@ def email(value: Column, key: str) -> Column:
     lower = F.lower(local)
     letters = permuted(F.regexp_replace(lower, "[^a-z]", ""), 26, "email", key)
     digits = permuted(_digits(local), 10, "email", key)
-    cased = F.when(F.upper(local) == local, F.upper(_into(lower, "[a-z]", letters))).otherwise(_into(lower, "[a-z]", letters))
-    return F.concat(_into(cased, "[0-9]", digits), F.substr(value, F.length(local) + 1, F.length(value)))
+    made = _into(_into(lower, "[a-z]", letters), "[0-9]", digits)
+    cased = F.zip_with(F.split(local, ""), F.split(made, ""), lambda old, new: F.when(old.rlike("^[A-Z]$"), F.upper(new)).otherwise(new))
+    return F.concat(F.array_join(cased, ""), F.substr(value, F.length(local) + 1, F.length(value)))
 
 
 def secret(value: Column, key: str) -> Column:
@@ -194,7 +195,7 @@ def kind(value: Column) -> Column:
         .when(whole("[0-9]{2}/[0-9]{2}/[0-9]{4}"), F.when(is_date(value, "MM/dd/yyyy"), "slash date").when(is_date(value, "dd/MM/yyyy"), "day date"))
         .when(whole("[0-9]{2}[.][0-9]{2}[.][0-9]{4}"), F.when(is_date(value, "dd.MM.yyyy"), "dot date"))
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(~value.rlike("^(?:000|666|9)|-00-|-0000$"), "social"))
-        .when(F.length(value) >= 32, "secret")
+        .when(F.length(value) >= 32, F.when(value.rlike("[0-9]") & value.rlike("[A-Fa-f]"), "secret"))
         .when(is_card(value), "card")
     )
 

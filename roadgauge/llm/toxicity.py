@@ -32,6 +32,8 @@ RUN = re.compile(r"[^\W\d_]+")
 INSULTS = "idiot moron stupid dumb loser trash scum pathetic worthless disgusting clown filthy vermin retard bastard".split()
 RATES = (0.25, 0.5, 1.0, 1.35, 1.75, 2.5)
 MEMO = 400_000
+#: Added to each vote's probability, so that none is zero.
+EVEN = 0.002
 _BUCKETS = 1 << 20
 
 
@@ -99,21 +101,21 @@ def votes(counts: np.ndarray, n_words: np.ndarray, shouting: np.ndarray, stems:
 
 
 def label_model(votes: np.ndarray, start: np.ndarray, weight: np.ndarray, rounds: int = 6) -> np.ndarray:
-    """Posterior probability of class 1. start: labels that the first estimate of accuracies takes."""
+    """Posterior probability of class 1. start: labels that the class share and the first estimate of accuracies take."""
     posterior, shape = start.astype(float), np.stack([votes == v for v in (-1, 0, 1)]).astype(float)
+    prior = np.clip((posterior * weight).sum() / weight.sum(), 1e-4, 1 - 1e-4)
     for _ in range(rounds):
         sides = []
         for share in (1 - posterior, posterior):
             mass = share * weight
             # probability of each vote given the class, per voter
-            sides.append((np.einsum("vij,i->vj", shape, mass) + 0.5) / (mass.sum() + 1.5))
+            sides.append((np.einsum("vij,i->vj", shape, mass) / max(mass.sum(), 1e-9) + EVEN) / (1 + 3 * EVEN))
         # correlation of the votes beyond what the class explains
         expected = sum(np.outer(share, side[2] - side[0]) for share, side in zip((1 - posterior, posterior), sides))
         rest = (votes - expected) * np.sqrt(weight)[:, None]
         size = np.sqrt((rest ** 2).sum(0)) + 1e-9
         correlated = np.clip(rest.T @ rest / np.outer(size, size), 0.0, 1.0)
         own = 1.0 / np.where(correlated > 0.1, correlated, 0.0).sum(0).clip(1.0)
-        prior = np.clip((posterior * weight).sum() / weight.sum(), 1e-4, 1 - 1e-4)
         odds = np.log(prior / (1 - prior)) + np.einsum("vij,vj,j->i", shape, np.log(sides[1] / sides[0]), own)
         posterior = 1.0 / (1.0 + np.exp(-np.clip(odds, -30, 30)))
     return posterior

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from roadgauge.llm import bpe, exact_dedup, packing, queries, simhash, substring_dedup, token_counts
 from tests.conftest import SAMPLE
@@ -101,7 +102,7 @@ def test_index_persists(spark, docs_of, tmp_path):
     got = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in exact_dedup.deduplicate(docs_of([(7, "a"), (8, "c")]), again).collect()}
     assert got == {7: (2, False), 8: (8, True)}
     assert again.table().count() == 3
-    plan = docs_of([(1, "a")]).select(exact_dedup.digest("text").alias("digest")).distinct().join(
+    plan = docs_of([(1, "a")]).select(exact_dedup.digest(F.col("text")).alias("digest")).distinct().join(
         again.table().select("digest").hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
