@@ -120,7 +120,7 @@ def gps_faults(fuel_scale: float = 1.0) -> Column:
     rules = {
         "latitude": F.col("latitude").between(-90, 90),
         "longitude": F.col("longitude").between(-180, 180),
-        "speed": F.col("speed_mph") >= 0,
+        "speed": (F.col("speed_mph") >= 0) & ~F.isnan("speed_mph"),  # NaN is the largest double
         "fuel": F.col("fuel_level").between(0, fuel_scale),
     }
     # a null test result is a failure, as in a WHERE clause
@@ -131,7 +131,7 @@ def gps_valid(fuel_scale: float = 1.0) -> Column:
     return (
         F.col("latitude").between(-90, 90)
         & F.col("longitude").between(-180, 180)
-        & (F.col("speed_mph") >= 0)
+        & (F.col("speed_mph") >= 0) & ~F.isnan("speed_mph")
         & F.col("fuel_level").between(0, fuel_scale)
     )
 
@@ -214,6 +214,11 @@ def with_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in known.items() if c in df.columns})
 
 
+def day_of(date_key) -> Column:
+    """The date of a key such as 20240115."""
+    return F.to_date(_col(date_key).cast("string"), "yyyyMMdd")
+
+
 def with_lineage(df: DataFrame, column: str = "processed_at", at=None, version: str | None = None) -> DataFrame:
     """Stamp the load time (injectable for tests) and, if given, a version tag."""
     out = df.withColumn(column, F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))

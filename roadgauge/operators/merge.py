@@ -11,14 +11,18 @@ from roadgauge.session import stage
 HISTORY = ("effective_start", "effective_end", "is_current")
 
 
-def one_per_key(source: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Latest source row per key, so a join with the target cannot multiply rows."""
-    rest = [c for c in source.columns if c not in keys and c != ts]
-    return keep_first(source, keys, [F.desc(ts), *[F.desc(c) for c in rest]])
+def one_per_key(source: DataFrame, keys: list[str], ts: str, then: tuple[str, ...] = ()) -> DataFrame:
+    """Latest source row per key, so a join with the target cannot multiply rows.
+
+    At equal times the columns ``then`` decide, such as the processing time, and after them all others.
+    """
+    rest = [c for c in source.columns if c not in (*keys, ts, *then)]
+    return keep_first(source, keys, [F.desc(c) for c in (ts, *then, *rest)])
 
 
 def upsert(
     target: DataFrame, source: DataFrame, keys: list[str], ts: str, null_policy: str = "keep", loaded_at=None,
+    then: tuple[str, ...] = (),
 ) -> DataFrame:
     """Update matching keys, insert new ones, keep the rest.
 
@@ -29,7 +33,7 @@ def upsert(
     if null_policy not in ("keep", "overwrite"):
         raise ValueError("null_policy must be 'keep' or 'overwrite'")
     now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
-    new = one_per_key(source, keys, ts).drop("loaded_at").withColumn("_touched", F.lit(True)).alias("s")
+    new = one_per_key(source, keys, ts, then).drop("loaded_at").withColumn("_touched", F.lit(True)).alias("s")
     old = target.alias("t")
     matched = F.col("s._touched").isNotNull()
     both = old.join(new, keys, "full")
@@ -50,9 +54,9 @@ def upsert(
     )
 
 
-def first_load(source: DataFrame, keys: list[str], ts: str, loaded_at=None) -> DataFrame:
+def first_load(source: DataFrame, keys: list[str], ts: str, loaded_at=None, then: tuple[str, ...] = ()) -> DataFrame:
     now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
-    return one_per_key(source, keys, ts).withColumn("loaded_at", now)
+    return one_per_key(source, keys, ts, then).withColumn("loaded_at", now)
 
 
 def updated(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,19 +14,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICE = "hour"
 _SLICE = "_slice"
+_KEY = "_key"
 
 
-def _keys(key: str | list[str]) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
+def _sliced(df: DataFrame, key: str | list[str], ts: str, unit: str) -> DataFrame:
+    """Add the slice and the key as one struct; a frame that kept them stays partitioned by them and is not shuffled again.
 
-
-def _sliced(df: DataFrame, ts: str, unit: str) -> DataFrame:
-    """Add the slice; a frame that kept it stays partitioned by it and is not shuffled again."""
-    return df if _SLICE in df.columns else df.withColumn(_SLICE, F.date_trunc(unit, ts))
+    Structs with null fields are equal to each other, so rows of a null key belong together as in a plain window.
+    """
+    if _SLICE in df.columns:
+        return df
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.withColumns({_SLICE: F.date_trunc(unit, ts), _KEY: F.struct(*keys)})
 
 
 def _tidy(df: DataFrame, keep_slice: bool, *helpers: str) -> DataFrame:
-    return df.drop(*helpers) if keep_slice else df.drop(*helpers, _SLICE)
+    return df.drop(*helpers) if keep_slice else df.drop(*helpers, _SLICE, _KEY)
 
 
 def with_previous(
@@ -38,14 +41,14 @@ def with_previous(
     ``order`` starts with the timestamp and must order a key's rows fully. With ``keep_slice``
     a following operator on the same key and order needs no further shuffle of the rows.
     """
-    keys, fields = _keys(key), list(dict.fromkeys(order + columns))
-    rows = _sliced(df, order[0], unit)
-    within = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    last = rows.groupBy(*keys, _SLICE).agg(F.max(F.struct(*fields)).alias("_last"))
+    fields = list(dict.fromkeys(order + columns))
+    rows = _sliced(df, key, order[0], unit)
+    within = Window.partitionBy(_KEY, _SLICE).orderBy(*order)
+    last = rows.groupBy(_KEY, _SLICE).agg(F.max(F.struct(*fields)).alias("_last"))
     carry = last.select(
-        *keys, _SLICE, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_SLICE)).alias("_carry"),
+        _KEY, _SLICE, F.lag("_last").over(Window.partitionBy(_KEY).orderBy(_SLICE)).alias("_carry"),
     )
-    joined = rows.withColumn("_here", F.lag(F.struct(*fields)).over(within)).join(carry, [*keys, _SLICE], "left")
+    joined = rows.withColumn("_here", F.lag(F.struct(*fields)).over(within)).join(carry, [_KEY, _SLICE], "left")
     return _tidy(joined.withColumn(name, F.coalesce("_here", "_carry")), keep_slice, "_here", "_carry")
 
 
@@ -54,14 +57,14 @@ def with_next(
     unit: str = SLICE, keep_slice: bool = False,
 ) -> DataFrame:
     """Mirror of :func:`with_previous`."""
-    keys, fields = _keys(key), list(dict.fromkeys(order + columns))
-    rows = _sliced(df, order[0], unit)
-    within = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    first = rows.groupBy(*keys, _SLICE).agg(F.min(F.struct(*fields)).alias("_first"))
+    fields = list(dict.fromkeys(order + columns))
+    rows = _sliced(df, key, order[0], unit)
+    within = Window.partitionBy(_KEY, _SLICE).orderBy(*order)
+    first = rows.groupBy(_KEY, _SLICE).agg(F.min(F.struct(*fields)).alias("_first"))
     carry = first.select(
-        *keys, _SLICE, F.lead("_first").over(Window.partitionBy(*keys).orderBy(_SLICE)).alias("_carry"),
+        _KEY, _SLICE, F.lead("_first").over(Window.partitionBy(_KEY).orderBy(_SLICE)).alias("_carry"),
     )
-    joined = rows.withColumn("_here", F.lead(F.struct(*fields)).over(within)).join(carry, [*keys, _SLICE], "left")
+    joined = rows.withColumn("_here", F.lead(F.struct(*fields)).over(within)).join(carry, [_KEY, _SLICE], "left")
     return _tidy(joined.withColumn(name, F.coalesce("_here", "_carry")), keep_slice, "_here", "_carry")
 
 
@@ -70,14 +73,14 @@ def with_running_total(
     keep_slice: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` over the key's rows up to and including this one."""
-    keys, rows = _keys(key), _sliced(df, order[0], unit).withColumn("_value", value)
-    upto = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    rows = _sliced(df, key, order[0], unit).withColumn("_value", value)
+    upto = Window.partitionBy(_KEY, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        rows.groupBy(*keys, _SLICE).agg(F.sum("_value").alias("_sum"))
-        .select(*keys, _SLICE, F.sum("_sum").over(before).alias("_carry"))
+        rows.groupBy(_KEY, _SLICE).agg(F.sum("_value").alias("_sum"))
+        .select(_KEY, _SLICE, F.sum("_sum").over(before).alias("_carry"))
     )
-    joined = rows.withColumn("_here", F.sum("_value").over(upto)).join(carry, [*keys, _SLICE], "left")
+    joined = rows.withColumn("_here", F.sum("_value").over(upto)).join(carry, [_KEY, _SLICE], "left")
     return _tidy(joined.withColumn(name, F.col("_here") + F.coalesce("_carry", F.lit(0))), keep_slice, "_here", "_carry", "_value")
 
 
@@ -86,16 +89,16 @@ def with_last_known(
     keep_slice: bool = False,
 ) -> DataFrame:
     """Latest non-null value of a column over the key's rows up to and including this one."""
-    keys, rows = _keys(key), _sliced(df, order[0], unit)
-    upto = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    rows = _sliced(df, key, order[0], unit)
+    upto = Window.partitionBy(_KEY, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     known = F.struct(*dict.fromkeys([*order, column]))
     carry = (
-        rows.groupBy(*keys, _SLICE)
+        rows.groupBy(_KEY, _SLICE)
         .agg(F.max(F.when(F.col(column).isNotNull(), known)).alias("_last"))
-        .select(*keys, _SLICE, F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+        .select(_KEY, _SLICE, F.last("_last", ignorenulls=True).over(before).alias("_carry"))
     )
-    joined = rows.withColumn("_here", F.last(column, ignorenulls=True).over(upto)).join(carry, [*keys, _SLICE], "left")
+    joined = rows.withColumn("_here", F.last(column, ignorenulls=True).over(upto)).join(carry, [_KEY, _SLICE], "left")
     return _tidy(joined.withColumn(name, F.coalesce("_here", F.col("_carry")[column])), keep_slice, "_here", "_carry")
 
 

@@ -109,13 +109,22 @@ def u1(spark, folder):
     return left.unionByName(right, allowMissingColumns=True)
 
 
-@query("k5_versioned_merge", check(f"select {PING} from merge_result", "merge_result"))
+@query("k5_versioned_merge", check(
+    f"""select {PING}, note from (
+            select * replace (event_timestamp + gap as event_timestamp, strftime(event_timestamp + gap, '%Y-%m-%d') as event_date),
+                case when event_id % 11 = 0 then 'moved' end as note
+            from (select *, case when event_id % 11 = 0 then interval 3 day else interval 0 day end as gap from merge_result))""",
+    "merge_result"))
 def k5(spark, folder):
-    """Two merges into a versioned table; the second one rewrites only the days it touches."""
+    """Three merges into a versioned table: the second rewrites only the days it touches, the third moves keys to other days and
+    brings a column."""
     root = scratch_dir(spark, "k5")
     for side in merge_sides(spark, folder):
         versioned.merge_into(spark, root, side, ["event_id"])
-    return versioned.read(spark, root).select(*PING_COLUMNS)
+    moved = versioned.read(spark, root).where("event_id % 11 = 0").drop("loaded_at").withColumns({
+        "event_timestamp": F.col("event_timestamp") + F.expr("interval 3 days"), "note": F.lit("moved")})
+    versioned.merge_into(spark, root, sample.event_day(moved.drop("event_date")), ["event_id"])
+    return versioned.read(spark, root).select(*PING_COLUMNS, "note")
 
 
 def landed(spark: SparkSession, df: DataFrame, label: str) -> str:
@@ -124,24 +133,45 @@ def landed(spark: SparkSession, df: DataFrame, label: str) -> str:
     return path
 
 
+def arrivals(spark: SparkSession, df: DataFrame, second, label: str) -> tuple[str, DataFrame]:
+    """A landing folder with a first arrival, and the rows that arrive later, some of them for old days."""
+    rows, later = sample.event_day(df), F.coalesce(second, F.lit(False))
+    return landed(spark, rows.where(~later), label), rows.where(later)
+
+
+def arrive(rows: DataFrame, path: str) -> None:
+    rows.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy("event_date").parquet(path)
+
+
 @query("c7_incremental_gps", check(f"select {PING} from gps_latest", "gps_latest"))
 def c7_gps(spark, folder):
-    """Three runs: everything up to a day, a repeat with nothing new, and the rest."""
-    source, target = landed(spark, quality.latest_gps(sample.gps(spark, folder)), "c7-gps"), scratch_dir(spark, "c7-gps-out")
-    feed = incremental.Feed("gps_events", incremental.GPS.keys, incremental.GPS.derive, lookback=timedelta(days=365))
-    for now in (datetime(2024, 1, 20), datetime(2024, 1, 20), datetime(2024, 2, 10)):
-        incremental.run_feed(spark, feed, source, target, now)
+    """Raw pings with their copies. Later copies, and rows of every day, arrive after the first run; a third run has nothing new."""
+    late = (F.col("event_id") % 7 == 0) | (F.col("processed_at") > F.col("event_timestamp") + F.expr("interval 60 seconds"))
+    source, rest = arrivals(spark, sample.gps(spark, folder), late, "c7-gps")
+    target = scratch_dir(spark, "c7-gps-out")
+    incremental.run_feed(spark, incremental.GPS, source, target, datetime(2024, 1, 20))
+    arrive(rest, source)
+    for now in (datetime(2024, 2, 10), datetime(2024, 2, 11)):
+        incremental.run_feed(spark, incremental.GPS, source, target, now)
     return versioned.read(spark, target).select(*PING_COLUMNS)
 
 
+define("del_last_copy", """
+    select *, cast(strftime(event_timestamp, '%Y-%m-%d') as varchar) as event_date from deliveries
+    qualify row_number() over (partition by delivery_id, event_type order by event_timestamp desc, order_id desc,
+        vehicle_id desc, driver_id desc, customer_id desc, delay_minutes desc nulls last, package_weight_lbs desc,
+        declared_value desc, distance_miles desc, tip_amount desc) = 1""", "deliveries")
+
+
 @query("c7_incremental_deliveries", check(
-    f"select {DELIVERY}, event_date, delay_minutes <= 0 as is_on_time from del_latest", "del_latest"))
+    f"select {DELIVERY}, event_date, delay_minutes <= 0 as is_on_time from del_last_copy", "del_last_copy"))
 def c7_deliveries(spark, folder):
-    source = landed(spark, quality.latest_deliveries(sample.deliveries(spark, folder)), "c7-del")
+    """Raw delivery events; a third of the deliveries, of all days, arrive after the first run."""
+    source, rest = arrivals(spark, sample.deliveries(spark, folder), F.crc32(F.col("delivery_id").cast("binary")) % 3 == 0, "c7-del")
     target = scratch_dir(spark, "c7-del-out")
-    feed = incremental.Feed("delivery_events", incremental.DELIVERIES.keys, incremental.DELIVERIES.derive, lookback=timedelta(days=365))
-    for now in (datetime(2024, 1, 10, 12), datetime(2024, 2, 10)):
-        incremental.run_feed(spark, feed, source, target, now)
+    incremental.run_feed(spark, incremental.DELIVERIES, source, target, datetime(2024, 1, 10, 12))
+    arrive(rest, source)
+    incremental.run_feed(spark, incremental.DELIVERIES, source, target, datetime(2024, 2, 10))
     return versioned.read(spark, target).select(*DELIVERY_COLUMNS, "event_date", "is_on_time")
 
 
@@ -327,26 +357,31 @@ def c12(spark, folder):
     lake = daily.Lake(scratch_dir(spark, "lake"))
     tables.write_event_dates(sample.event_day(sample.gps(spark, folder)), lake.path("raw", "gps"))
     tables.write_event_dates(sample.event_day(sample.deliveries(spark, folder)), lake.path("raw", "deliveries"))
-    return daily.run_daily(spark, lake, "2024-01-15", exact=True)["daily_summary"]
+    return daily.run_daily(spark, lake, "2024-01-15", exact=True)["daily_summary"].drop("created_at")
+
+
+define("del_of_day", """
+    select *, delay_minutes <= 0 as is_on_time, event_type = 'DELIVERED' as is_successful, 20240115 as date_key from (
+        select * from deliveries where strftime(event_timestamp, '%Y%m%d') = '20240115'
+        qualify row_number() over (partition by delivery_id, event_type
+            order by event_timestamp desc, vehicle_id, driver_id, package_weight_lbs, order_id, customer_id,
+                delay_minutes nulls first, declared_value, distance_miles, tip_amount) = 1)
+    where event_type in ('DELIVERED', 'FAILED_ATTEMPT', 'RETURNED')""", "deliveries")
 
 
 @query("c12_daily_job_deliveries", check(
-    f"""select {DELIVERY}, {DELAY_SQL} as delay_category, {SIZE_SQL} as package_size, is_on_time, is_successful, date_key,
-        {n('hour(event_timestamp) * 100 + minute(event_timestamp)', 'time_key')}
-        from del_clean where date_key = 20240115""", "del_clean"))
+    f"""select {DELIVERY}, {DELAY_SQL} as delay_category, {SIZE_SQL} as package_size, is_on_time, is_successful,
+        {n('date_key')}, {n('hour(event_timestamp) * 100 + minute(event_timestamp)', 'time_key')}
+        from del_of_day""", "del_of_day"))
 def c12_deliveries(spark, folder):
+    """The day's job over raw landings: it sees the copies of its own day."""
     lake = daily.Lake(scratch_dir(spark, "lake"))
     tables.write_event_dates(sample.event_day(sample.gps(spark, folder)), lake.path("raw", "gps"))
-    tables.write_event_dates(sample.event_day(del_clean_input(spark, folder)), lake.path("raw", "deliveries"))
+    tables.write_event_dates(sample.event_day(sample.deliveries(spark, folder)), lake.path("raw", "deliveries"))
     return daily.run_daily(spark, lake, "2024-01-15")["deliveries"].select(
         *DELIVERY_COLUMNS, "delay_category", "package_size", "is_on_time", "is_successful", "date_key", "time_key")
 
 
-def del_clean_input(spark, folder):
-    """Deduplicated over all days: a day's job can only see the copies of its own day."""
-    return quality.latest_deliveries(sample.deliveries(spark, folder))
-
-
 @query("w5_attempts_on_facts", check(
     f"""select delivery_id, event_type, attempt_number, count(*) as events from (
             select delivery_id, event_type, row_number() over (partition by delivery_id

@@ -192,7 +192,7 @@ def x12_positions(spark, folder):
 @query("x7_four_streams", check(
     """select 'gps' as output, count(*) as records from gps
         union all select 'deliveries', count(*) from deliveries
-        union all select 'fleet_metrics', count(*) from fleet_windows
+        union all select 'hourly_metrics', count(*) from fleet_windows
             where window_end <= (select max(event_timestamp) from gps) - interval 1 minute
         union all select 'delivery_kpis', count(*) from kpi_windows
             where window_end <= (select max(event_timestamp) from deliveries where event_type = 'DELIVERED') - interval 2 minute""",
@@ -201,7 +201,7 @@ def x7(spark, folder):
     root = scratch_dir(spark, "x7")
     started = job.start(gps_stream(spark, folder), delivery_stream(spark, folder), root, interval=None)
     sinks.wait(spark, started, any_ends=False)
-    outputs = {"gps": "processed", "deliveries": "processed", "fleet_metrics": "aggregated", "delivery_kpis": "aggregated"}
+    outputs = {"gps": "processed", "deliveries": "processed", "hourly_metrics": "aggregated", "delivery_kpis": "aggregated"}
     counts = [
         spark.read.parquet(f"{root}/{layer}/{name}").agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("records"))
         for name, layer in outputs.items()

@@ -43,30 +43,48 @@ def write_json_report(report: DataFrame, path: str, day: str = "report_date") ->
     )
 
 
-def warehouse_delete_sql(table: str, keys: list[int]) -> str:
-    """Statement that makes a repeated load of the same days idempotent."""
+def _identifier(table: str) -> str:
     if not all(part.isidentifier() for part in table.split(".")):
         raise ValueError(f"not a plain identifier: {table}")
-    return f"delete from {table} where date_key in ({', '.join(str(int(k)) for k in keys)})"
+    return table
+
+
+def warehouse_delete_sql(table: str, keys: list[int]) -> str:
+    """Statement that makes a repeated load of the same days idempotent."""
+    return f"delete from {_identifier(table)} where date_key in ({', '.join(str(int(k)) for k in keys)})"
+
+
+def warehouse_swap_sql(table: str, staging: str, columns: list[str], keys: list[int]) -> str:
+    """One batch that replaces the days by the staged rows, or changes nothing."""
+    names = ", ".join(_identifier(c) for c in columns)
+    return (
+        f"begin; {warehouse_delete_sql(table, keys)}; insert into {table} ({names}) select {names} from {_identifier(staging)};"
+        f" delete from {staging}; commit"
+    )
 
 
 def load_warehouse(
     df: DataFrame, url: str, table: str, properties: dict[str, str], execute: Callable[[str], None],
     keys: list[int], batch_size: int = 10_000, connections: int = 32,
 ) -> None:
-    """Delete the days about to be loaded, then append them.
+    """Replace the days ``keys`` of a warehouse table by the rows, all of which must belong to them.
 
-    ``execute`` runs one statement on the warehouse (its client library is not part of Spark).
-    ``connections`` bounds parallel inserts.
+    Rows go to ``<table>_staging`` first, which must exist with the same columns; then one batch of statements swaps them in.
+    ``execute`` runs statements on the warehouse (its client library is not part of Spark). ``connections`` bounds
+    parallel inserts.
     """
-    execute(warehouse_delete_sql(table, keys))
+    outside = df.where(~F.coalesce(F.col("date_key").isin(keys), F.lit(False))).limit(1).count()
+    if outside:
+        raise ValueError(f"rows for {table} lie outside the days {keys}")
+    staging = f"{table}_staging"
+    execute(f"delete from {_identifier(staging)}")
     (
-        df.where(F.col("date_key").isin(keys))
-        .write.format("jdbc").options(**properties)
-        .option("url", url).option("dbtable", table)
+        df.write.format("jdbc").options(**properties)
+        .option("url", url).option("dbtable", staging)
         .option("batchsize", str(batch_size)).option("numPartitions", str(connections))
         .mode("append").save()
     )
+    execute(warehouse_swap_sql(table, staging, df.columns, keys))
 
 
 # Measures and names the warehouse fact tables expect.

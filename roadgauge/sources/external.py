@@ -7,6 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadgauge.session import stage
+
 
 def jdbc_range_query(table: str, ts: str, low: datetime, high: datetime) -> str:
     """Subquery the database evaluates, so only changed rows travel."""
@@ -50,8 +52,17 @@ def kafka_options(servers: str, topic: str, offsets: dict[str, dict[str, int]] |
     }
 
 
-def read_kafka_range(spark: SparkSession, servers: str, topic: str, offsets=None) -> DataFrame:
-    return spark.read.format("kafka").options(**kafka_options(servers, topic, offsets)).load()
+def read_kafka_range(
+    spark: SparkSession, servers: str, topic: str, offsets=None, load=None,
+) -> tuple[DataFrame, dict[str, dict[str, int]]]:
+    """The records since the stored offsets, and the offsets to store with what is made of them.
+
+    "latest" is resolved anew by every action, so the batch is written once and both come from the
+    written rows: offsets never run ahead of the records. ``load`` replaces the read in tests.
+    """
+    read = load or (lambda options: spark.read.format("kafka").options(**options).load())
+    batch = stage(read(kafka_options(servers, topic, offsets)), "broker-batch")
+    return batch, next_offsets(batch, offsets)
 
 
 def next_offsets(records: DataFrame, before: dict[str, dict[str, int]] | None = None) -> dict[str, dict[str, int]]:

@@ -54,6 +54,16 @@ def scan_range(
     return rows
 
 
+def scan_arrived(spark: SparkSession, root: str, since: datetime | None, schema: StructType | None = None) -> DataFrame:
+    """Rows of files that arrived at or after a time (all if it is None), with the time as ``arrived_at``.
+
+    Arrival is the file's modification time, which the file index knows, so older files are not opened.
+    A late event is read with the file that brings it, however old the event is.
+    """
+    rows = scan(spark, root, schema).withColumn("arrived_at", F.col("_metadata.file_modification_time"))
+    return rows if since is None else rows.where(F.col("_metadata.file_modification_time") >= F.lit(since))
+
+
 def between(df: DataFrame, ts: str, low: datetime, high: datetime) -> DataFrame:
     """Half-open time range of a frame."""
     return df.where((F.col(ts) >= F.lit(low)) & (F.col(ts) < F.lit(high)))

@@ -8,10 +8,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 _BAD = "_corrupt"
 
 
+def identity(schema: StructType) -> list[str]:
+    """Fields that a record needs to be known again: its event and what it is about."""
+    about = "delivery_id" if "delivery_id" in schema.fieldNames() else "vehicle_id"
+    return [name for name in ("event_id", about) if name in schema.fieldNames()]
+
+
 def parse_json(df: DataFrame, text: Column, schema: StructType) -> DataFrame:
     """Add ``data`` (fields per schema) and ``error`` (null for a good record).
 
-    A record is bad if it is no JSON object of the schema or its timestamp does not parse.
+    A record is bad if it is no JSON object of the schema, its timestamp does not parse, or it
+    lacks an id.
     """
     wide = StructType([*schema.fields, StructField(_BAD, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
@@ -22,6 +29,8 @@ def parse_json(df: DataFrame, text: Column, schema: StructType) -> DataFrame:
         .when(F.col("data").isNull() | F.col(f"data.{_BAD}").isNotNull(), "malformed JSON")
         .when(stamp.isNull(), "bad timestamp")
     )
+    for name in identity(schema):
+        error = error.when(F.trim(F.col(f"data.{name}").cast("string")).isin("") | F.col(f"data.{name}").isNull(), f"no {name}")
     return parsed.withColumn("event_timestamp", stamp).withColumn("error", error)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from roadgauge.functions import columns as C
+from roadgauge.sources import catalog
 from roadgauge.streaming import sinks, windows
 
 
@@ -13,7 +14,7 @@ def start(gps: DataFrame, deliveries: DataFrame, root: str, interval: str | None
     """Start the four queries, each with its own checkpoint and output folder."""
     outputs = {
         "processed/gps": C.enrich_gps(gps),
-        "aggregated/fleet_metrics": windows.fleet_metrics(gps),
+        "aggregated/hourly_metrics": catalog.conform(windows.fleet_metrics(gps), "agg_hourly_metrics"),
         "processed/deliveries": C.enrich_deliveries(deliveries),
         "aggregated/delivery_kpis": windows.delivery_kpis(deliveries),
     }

@@ -72,11 +72,12 @@ def test_gate_and_faults_agree(spark):
     rows = spark.createDataFrame([
         (90.0, 180.0, 0.0, 0.0), (-90.0, -180.0, 1.0, 1.0), (90.1, 0.0, 1.0, 0.5), (0.0, 180.1, 1.0, 0.5),
         (0.0, 0.0, -0.1, 0.5), (0.0, 0.0, 1.0, 1.1), (None, 0.0, 1.0, 0.5), (0.0, 0.0, None, None),
+        (0.0, 0.0, float("nan"), 0.5), (float("nan"), 0.0, 1.0, float("nan")),
     ], "latitude double, longitude double, speed_mph double, fuel_level double").select(
         F.coalesce(C.gps_valid(), F.lit(False)), C.gps_faults()).collect()
     assert [tuple(r) for r in rows] == [
         (True, ""), (True, ""), (False, "latitude"), (False, "longitude"), (False, "speed"), (False, "fuel"),
-        (False, "latitude"), (False, "speed,fuel")]
+        (False, "latitude"), (False, "speed,fuel"), (False, "speed"), (False, "latitude,fuel")]
 
 
 def test_percent_fuel_feed(spark):

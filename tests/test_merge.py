@@ -129,7 +129,7 @@ def test_merge_rewrites_only_touched_dates(spark, tmp_path):
     versioned.merge_into(spark, root, events(spark, (1, 0, "a"), (2, 1, "b"), (3, 2, "c")), ["id"])
     result = versioned.merge_into(spark, root, events(spark, (2, 1, "B"), (4, 3, "d")), ["id"])
     assert result.rows == 2 and result.watermark == day(3) and result.dates == ["2024-01-02", "2024-01-04"]
-    assert versioned.published(spark, root).partitions == {
+    assert {d: int(v.split("-")[0]) for d, v in versioned.published(spark, root).partitions.items()} == {
         "2024-01-01": 1, "2024-01-02": 2, "2024-01-03": 1, "2024-01-04": 2}
     assert rows(versioned.read(spark, root), "id", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
     assert rows(versioned.read(spark, root, ["2024-01-02"]), "id") == [(2,)]
@@ -153,10 +153,104 @@ def test_crash_before_publishing_changes_nothing_and_a_repeat_heals(spark, tmp_p
     assert rows(versioned.read(spark, root), "id", "v") == [(1, "a")]
     versioned.merge_into(spark, root, events(spark, (1, 0, "A")), ["id"])
     assert rows(versioned.read(spark, root), "id", "v") == [(1, "A")]
-    assert len(versioned.remove_unnamed(spark, root, keep_states=1)) == 1
+    # the crashed run's folder and the replaced one
+    assert len(versioned.remove_unnamed(spark, root, keep_states=1)) == 2
     assert rows(versioned.read(spark, root), "id", "v") == [(1, "A")]
 
 
+def test_crashed_merge_stays_unseen_when_its_date_empties_later(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    versioned.merge_into(spark, root, events(spark, (1, 0, "a")), ["id"])
+    with monkeypatch.context() as broken:
+        broken.setattr(state, "write", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            versioned.merge_into(spark, root, events(spark, (1, 0, "A"), (2, 0, "crashed")), ["id"])
+    versioned.merge_into(spark, root, events(spark, (1, 5, "moved")), ["id"])
+    assert rows(versioned.read(spark, root), "id", "event_date", "v") == [(1, "2024-01-06", "moved")]
+
+
+def test_losing_writer_leaves_the_winners_rows(spark, tmp_path, monkeypatch):
+    root, write = str(tmp_path), state.write
+    versioned.merge_into(spark, root, events(spark, (1, 0, "a")), ["id"])
+
+    def other_run_first(*args):
+        monkeypatch.setattr(state, "write", write)
+        versioned.merge_into(spark, root, events(spark, (1, 0, "winner")), ["id"])
+        return write(*args)
+
+    monkeypatch.setattr(state, "write", other_run_first)
+    with pytest.raises(RuntimeError, match="another run"):
+        versioned.merge_into(spark, root, events(spark, (1, 0, "loser")), ["id"])
+    assert rows(versioned.read(spark, root), "id", "v") == [(1, "winner")]
+
+
+def test_added_column_is_read_and_survives_the_next_merge(spark, tmp_path):
+    root = str(tmp_path)
+    versioned.merge_into(spark, root, events(spark, (1, 0, "a"), (2, 1, "b")), ["id"])
+    versioned.merge_into(spark, root, events(spark, (1, 0, "A")).withColumn("extra", F.lit("x")), ["id"])
+    assert rows(versioned.read(spark, root), "id", "v", "extra") == [(1, "A", "x"), (2, "b", None)]
+    versioned.merge_into(spark, root, events(spark, (3, 0, "c")), ["id"])
+    assert rows(versioned.read(spark, root), "id", "extra") == [(1, "x"), (2, None), (3, None)]
+
+
+def test_state_cut_short_does_not_count(spark, tmp_path):
+    folder = str(tmp_path / "s")
+    state.write(spark, folder, {"a": 1}, 0)
+    (tmp_path / "s" / "000000000002.json").write_text("")
+    assert state.read(spark, folder) == (2, {"a": 1})
+    assert state.write(spark, folder, {"a": 3}, 2) == 3 and state.read(spark, folder) == (3, {"a": 3})
+
+
+# --- incremental jobs --------------------------------------------------------------------
+
+PING = "event_id string, vehicle_id string, event_timestamp timestamp, speed_mph double, processed_at timestamp"
+
+
+def land(spark, path, *pings):
+    made = spark.createDataFrame([(e, "V1", at, speed, done) for e, at, speed, done in pings], PING)
+    made.withColumn("event_date", F.to_date("event_timestamp").cast("string")).write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def test_incremental_load_loses_nothing(spark, tmp_path):
+    from roadgauge.plans import incremental
+
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    speeds = lambda: rows(versioned.read(spark, target), "event_id", "speed_mph")
+    land(spark, source, ("old", day(-300), 10.0, day(-300)), ("new", day(9), 20.0, day(9)),
+         ("twice", day(8), 50.0, day(8)), ("twice", day(8), 40.0, day(8) + timedelta(seconds=60)))
+    first = incremental.run_feed(spark, incremental.GPS, source, target, day(10))
+    # the oldest row is there, and of two copies the one processed last
+    assert speeds() == [("new", 20.0), ("old", 10.0), ("twice", 40.0)] and first["gps_events_records_processed"] == 4
+    land(spark, source, ("late", day(9) - timedelta(hours=1), 30.0, day(10)))
+    second = incremental.run_feed(spark, incremental.GPS, source, target, day(11))
+    assert ("late", 30.0) in speeds() and len(speeds()) == 4
+    assert second["gps_events_read_since"] < first["gps_events_arrived_until"]
+    before = speeds()
+    incremental.run_feed(spark, incremental.GPS, source, target, day(12))
+    assert speeds() == before
+
+
+def test_bounded_start_is_explicit(spark, tmp_path):
+    from roadgauge.plans import incremental
+
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, source, ("a", day(0), 1.0, day(0)))
+    result = incremental.run_feed(spark, incremental.GPS, source, target, day(1), start=datetime(2100, 1, 1))
+    assert result["gps_events_records_processed"] == 0 and versioned.read(spark, target) is None
+
+
+def test_pings_need_no_scan_of_stored_keys(spark, tmp_path, monkeypatch):
+    from roadgauge.plans import incremental
+
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, source, ("a", day(0), 1.0, day(0)))
+    monkeypatch.setattr(merge, "updated", lambda *a: pytest.fail("reads the keys of the whole table"))
+    incremental.run_feed(spark, incremental.GPS, source, target, day(1))
+    land(spark, source, ("b", day(1), 1.0, day(1)))
+    incremental.run_feed(spark, incremental.GPS, source, target, day(2))
+    assert rows(versioned.read(spark, target), "event_id") == [("a",), ("b",)]
+
+
 def test_empty_source_and_version_pruning(spark, tmp_path):
     from tests.conftest import plan
     root = str(tmp_path)
@@ -181,6 +275,7 @@ def test_watermarks(spark, tmp_path):
     state.set_watermark(spark, root, "job", "gps", day(5), day(6))
     assert state.get_watermark(spark, root, "job", "gps") == day(5)
     now = day(10)
-    assert state.watermark_range(None, now) == (day(9), now - timedelta(minutes=5))
+    assert state.watermark_range(None, now) == (None, now - timedelta(minutes=5))
+    assert state.watermark_range(None, now, lookback=timedelta(days=1))[0] == now - timedelta(days=1)
     assert state.watermark_range(day(5), now)[0] == day(5)
     assert state.watermark_range(day(5), now, lateness=timedelta(hours=1))[0] == day(5) - timedelta(hours=1)

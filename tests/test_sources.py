@@ -123,6 +123,12 @@ def test_json_split_keeps_bad_records_with_their_error(spark):
     assert len(S.GPS_EVENT.fields) == 10
 
 
+def test_records_without_identity_are_bad(spark):
+    lines = ['{"timestamp": "2024-01-01T00:00:00Z"}', GOOD.replace('"V1"', '" "'), GOOD.replace('"1"', "null")]
+    parsed = records.parse_json(spark.createDataFrame([(x,) for x in lines], "value string"), F.col("value"), S.GPS_EVENT)
+    assert [r.error for r in parsed.select("error").collect()] == ["no event_id", "no vehicle_id", "no event_id"]
+
+
 def test_wrapped_payloads(spark):
     df = spark.createDataFrame([(GOOD,)], "v string").select(F.base64("v").alias("p")).union(
         spark.sql("select '***not base64***' p"))
@@ -148,6 +154,28 @@ def test_kafka_offsets_go_on_where_the_last_run_ended(spark):
     assert json.loads(external.kafka_options("s", "t", offsets)["startingOffsets"]) == offsets
 
 
+def test_offsets_come_from_the_rows_that_were_read(spark):
+    """The source grows between two actions; the batch does not."""
+    grown = {"n": 5}
+    source = spark.range(100).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+
+    def load(options):
+        assert options["startingOffsets"] == json.dumps({"t": {"0": 2}})
+        return source.where(F.col("offset").between(2, grown["n"]))
+
+    batch, offsets = external.read_kafka_range(spark, "s", "t", {"t": {"0": 2}}, load=load)
+    grown["n"] = 50
+    assert batch.count() == 4 and offsets == {"t": {"0": 6}}
+
+
+def test_warehouse_load_refuses_rows_of_other_days(spark):
+    rows = spark.createDataFrame([(20240115,), (None,)], "date_key int")
+    with pytest.raises(ValueError, match="outside"):
+        tables.load_warehouse(rows, "jdbc:none", "dw.fact", {}, lambda text: pytest.fail("ran a statement"), [20240115])
+    swap = tables.warehouse_swap_sql("dw.fact", "dw.fact_staging", ["date_key", "n"], [20240115])
+    assert swap.startswith("begin; delete from dw.fact where date_key in (20240115);") and swap.endswith("commit")
+
+
 def test_catalog_tables_and_partition_upkeep(spark, tmp_path):
     root = str(tmp_path)
     catalog.create_tables(spark, root, "lake")
@@ -162,6 +190,28 @@ def test_catalog_tables_and_partition_upkeep(spark, tmp_path):
     assert spark.table("lake.agg_daily_summary").schema["on_time_delivery_pct"].dataType.simpleString() == "decimal(5,2)"
 
 
+def test_catalog_reads_what_the_daily_job_writes(spark, tmp_path):
+    from roadgauge.plans import daily
+    from roadgauge.sources import sample
+    from tests.conftest import SAMPLE
+
+    lake = daily.Lake(str(tmp_path))
+    for name, df in (("gps", sample.gps(spark, SAMPLE)), ("deliveries", sample.deliveries(spark, SAMPLE))):
+        tables.write_event_dates(sample.event_day(df), lake.path("raw", name))
+    daily.run_daily(spark, lake, "2024-01-15", now="2024-01-16 01:02:03")
+    catalog.create_tables(spark, lake.root, "daily_lake")
+    for name in ("fact_gps_events", "fact_deliveries", "fact_vehicle_trips", "agg_daily_summary"):
+        catalog.repair(spark, f"daily_lake.{name}")
+        rows = spark.table(f"daily_lake.{name}")
+        assert len(rows.collect()) > 0
+        assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in catalog.declared(name)]
+    summary = spark.table("daily_lake.agg_daily_summary").first()
+    assert str(summary.created_at) == "2024-01-16 01:02:03" and str(summary.summary_date) == "2024-01-15"
+    trips = spark.table("daily_lake.fact_vehicle_trips")
+    assert trips.where("trip_date is null or date_key <> 20240115").isEmpty()
+    spark.sql("drop database daily_lake cascade")
+
+
 def test_warehouse_statements_and_columns(spark):
     assert tables.warehouse_delete_sql("dw.fact", [20240115]) == "delete from dw.fact where date_key in (20240115)"
     with pytest.raises(ValueError):

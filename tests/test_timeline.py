@@ -63,7 +63,18 @@ def test_several_keys(spark, pings):
 
 def test_rows_are_shuffled_by_key_and_slice(spark, pings):
     text = plan(timeline.with_previous(pings, columns=["s"], **PLAIN))
-    assert "hashpartitioning(k" in text and "_slice" in text
+    assert "hashpartitioning(_key" in text and "_slice" in text
+
+
+def test_null_keys_belong_together(spark, pings):
+    some = pings.withColumn("k", F.when(F.col("k") == "HOT", None).otherwise(F.col("k")))
+    upto = window().rowsBetween(Window.unboundedPreceding, 0)
+    same(timeline.with_running_total(some, value=F.lit(1), name="total", **PLAIN).select("i", "total"),
+         some.select("i", F.sum(F.lit(1)).over(upto)))
+    same(timeline.with_previous(some, columns=["s"], **PLAIN).select("i", "previous.i"), some.select("i", F.lag("i").over(window())))
+    same(timeline.with_next(some, columns=["s"], **PLAIN).select("i", "following.i"), some.select("i", F.lead("i").over(window())))
+    same(timeline.with_last_known(some, column="s", name="last", **PLAIN).select("i", "last"),
+         some.select("i", F.last("s", ignorenulls=True).over(upto)))
 
 
 def test_driver_as_of_equals_brute_force(spark):
