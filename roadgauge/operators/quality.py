@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadgauge import schemas as S
 from roadgauge.functions import columns as C
-from roadgauge.operators import timeline
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -69,16 +68,13 @@ def clean_deliveries(df: DataFrame) -> DataFrame:
 
 
 def lifecycle_violations(df: DataFrame, key: str = "delivery_id", order: list[str] | None = None) -> DataFrame:
-    """Consecutive statuses of a key that the lifecycle does not allow."""
+    """Consecutive statuses of a key that the lifecycle does not allow. A key has a handful of events: a plain window does."""
     order = order or ["event_timestamp", "event_type"]
     allowed = [f"{a}>{b}" for a, following in S.LIFECYCLE.items() for b in following]
-    linked = timeline.with_previous(df, key, order, ["event_type"])
-    return (
-        linked.where(F.col("previous.event_type").isNotNull())
-        .withColumn("previous_status", F.col("previous.event_type"))
-        .where(~F.concat_ws(">", "previous_status", "event_type").isin(allowed))
-        .drop("previous")
-    )
+    within = Window.partitionBy(key).orderBy(*order)
+    linked = df.withColumn("previous_status", F.lag("event_type").over(within))
+    return linked.where(F.col("previous_status").isNotNull()).where(
+        ~F.concat_ws(">", "previous_status", "event_type").isin(allowed))
 
 
 def daily_availability(gps: DataFrame, deliveries: DataFrame) -> DataFrame:

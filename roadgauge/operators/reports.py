@@ -62,6 +62,16 @@ def fleet_status(
     )
 
 
+def recent(rows: DataFrame, as_of, days: int, ts: str = "event_timestamp") -> DataFrame:
+    """Rows of the last ``days``, bounded at the scan: by event_date too, where the table is partitioned by it.
+
+    A lower bound on the event time changes no keep-latest dedup for the days within it, so it can come first.
+    """
+    first = F.date_sub(F.lit(as_of).cast("date"), days)
+    bounded = rows.where(F.col(ts) >= first.cast("timestamp"))
+    return bounded.where(F.col("event_date") >= first.cast("string")) if "event_date" in rows.columns else bounded
+
+
 def delivery_performance(deliveries: DataFrame, dates: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Per date of the last ``days``: totals, successes, on-time and shares.
 
@@ -101,6 +111,7 @@ def top_drivers(leaderboard: DataFrame, k: int = 5) -> DataFrame:
     ).limit(k)
 
 
+# Alert types, subjects and message texts, as their receivers know them.
 def alerts(deliveries: DataFrame) -> DataFrame:
     """One row per alert; an event can raise a delay and a failure alert."""
     has = deliveries.columns
@@ -119,8 +130,9 @@ def alerts(deliveries: DataFrame) -> DataFrame:
         F.lit("FAILED_ATTEMPT").alias("alert_type"),
         F.concat(F.lit("Failed Delivery - "), "delivery_id").alias("subject"),
         F.format_string(
-            "Delivery attempt failed for %s. Order ID: %s. Customer: %s. Reason: %s.",
-            F.col("delivery_id"), F.col("order_id"), F.col("customer_id"), notes,
+            "Delivery attempt failed for %s. Order ID: %s. Customer: %s. Location: %s, %s. Reason: %s.",
+            F.col("delivery_id"), F.col("order_id"), F.col("customer_id"),
+            *[F.coalesce(c.cast("string"), F.lit("unknown")) for c in place], notes,
         ).alias("message"),
     )
     raised = F.array_compact(F.array(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from roadgauge.functions import columns as C, geo
 from roadgauge.operators import timeline
@@ -14,12 +14,12 @@ PING_ORDER = ["event_timestamp", "event_id"]
 def attempt_numbers(deliveries: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Number each delivery's final-status events by time, from 1.
 
-    Takes events before deduplication, which would keep only one failed attempt.
+    Takes events before deduplication, which would keep only one failed attempt. A delivery has a handful of
+    events, so a plain window does with one shuffle.
     """
     order = order or ["event_timestamp", "event_type", "vehicle_id", "driver_id"]
-    return timeline.with_running_total(
-        deliveries.where(C.is_terminal()), "delivery_id", order, F.lit(1), "attempt_number",
-    )
+    within = Window.partitionBy("delivery_id").orderBy(*order)
+    return deliveries.where(C.is_terminal()).withColumn("attempt_number", F.row_number().over(within).cast("long"))
 
 
 def linked_pings(gps: DataFrame, keep_slice: bool = False) -> DataFrame:

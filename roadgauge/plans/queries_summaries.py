@@ -47,6 +47,11 @@ def dates(spark, folder):
     return dims.dim_date_of(both)
 
 
+def calendar(spark):
+    """The stored date dimension: a fixed span, so no fact is read for it."""
+    return dims.dim_date(spark, "2023-01-01", "2025-12-31")
+
+
 define("span", """
     select min(cast(event_timestamp as date)) as first, max(cast(event_timestamp as date)) as last
     from (select event_timestamp from gps union all select event_timestamp from deliveries)""", "gps", "deliveries")
@@ -213,7 +218,8 @@ def a13(spark, folder):
         from del_clean join dates using (date_key) where full_date >= date '{AS_OF}' - 30
         group by full_date, day_name""", "del_clean", "dates"))
 def a14(spark, folder):
-    return reports.delivery_performance(del_clean(spark, folder), dates(spark, folder), AS_OF)
+    rows = reports.recent(sample.deliveries(spark, folder), AS_OF, 30)
+    return reports.delivery_performance(quality.clean_deliveries(rows), calendar(spark), AS_OF)
 
 
 LEADERS = f"""select driver_id, driver_name, count(*) as total_deliveries,
@@ -225,7 +231,8 @@ LEADERS = f"""select driver_id, driver_name, count(*) as total_deliveries,
 
 def leaderboard(spark, folder):
     return reports.driver_leaderboard(
-        del_clean(spark, folder), sample.drivers(spark, folder), dates(spark, folder), AS_OF)
+        quality.clean_deliveries(reports.recent(sample.deliveries(spark, folder), AS_OF, 7)),
+        sample.drivers(spark, folder), calendar(spark), AS_OF)
 
 
 @query("a15_driver_leaderboard", check(LEADERS, "drivers", "del_clean", "dates"))
@@ -251,6 +258,11 @@ define("current_driver", """
     left join drivers using (driver_id)""", "deliveries", "drivers")
 
 
+def clean_day(spark, folder):
+    """The pings of the report's day, bounded before the dedup: copies of a ping share its time."""
+    return quality.clean_gps(reports.recent(sample.gps(spark, folder), AS_OF, 0))
+
+
 @query("a16_current_fleet_status", check(
     f"""select vehicle_id, vehicle_type, driver_name, {rd('latitude')}, {rd('longitude')}, {rd('speed_mph')},
         engine_status, {rd('fuel_level')}, {at('event_timestamp', 'last_update')}
@@ -258,15 +270,15 @@ define("current_driver", """
     "vehicles", "positions", "current_driver"))
 def a16(spark, folder):
     return reports.fleet_status(
-        sample.vehicles(spark, folder), gps_clean(spark, folder), sample.deliveries(spark, folder),
-        sample.drivers(spark, folder), dates(spark, folder), AS_OF)
+        sample.vehicles(spark, folder), clean_day(spark, folder), sample.deliveries(spark, folder),
+        sample.drivers(spark, folder), calendar(spark), AS_OF)
 
 
 @query("j7_left_join_latest_row", check(
     f"select vehicle_id, vehicle_type, {at('event_timestamp', 'last_update')} from vehicles left join positions using (vehicle_id)",
     "vehicles", "positions"))
 def j7(spark, folder):
-    today = gps_clean(spark, folder).where(F.col("date_key") == 20240128)
+    today = clean_day(spark, folder).where(F.col("date_key") == reports.latest_day(calendar(spark), AS_OF).scalar())
     latest = reports.latest_positions(today).select("vehicle_id", F.col("event_timestamp").alias("last_update"))
     return sample.vehicles(spark, folder).join(latest, "vehicle_id", "left")
 
@@ -275,8 +287,8 @@ def j7(spark, folder):
     f"""select event_id, {rd('speed_mph')} from gps_clean
         where date_key = (select max(date_key) from dates where full_date <= date '{AS_OF}')""", "gps_clean", "dates"))
 def j8(spark, folder):
-    day = reports.latest_day(dates(spark, folder), AS_OF).scalar()
-    return gps_clean(spark, folder).where(F.col("date_key") == day).select("event_id", "speed_mph")
+    day = reports.latest_day(calendar(spark), AS_OF).scalar()
+    return clean_day(spark, folder).where(F.col("date_key") == day).select("event_id", "speed_mph")
 
 
 @query("j6_star_join", check(
@@ -287,7 +299,7 @@ def j8(spark, folder):
 def j6(spark, folder):
     return (
         del_clean(spark, folder)
-        .join(dates(spark, folder).select("date_key", "day_name"), "date_key")
+        .join(calendar(spark).select("date_key", "day_name"), "date_key")
         .join(sample.customers(spark, folder).select("customer_id", "customer_type"), "customer_id")
         .groupBy("day_name", "customer_type")
         .agg(F.count(F.lit(1)).alias("deliveries"), F.sum("declared_value").alias("declared_value"))
@@ -420,7 +432,7 @@ ALERTS = f"""
     select delivery_id, event_type, {at('event_timestamp')}, {n('delay_minutes')}, 'FAILED_ATTEMPT',
         concat('Failed Delivery - ', delivery_id),
         concat('Delivery attempt failed for ', delivery_id, '. Order ID: ', order_id, '. Customer: ', customer_id,
-            '. Reason: Unknown.')
+            '. Location: unknown, unknown. Reason: Unknown.')
     from deliveries where event_type = 'FAILED_ATTEMPT'"""
 
 

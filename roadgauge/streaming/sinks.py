@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from roadgauge.sources import records
 from pyspark.sql.types import StructType
@@ -96,9 +96,28 @@ def wait(spark: SparkSession, queries: list[StreamingQuery], any_ends: bool = Tr
                 query.stop()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far for being older than the watermark."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped for being older than the watermark, over the whole life of each query.
+
+    Add it before the queries start: ``spark.streams.addListener(LateRows())``.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped.get(str(query.id), 0)
