@@ -108,18 +108,32 @@ def _spread(df: DataFrame, slide: Slide) -> DataFrame:
     return df.withColumn("window_start", F.explode(starts)).drop("step")
 
 
-def exact_percentiles(df: DataFrame, slide: Slide, value: str, shares: dict[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, slide: Slide, value: str, shares: dict[str, float], width: float = 1.0) -> DataFrame:
     """Smallest value with at least the given share of the window's values at or below it.
 
-    Works on counts per distinct value, ordered within a window as a running sum; no list of
-    values is held in memory.
+    Works on counts per distinct value. Values lie in buckets of the given width; a running sum over a window's buckets
+    finds those that hold a share, and only these buckets' values are ranked, each bucket on its own. So a task holds a
+    window's bucket counts, or one bucket's values, and never a whole window.
     """
     counts = _spread(
         df.where(F.col(value).isNotNull()).groupBy(_step(slide), value).agg(F.count(F.lit(1)).alias("n")), slide,
     ).groupBy("window_start", value).agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("window_start").agg(F.sum("n").alias("total"))
-    upto = Window.partitionBy("window_start").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("rank", F.sum("n").over(upto)).join(totals, "window_start")
+    # NaN is the greatest double
+    number = F.col(value).cast("double")
+    bucket = F.when(F.isnan(number), F.lit((1 << 63) - 1)).otherwise(F.floor(number / width))
+    counts = counts.withColumn("bucket", bucket)
+    within = Window.partitionBy("window_start")
+    upto = within.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    buckets = counts.groupBy("window_start", "bucket").agg(F.sum("n").alias("size")).withColumns({
+        "reached": F.sum("size").over(upto), "total": F.sum("size").over(within)})
+    before = F.col("reached") - F.col("size")
+    holds = [(before < F.col("total") * share) & (F.col("reached") >= F.col("total") * share) for share in shares.values()]
+    any_share = holds[0]
+    for other in holds[1:]:
+        any_share = any_share | other
+    held = buckets.where(any_share).select("window_start", "bucket", "total", before.alias("before"))
+    inside = Window.partitionBy("window_start", "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.join(held, ["window_start", "bucket"]).withColumn("rank", F.col("before") + F.sum("n").over(inside))
     return ranked.groupBy("window_start").agg(*[
         F.min(F.when(F.col("rank") >= F.col("total") * share, F.col(value))).alias(name)
         for name, share in shares.items()
