@@ -25,6 +25,8 @@ WINDOW_STEPS = (1, 2, 4, 8)
 CHUNK_BITS = 7
 MOST_CHUNKS = 40_000
 MOST_WORDS = 500_000
+#: New words of texts of so many characters together are encoded in one call.
+LEARN_CHARACTERS = 400_000
 
 
 #: A letter before a mark: the splitter parts them anyhow, so a space between them changes no id.
@@ -116,6 +118,21 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of one text; of an empty text none."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. New words of several texts are encoded in one call."""
+        made, pending, size = [], [], 0
+        for text in texts:
+            pending.append(self._parts(text))
+            size += len(text)
+            if size > LEARN_CHARACTERS:
+                made += self._joined(pending)
+                pending, size = [], 0
+        return made + self._joined(pending)
+
+    def _parts(self, text: str) -> tuple[list[bytes], list[tuple]]:
+        """Ids of the parts of a text, and the places of parts with words that are not known yet."""
         text = plain(text)
         cuts = self._cuts(text) if text else []
         known, words, out, again, carry, start = self.chunks, self.words, [], [], "", 0
@@ -149,17 +166,23 @@ class ChunkEncoder:
         out.append(ids_of(carry))
         if len(todo) > before:
             again.append((len(out) - 1, None, (carry,)))
-        if again:
-            self._learn(todo)
-            todo.clear()
+        return out, again
+
+    def _joined(self, pending: list[tuple[list[bytes], list[tuple]]]) -> list[bytes]:
+        """Learn what is missing, and put each text together."""
+        if self.words.todo:
+            self._learn(self.words.todo)
+            self.words.todo.clear()
+        ids_of = self.words.__getitem__
+        for out, again in pending:
             for place, chunk, inner in again:
                 out[place] = b"".join(map(ids_of, inner))
                 if chunk is not None:
-                    known[chunk] = (chunk[:chunk.find(" ")], out[place], chunk[chunk.rfind(" ") + 1:])
-            words.trim()
-        if len(known) > MOST_CHUNKS:
-            known.clear()
-        return b"".join(out)
+                    self.chunks[chunk] = (chunk[:chunk.find(" ")], out[place], chunk[chunk.rfind(" ") + 1:])
+        self.words.trim()
+        if len(self.chunks) > MOST_CHUNKS:
+            self.chunks.clear()
+        return [b"".join(out) for out, _ in pending]
 
     def decode(self, ids: bytes) -> str:
         """Text of ids, special tokens included: tokens joined by spaces, as the file names no decoder."""
@@ -190,7 +213,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = encoder(path)
-        ids = [own.encode(text or "") for text in batch.column("text").to_pylist()]
+        ids = own.encode_all([text or "" for text in batch.column("text").to_pylist()])
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
              pa.array([own.decode(x) for x in ids], pa.string())],

@@ -92,8 +92,9 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
 
         own, packer, rows = bpe.encoder(path), Packer(TaskContext.get().partitionId(), capacity), []
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                rows += packer.add(doc_id, own.encode(text or "") + end)
+            encoded = own.encode_all([text or "" for text in batch.column("text").to_pylist()])
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+                rows += packer.add(doc_id, ids + end)
                 if len(rows) >= ROWS_OUT:
                     yield to_batch(rows)
                     rows = []
