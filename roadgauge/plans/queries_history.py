@@ -301,6 +301,34 @@ def d3(spark, folder):
     return dim.join(copies, "driver_key").withColumn("key_is_unique", F.col("n") == 1).drop("n", "driver_key")
 
 
+define("vehicle_v2", """
+    select vehicle_id, case when cast(substr(vehicle_id, 2) as int) % 4 = 0 then 'ELECTRIC' else vehicle_type end as vehicle_type
+    from vehicles where cast(substr(vehicle_id, 2) as int) % 2 = 0""", "vehicles")
+define("vehicle_history", """
+    select o.vehicle_id, o.vehicle_type, timestamp '2023-12-01 00:00:00' as effective_start,
+        case when v.vehicle_type <> o.vehicle_type then timestamp '2024-01-14 12:00:00' end as effective_end
+    from vehicles o left join vehicle_v2 v using (vehicle_id)
+    union all
+    select vehicle_id, v.vehicle_type, timestamp '2024-01-14 12:00:00', null
+    from vehicle_v2 v join vehicles o using (vehicle_id) where v.vehicle_type <> o.vehicle_type""", "vehicles", "vehicle_v2")
+
+
+@query("d3_dim_vehicle", check(
+    f"""select vehicle_id, vehicle_type, {at('effective_start')}, {at('effective_end')}, effective_end is null as is_current,
+        count(*) over (partition by vehicle_id) as versions from vehicle_history""", "vehicle_history"))
+def d3_vehicle(spark, folder):
+    """Half of the vehicles are reported again, every second of these with another type; the others keep their version."""
+    number = F.substring("vehicle_id", 2, 9).cast("int")
+    first = stage(sample.vehicles(spark, folder), "vehicles")
+    second = first.where(number % 2 == 0).withColumn(
+        "vehicle_type", F.when(number % 4 == 0, "ELECTRIC").otherwise(F.col("vehicle_type")))
+    history = stage(merge.scd2(None, first.withColumn("updated_at", F.lit("2023-12-01").cast("timestamp")), ["vehicle_id"], "updated_at"), "vehicles-1")
+    both = merge.scd2(history, second.withColumn("updated_at", F.lit("2024-01-14 12:00:00").cast("timestamp")), ["vehicle_id"], "updated_at")
+    dim = dims.versioned_dim(both, "vehicle_id", "vehicle_key")
+    per_vehicle = dim.groupBy("vehicle_id").agg(F.countDistinct("vehicle_key").alias("versions"))
+    return dim.join(per_vehicle, "vehicle_id").drop("vehicle_key")
+
+
 @query("d4_dim_customer", check(
     f"""select concat('CUST-', lpad(cast(c_custkey as varchar), 5, '0')) as customer_id, c_name as customer_name,
         case when c_nationkey = 3 then 'BUSINESS' else c_mktsegment end as customer_type, {n('c_nationkey', 'region_code')}
