@@ -11,13 +11,14 @@ the walk, and texts of nearly equal length sample the same steps. The whole text
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadgauge.llm import common
 
@@ -27,8 +28,6 @@ PERIOD, CLASSES = 4096, 64
 SEED = 20
 #: Least agreement of verified pairs; bands of BAND nibbles.
 ALIKE, BAND = 0.8, 8
-#: Range partitions of the order by doc_id.
-RANGES = 48
 
 
 @lru_cache(maxsize=1)
@@ -128,21 +127,30 @@ class _Fingerprints:
 SCHEMA = "doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def with_following(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
+def _place(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at most the value: first among every so many of them, then among those between."""
+    step = max(1, math.isqrt(len(bounds)))
+    longs = lambda values: F.array(*[F.lit(x).cast("long") for x in values]).cast("array<bigint>")
+    reached = lambda some: F.size(F.filter(some, lambda x: x <= value))
+    groups = reached(longs(bounds[step - 1::step]))
+    return groups * step + reached(F.slice(longs(bounds), groups * step + 1, F.lit(step)))
+
+
+def with_following(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Rows sorted by (doc_id, text) within ranges of doc_id: place, doc_id, text, guest.
 
     A range ends with a guest, the first document of the next range; the last with the first document of all. Texts move once.
-    A null id is the smallest. The bounds are a fixed number of quantiles of the ids.
+    A null id is the smallest. The bounds are quantiles of the ids, one less than the ranges: by default as many as the session
+    has shuffle partitions, which are to grow with the data.
     """
+    ranges = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = common.id_and_text(docs).withColumn("text", F.coalesce("text", F.lit(""))).withColumn(
         "order_id", F.coalesce("doc_id", F.lit(-1 << 63)))
     ids = rows.select("order_id")
     low, bounds = ids.agg(
         F.min("order_id"), F.percentile_approx("order_id", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()
     bounds = sorted({x for x in bounds or [] if x > low})
-    edges = F.array(*[F.lit(x).cast("long") for x in bounds]) if bounds else F.array().cast("array<bigint>")
-    place = F.aggregate(edges, F.lit(0), lambda n, x: n + F.when(x <= F.col("order_id"), 1).otherwise(0))
-    own = rows.withColumn("place", place)
+    own = rows.withColumn("place", _place(F.col("order_id"), bounds))
     starts = [low, *bounds] if low is not None else []
     is_start = F.col("order_id").isin(starts) if starts else F.lit(False)
     previous = F.when(F.col("order_id") == F.lit(low), F.lit(len(bounds))).otherwise(F.col("place") - 1)
@@ -154,7 +162,7 @@ def with_following(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
     return dealt.repartition(ranges, "place").sortWithinPartitions("place", "guest", "order_id", "text")
 
 
-def fingerprints(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
+def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Of every row: n_chars, its edited text, both fingerprints, and the likeness to the edited text's and to the next document's.
 
     The next document is the next in ascending (doc_id, text), after the last the first; a null text is empty and a null id the smallest.
