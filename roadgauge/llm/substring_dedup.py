@@ -181,7 +181,9 @@ def decide(grouped: DataFrame, contested: bool) -> DataFrame:
                     [pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(values_)),
                      pa.array(np.repeat(np.array(kinds, np.int32), [len(x) for x in ids]))], ["doc_id", "key", "value", "kind"])
 
-    return grouped.repartition("key").sortWithinPartitions("key", "value", "doc_id").mapInArrow(run, MARKS)
+    # values of a key need each other only to tell whether it is contested
+    dealt = grouped.repartition("key") if contested else grouped.repartition("key", "value")
+    return dealt.sortWithinPartitions("key", "value", "doc_id").mapInArrow(run, MARKS)
 
 
 def beside_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
