@@ -4,7 +4,7 @@ Two 64-bit fingerprints that differ in at most 3 bits agree on at least two of f
 fingerprints are therefore dealt to shards by each pair of blocks and their bits; every link lies in some shard. A task builds
 a shard's BK-tree (children keyed by their integer Hamming distance to the parent) and follows only edges within the
 radius. Shards meet their queries in a shuffle; a broadcast of all trees would grow with the data. A shard of
-more than SHARD_ROWS fingerprints is split into that many part trees, each queried by each part, so no task holds more than
+more than SHARD_ROWS fingerprints is split into parts, and a tree is built for each pair of parts, so no tree holds more than
 two parts. A task reports links as stars below its smallest fingerprints: never all pairs.
 
 near_duplicates links fingerprints of three-word shingles within 3 bits; near_groups links texts of similarity 0.8 or more.
@@ -71,64 +71,81 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 class BKTree:
-    """Items at fingerprints; each node's children are keyed by their Hamming distance to it."""
+    """Entries (fingerprint, ...) in nodes; each node's children are keyed by their Hamming distance to it.
+
+    Entries can be taken out. A node knows how many entries are left at and below it, and empty branches are not followed.
+    """
+
+    VALUE, CHILDREN, ENTRIES, LEFT, PARENT = range(5)
 
     def __init__(self):
-        self.root: tuple[int, dict, list] | None = None
+        self.root: list | None = None
 
-    def add(self, value: int, item) -> None:
+    def add(self, entry: tuple) -> list:
+        """Returns the node that holds the entry."""
+        value = entry[0]
         if self.root is None:
-            self.root = (value, {}, [item])
-            return
+            self.root = [value, {}, [], 0, None]
         node = self.root
         while True:
-            d = (node[0] ^ value).bit_count()
+            node[self.LEFT] += 1
+            d = (node[self.VALUE] ^ value).bit_count()
             if d == 0:
-                node[2].append(item)
-                return
-            child = node[1].get(d)
+                break
+            child = node[self.CHILDREN].get(d)
             if child is None:
-                node[1][d] = (value, {}, [item])
-                return
+                child = node[self.CHILDREN][d] = [value, {}, [], 0, node]
             node = child
-
-    def near(self, value: int, radius: int) -> list:
-        found, todo = [], [self.root] if self.root else []
+        node[self.ENTRIES].append(entry)
+        return node
+
+    def take(self, node: list, entry: tuple) -> None:
+        node[self.ENTRIES].remove(entry)
+        while node is not None:
+            node[self.LEFT] -= 1
+            node = node[self.PARENT]
+
+    def near(self, value: int, radius: int) -> list[tuple[list, tuple]]:
+        """(node, entry) of the entries left within the radius."""
+        found, todo = [], [self.root] if self.root and self.root[self.LEFT] else []
         while todo:
-            other, children, items = todo.pop()
+            node = todo.pop()
+            other, children, entries, left, _ = node
             d = (other ^ value).bit_count()
-            if d <= radius:
-                found += items
-            if children:
-                todo.extend([child for e, child in children.items() if d - radius <= e <= d + radius])
+            if entries and d <= radius:
+                found += [(node, entry) for entry in entries]
+            if left > len(entries):
+                todo += [child for e, child in children.items() if d - radius <= e <= d + radius and child[3]]
         return found
 
 
-def unit_links(trees: list[tuple], asking: list[tuple], radius: int, alike=None) -> list[tuple[int, int]]:
-    """(node, smallest node reached) of one shard unit. Entries are (fingerprint, node, more); alike compares the more of two
-    entries. Without asking, the tree's own entries ask."""
-    parent: dict[int, int] = {}
+def unit_links(entries: list[tuple], radius: int, alike=None) -> list[tuple[int, int]]:
+    """(node, smallest node reached) of one shard unit. Entries are (fingerprint, node, more); alike compares the more of two.
 
-    def top(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    def ask(entry: tuple) -> None:
-        for other in tree.near(entry[0], radius):
-            x, y = top(entry[1]), top(other[1])
-            if x != y and (alike is None or alike(entry[2], other[2])):
-                parent[max(x, y)] = min(x, y)
-
-    tree = BKTree()
-    for entry in trees:
-        if not asking:
-            ask(entry)
-        tree.add(entry[0], entry)
-    for entry in asking:
-        ask(entry)
-    return [(x, top(x)) for x in list(parent)]
+    Each component is walked from one entry to its neighbours, which leave the tree as they are reached. In a dense group
+    of copies one search empties the tree, instead of every entry finding every other.
+    """
+    tree, made = BKTree(), []
+    places = [(tree.add(entry), entry) for entry in entries]
+    reached: set[int] = set()
+    for node, entry in places:
+        if id(entry) in reached:
+            continue
+        tree.take(node, entry)
+        reached.add(id(entry))
+        members, todo = [entry[1]], [entry]
+        while todo:
+            asking = todo.pop()
+            for other_node, other in tree.near(asking[0], radius):
+                if alike is None or alike(asking[2], other[2]):
+                    tree.take(other_node, other)
+                    reached.add(id(other))
+                    members.append(other[1])
+                    todo.append(other)
+        if len(members) > 1:
+            low = min(members)
+            made += [(x, low) for x in members if x != low]
+    return made
 
 
 def _keys():
@@ -157,24 +174,24 @@ def shard_links(keyed: DataFrame, radius: int, shard_rows: int, alike, unsigned:
     parts = keyed.join(sizes, "key").withColumn("parts", F.ceil(F.col("n") / shard_rows).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     units = parts.withColumn("own", own).select(
-        "key", "fp", "node", "more", "own", F.explode(F.expr("sequence(0, parts - 1)")).alias("other")
-    ).select("key", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("ask"), "own", "fp", "node", "more")
+        "key", "fp", "node", "more", "own", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")
+    ).select("key", F.least("own", "part").alias("one"), F.greatest("own", "part").alias("other"), "fp", "node", "more")
     mask = 0xFFFFFFFFFFFFFFFF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, trees, asking, made = None, [], [], []
+        at, entries, made = None, [], []
 
         def close() -> None:
-            if at is not None and len(trees) + len(asking) > 1 and (at[1] == at[2] or (trees and asking)):
-                made.extend(unit_links(trees, asking, radius, alike))
+            if at is not None and len(entries) > 1:
+                made.extend(unit_links(entries, radius, alike))
 
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("key", "tree", "ask", "own", "fp", "node", "more")]
-            for key, tree, ask, own, fp, node, more in zip(*columns):
-                if at != (key, tree, ask):
+            columns = [batch.column(name).to_pylist() for name in ("key", "one", "other", "fp", "node", "more")]
+            for key, one, other, fp, node, more in zip(*columns):
+                if at != (key, one, other):
                     close()
-                    at, trees, asking = (key, tree, ask), [], []
-                (trees if own == tree else asking).append((fp & mask, node & mask if unsigned else node, more))
+                    at, entries = (key, one, other), []
+                entries.append((fp & mask, node & mask if unsigned else node, more))
             if made:
                 yield to_edges(made, unsigned)
                 made = []
@@ -182,7 +199,7 @@ def shard_links(keyed: DataFrame, radius: int, shard_rows: int, alike, unsigned:
         if made:
             yield to_edges(made, unsigned)
 
-    dealt = units.repartition("key", "tree", "ask").sortWithinPartitions("key", "tree", "ask", "fp", "node")
+    dealt = units.repartition("key", "one", "other").sortWithinPartitions("key", "one", "other", "fp", "node")
     return dealt.mapInArrow(run, "a long, b long")
 
 
