@@ -31,7 +31,9 @@ RUN = re.compile(r"[^\W\d_]+")
 #: Common insults.
 INSULTS = "idiot moron stupid dumb loser trash scum pathetic worthless disgusting clown filthy vermin retard bastard".split()
 RATES = (0.25, 0.5, 1.0, 1.35, 1.75, 2.5)
-MEMO = 400_000
+MEMO = 200_000
+#: Texts whose stems are gathered at once.
+MINED_ROWS = 200
 #: Added to each vote's probability, so that none is zero.
 EVEN = 0.002
 _BUCKETS = 1 << 20
@@ -206,7 +208,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         values = np.array(list(sums.values()))
         return pa.RecordBatch.from_arrays([pa.array(list(sums)), *[pa.array(values[:, i].copy()) for i in range(4)]], ["stem", "clean", "toxic", "in_clean", "in_toxic"])
 
-    sums = common.map_batches(chosen, mine, "stem string, clean double, toxic double, in_clean double, in_toxic double")
+    def mine_all(batches):
+        # few texts at a time, since each has thousands of stems
+        for batch in batches:
+            for i in range(0, batch.num_rows, MINED_ROWS):
+                made = mine(batch.slice(i, MINED_ROWS))
+                if made is not None:
+                    yield made
+
+    sums = chosen.mapInArrow(mine_all, "stem string, clean double, toxic double, in_clean double, in_toxic double")
     toxic_rows, clean_rows = balance[1], balance[0]
     in_toxic, in_clean = F.sum("in_toxic"), F.sum("in_clean")
     both = (in_toxic + in_clean) / (toxic_rows + clean_rows)
