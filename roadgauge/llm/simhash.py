@@ -7,7 +7,7 @@ radius. Shards meet their queries in a shuffle; a broadcast of all trees would g
 more than SHARD_ROWS fingerprints is split into parts, and a tree is built for each pair of parts, so no tree holds more than
 two parts. A task reports links as stars below its smallest fingerprints: never all pairs.
 
-near_duplicates links fingerprints of three-word shingles within 3 bits; near_groups links texts of similarity 0.8 or more.
+near_duplicates links fingerprints of three-word shingles within 3 bits; near_groups links texts of similarity 0.8 or more, without trees.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadgauge.llm import common
+from roadgauge.llm import common, similar_sets
 from roadgauge.llm.components import components
 from roadgauge.session import stage
 
@@ -30,9 +30,6 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 AGREEING = 2
 SEED = 42
 SHINGLE_WORDS = 3
-#: The pipeline's near duplicates: similarity over five-word shingles, estimated from so many smallest hashes.
-NEAR_SHINGLE_WORDS, SIMILAR, SKETCH = 5, 0.8, 128
-BANDS, NEAR_RADIUS = 6, 20
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -224,42 +221,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def sketch(text: str) -> tuple[int, bytes, list[int]]:
-    """Of the distinct five-word shingles: the fingerprint, the SKETCH smallest hashes, and keys of BANDS pairs of minimum hashes."""
-    hashes = np.unique(shingle_hashes(text, NEAR_SHINGLE_WORDS))
-    if not len(hashes):
-        hashes = np.zeros(1, np.uint64)
-    lows = [int((hashes * np.uint64(2 * i + 3) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(i * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)).min())
-            for i in range(2 * BANDS)]
-    keys = [hash((i, lows[2 * i], lows[2 * i + 1])) for i in range(BANDS)]
-    return folded(hashes), (hashes[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes(), keys
-
-
-def alike(one: bytes, other: bytes) -> bool:
-    """Whether the similarity (shared share of all shingles) is SIMILAR or more; exact up to SKETCH shingles, else estimated from the
-    smallest hashes of the union."""
-    a, b = set(np.frombuffer(one, "<u4").tolist()), set(np.frombuffer(other, "<u4").tolist())
-    lowest = sorted(a | b)[:SKETCH] if max(len(a), len(b)) >= SKETCH else a | b
-    return sum(x in a and x in b for x in lowest) >= SIMILAR * len(lowest)
-
-
-def near_groups(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def near_groups(docs: DataFrame, unit_shingles: int = similar_sets.UNIT_SHINGLES) -> DataFrame:
     """(a, root): documents with a near duplicate of similarity 0.8 or more over five-word shingles, and the smallest id of their group.
 
-    Such texts differ in about 10 of 64 bits, more than blocks of bits can find. Shards are therefore keyed by pairs of minimum
-    hashes (6 pairs miss 2 in 1000 of such texts at a similarity of 0.8, fewer above); each shard's BK-tree is
-    searched within NEAR_RADIUS, and what it returns is verified. Rows with a null id take no part.
+    Such texts differ in about 10 of 64 bits, more than blocks of bits can find; they are found by their sets of shingles, exactly.
     """
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps, more, keys = zip(*(sketch(text or "") for text in batch.column("text").to_pylist()))
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(more, pa.binary()),
-             pa.array(keys, pa.list_(pa.int64()))], ["node", "fp", "more", "keys"])
-
-    rows = common.id_and_text(docs).where("doc_id is not null")
-    made = stage(common.map_batches(rows, run, "node long, fp long, more binary, keys array<long>"), "sketches")
-    keyed = made.select(F.explode("keys").alias("key"), "fp", "node", "more")
-    return components(shard_links(keyed, NEAR_RADIUS, shard_rows, alike))
+    return similar_sets.similar_groups(docs, unit_shingles)
 
 
 def survivors(docs: DataFrame) -> DataFrame:
