@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal data, as column expressions only.
 
-Values are found by one pattern, validated (checksum of card numbers, calendar of dates, ranges of address octets) and permuted within
+Card numbers are looked for first, in all runs of whole digit groups; other values are found by one pattern. All are validated (checksum of card numbers, calendar of dates, ranges of address octets) and permuted within
 their format by a keyed Feistel network: alternating halves are added a keyed hash of the other half, modulo the
 half's range. The permutation of a value depends on the key, its kind and its length alone, so equal values get equal
 pseudonyms in all documents, and different ones different pseudonyms. Separators, letter case and check digits stay valid.
@@ -14,17 +14,27 @@ ROUNDS = 8
 #: Longest run permuted at once; longer runs are permuted piece by piece, so that halves fit a long.
 LONGEST = {10: 34, 16: 28, 26: 20}
 CARD_LENGTHS = (13, 19)
+PHONE_LENGTHS = (7, 15)
 YEARS = (1900, 200)
 
 # No pattern can start inside a run it might have matched, and runs are possessive: matching stays linear.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 SECRET = r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![A-Za-z0-9])"
-PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ -]?\([0-9]{2,4}\)[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])"
-CARD = r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])(?!-[0-9])"
+# A phone number ends on a group's border. Without '+' it needs parentheses, a leading 0, or groups of 3, 3 and 4 digits.
+PHONE = r"(?<![0-9A-Za-z+])\+[0-9](?:\)?[ .-]?\(?[0-9]){6,14}(?![0-9])"
+AREA = r"(?<![0-9A-Za-z])\([0-9]{2,5}\)(?:[ .-]?[0-9]){5,9}(?![0-9])"
+GROUPS = (r"(?<![0-9A-Za-z.+-])(?:(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])"
+          r"|(?=0(?:[ .-]?[0-9]){8,14}(?![0-9]))0[0-9]{1,4}(?:[ .-][0-9]{2,9}){1,4}(?![0-9A-Za-z]|[.-][0-9]))")
+COUNTRY = r"^\+(?:[0-9]{1,3}(?![0-9])|1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+#: Digits with spaces and dashes that may hold a card number; a character class, so that any length is matched without recursion.
+RUN = r"(?<![0-9A-Za-z.-])(?=[0-9](?:[ -]?[0-9]){12})(?![A-Za-z0-9._%+-]*+@)[0-9 -]++"
+#: A card's pseudonym until the other kinds are replaced, between characters that no text uses.
+MARK = "\uFDD0"
+DONE = f"{MARK}[0-9][0-9 -]+{MARK}"
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[/.-][0-9])"
-ANY = "|".join((EMAIL, PHONE, SECRET, ADDRESS, DATE, SOCIAL, CARD))
+ANY = "|".join((DONE, EMAIL, PHONE, AREA, SECRET, ADDRESS, DATE, SOCIAL, GROUPS))
 
 
 def _power(radix: int, exponent: Column) -> Column:
@@ -122,13 +132,60 @@ def card(value: Column, key: str) -> Column:
     return _into(value, "[0-9]", full)
 
 
+#: How card numbers are commonly written; such ones are preferred to other runs of groups that pass by chance.
+USUAL = "^(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4}(?:[ -]?[0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
+
+
+def cards(run: Column, key: str) -> Column:
+    """The run with every card number replaced and marked. A card number is a valid run of whole groups with single separators."""
+    def joined(tokens: Column, at: Column, n: Column) -> Column:
+        return F.array_join(F.slice(tokens, at, n), "")
+
+    def bare(text: Column) -> Column:
+        return F.regexp_replace(text, "[ -]+$", "")
+
+    def spans(tokens: Column) -> Column:
+        """Of every first group that begins a valid run: place, groups and whether it is usual; the usual ones first, then the longest."""
+        def best(at: Column) -> Column:
+            lengths = F.sequence(F.lit(1), F.least(F.lit(CARD_LENGTHS[1]), F.size(tokens) - at + 1))
+            valid = F.filter(F.transform(lengths, lambda n: F.struct(
+                bare(joined(tokens, at, n)).alias("text"), n.alias("n"))), lambda x: is_card(x["text"]) & ~x["text"].rlike("[ -]{2}"))
+            rated = F.array_max(F.transform(valid, lambda x: F.struct(x["text"].rlike(USUAL).alias("usual"), x["n"].alias("n"))))
+            return F.struct(at.alias("at"), rated["n"].alias("n"), rated["usual"].alias("usual"))
+
+        return F.transform(F.sequence(F.lit(1), F.size(tokens)), best)
+
+    def chosen(all_: Column) -> Column:
+        """Spans that do not overlap, from left to right; an unusual one gives way to usual ones that begin within it."""
+        def step(state: Column, x: Column) -> Column:
+            inside = F.exists(F.slice(all_, x["at"] + 1, x["n"] - 1), lambda y: F.coalesce(y["usual"], F.lit(False)))
+            taken = (x["at"] >= state["next"]) & (x["usual"] | ~inside)
+            return F.when(taken, F.struct((x["at"] + x["n"]).alias("next"), F.concat(
+                state["taken"], F.array(F.struct(x["at"].alias("at"), x["n"].alias("n")))).alias("taken"))).otherwise(state)
+
+        start = F.struct(F.lit(1).alias("next"), F.expr("cast(array() as array<struct<at: int, n: int>>)").alias("taken"))
+        return F.aggregate(F.filter(all_, lambda x: x["n"].isNotNull()), start, step, lambda state: state["taken"])
+
+    def made(tokens: Column, found: Column) -> Column:
+        ends = F.concat(F.array(F.lit(1)), F.transform(found, lambda x: x["at"] + x["n"]))
+        starts = F.concat(F.transform(found, lambda x: x["at"]), F.array(F.size(tokens) + 1))
+        gaps = F.zip_with(ends, starts, lambda a, b: joined(tokens, a, b - a))
+        values = F.transform(found, lambda x: F.transform(F.array(joined(tokens, x["at"], x["n"])), lambda text: F.concat(
+            F.lit(MARK), card(bare(text), key), F.lit(MARK), F.regexp_extract(text, "[ -]*$", 0)))[0])
+        return F.array_join(F.flatten(F.zip_with(gaps, F.concat(values, F.array(F.lit(""))), lambda gap, value: F.array(gap, value))), "")
+
+    # each step is bound once
+    tokens = F.array(F.regexp_extract_all(run, F.lit("[0-9]+[ -]*"), F.lit(0)))
+    return F.transform(tokens, lambda t: F.transform(F.transform(F.array(spans(t)), chosen), lambda found: F.when(F.size(found) == 0, run).otherwise(made(t, found)))[0])[0]
+
+
 def number(value: Column, kind: str, key: str) -> Column:
     return _into(value, "[0-9]", permuted(_digits(value), 10, kind, key))
 
 
 def phone(value: Column, key: str) -> Column:
-    """The country code stays."""
-    code = F.regexp_extract(value, r"^\+[0-9]{1,3}", 0)
+    """The country code after a '+' stays: the digits before the first separator, or in a number without one, those the code list gives."""
+    code = F.regexp_extract(value, COUNTRY, 0)
     return F.concat(code, number(F.substr(value, F.length(code) + 1, F.length(value)), "phone", key))
 
 
@@ -189,14 +246,14 @@ def kind(value: Column) -> Column:
     """What a matched value is; null if it does not validate."""
     whole = lambda pattern: value.rlike(f"^(?:{pattern})$")
     return (
-        F.when(value.contains("@"), "email").when(value.startswith("+"), "phone")
+        F.when(value.startswith(MARK), "done").when(value.contains("@"), "email").when(value.rlike("^[+(]"), "phone")
         .when(whole("[0-9]{1,3}(?:[.][0-9]{1,3}){3}"), F.when(is_address(value), "address"))
         .when(whole("[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.when(is_date(value, "yyyy-MM-dd"), "iso date"))
         .when(whole("[0-9]{2}/[0-9]{2}/[0-9]{4}"), F.when(is_date(value, "MM/dd/yyyy"), "slash date").when(is_date(value, "dd/MM/yyyy"), "day date"))
         .when(whole("[0-9]{2}[.][0-9]{2}[.][0-9]{4}"), F.when(is_date(value, "dd.MM.yyyy"), "dot date"))
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(~value.rlike("^(?:000|666|9)|-00-|-0000$"), "social"))
         .when(F.length(value) >= 32, F.when(value.rlike("[0-9]") & value.rlike("[A-Fa-f]"), "secret"))
-        .when(is_card(value), "card")
+        .when(F.length(_digits(value)).between(*PHONE_LENGTHS), "phone")
     )
 
 
@@ -206,17 +263,21 @@ def pseudonym(value: Column, key: str) -> Column:
         F.when(k == "email", email(value, key)).when(k == "phone", phone(value, key)).when(k == "address", address(value, key))
         .when(k == "iso date", date(value, "yyyy-MM-dd", key)).when(k == "slash date", date(value, "MM/dd/yyyy", key))
         .when(k == "day date", date(value, "dd/MM/yyyy", key)).when(k == "dot date", date(value, "dd.MM.yyyy", key))
-        .when(k == "social", number(value, "social", key)).when(k == "secret", secret(value, key)).when(k == "card", card(value, key))
+        .when(k == "social", number(value, "social", key)).when(k == "secret", secret(value, key)).when(k == "done", F.regexp_replace(value, MARK, ""))
         .otherwise(value)))
     return F.element_at(made, 1)
 
 
+def _replaced(text: Column, pattern: str, by) -> Column:
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), by)
+    between = F.split(text, pattern, -1)
+    pairs = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda gap, value: F.array(gap, value))
+    return F.array_join(F.flatten(pairs), "")
+
+
 def pseudonymised(text: Column, key: str) -> Column:
     """The text with every validated value replaced. Null stays null."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda value: pseudonym(value, key))
-    between = F.split(text, ANY, -1)
-    pairs = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda gap, value: F.array(gap, value))
-    joined = F.array_join(F.flatten(pairs), "")
+    joined = _replaced(_replaced(text, RUN, lambda run: cards(run, key)), ANY, lambda value: pseudonym(value, key))
     return F.when(text.rlike("[0-9@]"), joined).otherwise(text)
 
 

@@ -50,3 +50,28 @@ def test_permutations(spark):
 def test_plan_is_native(docs_of):
     plan = pii.protect(docs_of([(1, TEXT)]), "key")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_phones_and_card_neighbours(docs_of):
+    """Phone numbers of other shapes, and card numbers beside other digits."""
+    phones = ["+44 20 7946 0958", "+1-202-555-0143", "+12025550143", "(202) 555-0143", "202-555-0143", "202.555.0143", "1 202 555 0143",
+              "+49 (0) 30 901820", "020 7946 0958", "0044 20 7946 0958", "030-901820123"]
+    plain = "4111111111111111"
+    beside = ["12 4111111111111111", "4111111111111111 123", "4111 1111 1111 1111 12/27", "4111-1111-1111-1111 123", "+1 202 555 0143 4111 1111 1111 1111",
+              "2024-01-15 4111 1111 1111 1111 2024-01-16", "4111 1111 1111 1111 5500 0000 0000 0004", "4111 1111 1111 1111 12th"]
+    kept = ["4111111111111112", "1 2 3 4", "version 10.20.30", "12 345", "2023-02-30", "01-02", "1234567890123456x", "+ 12", "7 8 " * 5_000]
+    texts = [*phones, *beside, *kept]
+    made = {r["doc_id"]: r["text"] for r in pii.protect(docs_of([(i, f"so {t}, and") for i, t in enumerate(texts)]), "key").collect()}
+    out = dict(zip(texts, (made[i].removeprefix("so ").removesuffix(", and") for i in range(len(texts)))))
+    new_plain = {r["text"] for r in pii.protect(docs_of([(1, plain)]), "key").collect()}.pop()
+    for t in phones:
+        assert out[t] != t and re.sub("[0-9]", "9", out[t]) == re.sub("[0-9]", "9", t), (t, out[t])
+    assert out["+12025550143"].startswith("+1") and re.sub("[^0-9]", "", out["+1-202-555-0143"]) == out["+12025550143"][1:]
+    for t in beside:
+        digits = re.sub("[^0-9]", "", out[t])
+        assert new_plain in digits and plain not in digits and pii.MARK not in out[t], (t, out[t])
+    assert "5500 0000" not in out["4111 1111 1111 1111 5500 0000 0000 0004"] and "555-0143" not in out["+1 202 555 0143 4111 1111 1111 1111"]
+    assert "2024" not in out["2024-01-15 4111 1111 1111 1111 2024-01-16"]
+    assert out["12 4111111111111111"].startswith("12 ") and out["4111111111111111 123"].endswith(" 123")
+    for t in kept:
+        assert out[t] == t, (t[:50], out[t][:50])
