@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadgauge.llm import common
+from roadgauge.llm.components import components
+from roadgauge.session import stage
 
 SAMPLES = 64
 #: The walk's random bits repeat after PERIOD steps; characters share CLASSES rows of bits.
 PERIOD, CLASSES = 4096, 64
 SEED = 20
-#: Least agreement of verified pairs; bands of BAND nibbles.
-ALIKE, BAND = 0.8, 8
+#: Least likeness of linked fingerprints; fingerprints in a part of a large band.
+ALIKE, PART_ROWS = 0.8, 4096
 
 
 @lru_cache(maxsize=1)
@@ -201,16 +203,83 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     return with_following(docs, ranges).mapInArrow(run, SCHEMA)
 
 
-def near_links(prints: DataFrame, alike: float = ALIKE, band: int = BAND) -> DataFrame:
-    """Candidates from bit-sampled bands, verified: doc_id and lead_id, the smallest id with an equal band and verified likeness.
+def unit_links(entries: list[tuple[int, bytes]], least: int) -> list[tuple[int, int]]:
+    """(node, smallest node reached) over (node, fingerprint) of one unit, for links of at least so many equal nibbles.
 
-    prints: doc_id and fingerprint. A group of equal bands is reduced to its smallest fingerprint's first document before the
-    join, so no group is paired with itself.
+    Each component is walked from one entry; what it reaches leaves the unit.
     """
-    bands = prints.select("doc_id", "fingerprint", F.explode(F.array(*[
-        F.concat(F.lit(f"{i}:"), F.substring("fingerprint", i * band + 1, band)) for i in range(SAMPLES // band)])).alias("band"))
-    leads = bands.groupBy("band").agg(F.min(F.struct("doc_id", "fingerprint")).alias("lead"))
-    same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SAMPLES)), lambda i: F.substr("fingerprint", i, F.lit(1)) == F.substr("lead.fingerprint", i, F.lit(1))))
-    share = F.greatest(F.lit(0.0), (same / SAMPLES - 1 / 16) / (15 / 16))
-    return bands.join(leads, "band").where(F.col("doc_id") > F.col("lead.doc_id")).where(share >= alike).groupBy("doc_id").agg(
-        F.min("lead.doc_id").alias("lead_id"))
+    nodes = np.array([e[0] for e in entries])
+    prints = np.frombuffer(b"".join(e[1] for e in entries), np.uint8).reshape(len(entries), SAMPLES)
+    left, made = np.arange(len(entries)), []
+    while len(left):
+        members, todo, left = [left[0]], [left[0]], left[1:]
+        while todo and len(left):
+            near = (prints[left] == prints[todo.pop()]).sum(1) >= least
+            members += left[near].tolist()
+            todo += left[near].tolist()
+            left = left[~near]
+        reached = nodes[members].tolist()
+        low = min(reached)
+        made += [(x, low) for x in reached if x != low]
+    return made
+
+
+def _band_links(distinct: DataFrame, alike: float, part_rows: int) -> DataFrame:
+    """Stars (a, b) whose components are those of all links of at least that likeness. distinct: node, fingerprint."""
+    least = next(n for n in range(SAMPLES + 1) if max(0.0, (n / SAMPLES - 1 / 16) / (15 / 16)) >= alike)
+    # one band more than nibbles may differ: some band of two linked fingerprints is equal
+    bands = min(SAMPLES, SAMPLES - least + 1)
+    edges = [i * SAMPLES // bands for i in range(bands + 1)]
+    keyed = distinct.select("node", "fingerprint", F.explode(F.array(*[
+        F.concat(F.lit(f"{i}:"), F.substring("fingerprint", i + 1, j - i)) for i, j in zip(edges, edges[1:])])).alias("band"))
+    sizes = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", F.ceil(F.col("n") / part_rows).cast("int").alias("parts"))
+    own = keyed.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    units = own.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select(
+        "band", F.least("own", "part").alias("one"), F.greatest("own", "part").alias("other"), "node", "fingerprint")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, entries, made = None, [], []
+
+        def close() -> None:
+            if len(entries) > 1:
+                made.extend(unit_links(entries, least))
+
+        def flushed() -> pa.RecordBatch:
+            a, b = zip(*made)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for band, one, other, node, own_print in zip(*(batch.column(name).to_pylist() for name in ("band", "one", "other", "node", "fingerprint"))):
+                if at != (band, one, other):
+                    close()
+                    at, entries = (band, one, other), []
+                entries.append((node, own_print.encode()))
+            if made:
+                yield flushed()
+                made.clear()
+        close()
+        if made:
+            yield flushed()
+
+    return units.repartition("band", "one", "other").sortWithinPartitions("band", "one", "other", "node").mapInArrow(run, "a long, b long")
+
+
+def near_components(prints: DataFrame, alike: float = ALIKE, part_rows: int = PART_ROWS) -> DataFrame:
+    """prints with component_id: the smallest doc_id reachable over links of at least that likeness.
+
+    prints: doc_id and fingerprint, and any other columns but node; it is read several times. Every link is found: with one band more
+    than nibbles may differ, two linked fingerprints have an equal band. A band of more than part_rows fingerprints is searched part by
+    part. Null ids are ignored as component ids; a component of null ids alone has none.
+    """
+    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")).withColumn("node", F.xxhash64("fingerprint")), "distinct-prints")
+    roots = components(_band_links(distinct.select("node", "fingerprint"), alike, part_rows))
+    named = distinct.join(roots.withColumnRenamed("a", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = stage(named.select("fingerprint", "root", "first_id"), "print-roots")
+    lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return prints.join(named.join(lowest, "root").select("fingerprint", "component_id"), "fingerprint")
+
+
+def near_links(prints: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """doc_id and lead_id, the smallest id of its component, of every row that is not its component's lead. prints: doc_id and fingerprint."""
+    return near_components(prints.select("doc_id", "fingerprint"), alike).where("doc_id > component_id").select(
+        "doc_id", F.col("component_id").alias("lead_id"))

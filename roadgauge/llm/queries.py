@@ -10,6 +10,7 @@ from roadgauge.llm import (
     bpe, common, exact_dedup, fingerprints, lang_id, packing, pii, simhash, substring_dedup, token_counts,
     toxicity,
 )
+from roadgauge.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -88,9 +89,10 @@ def op3(documents: DataFrame) -> DataFrame:
 
 @query("op4_edit_fingerprints")
 def op4(documents: DataFrame) -> DataFrame:
-    return fingerprints.fingerprints(documents).select(
+    made = fingerprints.fingerprints(documents).select(
         "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         "near_edited", "near_next")
+    return fingerprints.near_components(stage(made, "prints")).select(*made.columns, "component_id")
 
 
 @query("op5_pii_pseudonyms")
