@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from zlib import crc32
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgauge.llm import (
-    bpe, common, exact_dedup, fingerprints, lang_id, packing, pii, simhash, substring_dedup, token_counts,
-    toxicity,
+    bpe, common, context_tree, exact_dedup, fingerprints, lang_id, packing, periodic_runs, pii, simhash, substring_dedup,
+    token_counts, toxicity, vector_codes,
 )
 from roadgauge.session import stage
 
@@ -136,3 +138,89 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op9_toxicity"] = op9
+
+
+def vector_code_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds written out one after the other, on exact integers."""
+    width = "(len(v) // 8)"
+    steps = [f"""
+with whole as (
+    select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as hugeint)) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as (
+    select vec_id, label, p, v[p * {width} + 1:(p + 1) * {width}] as v from whole, (select unnest(range(8)) as p)
+), book0 as (
+    select p, row_number() over (partition by p order by vec_id) - 1 as e, v as c
+    from parts where vec_id in (select vec_id from whole order by vec_id limit 16)
+)"""]
+    assign = """select vec_id, any_value(label) as label, p, any_value(v) as v, min(struct_pack(
+        d := list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) as best
+    from parts join book{0} using (p) group by vec_id, p"""
+    for i in range(rounds):
+        steps.append(f"near{i} as ({assign.format(i)})")
+        steps.append(f"""sums{i} as (
+    select p, e, list(m order by i) as c from (
+        select p, e, i, cast((s - ((s % n) + n) % n) // n as hugeint) as m from (
+            select p, best.e as e, i, cast(sum(x) as hugeint) as s, count(*) as n
+            from (select p, best, unnest(v) as x, unnest(range(len(v))) as i from near{i}) group by p, best.e, i))
+    group by p, e
+), book{i + 1} as (select p, e, coalesce(n.c, o.c) as c from book{i} o left join sums{i} n using (p, e))""")
+    steps.append(f"near{rounds} as ({assign.format(rounds)})")
+    steps.append(f"""coded as (
+    select vec_id, any_value(label) as label, string_agg(printf('%02x', best.e), '' order by p) as code,
+        cast(sum(best.d) as bigint) as error
+    from near{rounds} group by vec_id
+), books as (
+    select sha256(string_agg(cast(x as varchar), ',' order by p, e, i)) as codebooks_sha256
+    from (select p, e, unnest(c) as x, unnest(range(len(c))) as i from book{rounds})
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded, books""")
+    return ",\n".join(steps)
+
+
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.compress(common.table(spark, folder, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+QUERIES["op11_vector_codes"] = op11
+CHECK_SQL["op11_vector_codes"] = vector_code_sql()
+
+
+@query("op12_context_tree_scores")
+def op12(documents: DataFrame) -> DataFrame:
+    return context_tree.score_texts(documents, common.fold_of("doc_id", 7) == 2)
+
+
+def with_periodic_tails(documents: DataFrame) -> DataFrame:
+    """doc_id and text; one document in ten (by its id) has its words repeat from some word on. Rows without id stay as they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
+            for i, (doc_id, text) in enumerate(zip(ids, texts)):
+                h = 1 if doc_id is None else crc32(str(doc_id).encode())
+                words = text.split() if text and h % 10 == 0 else []
+                if words:
+                    n, g = len(words), h // 10
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    texts[i] = b" ".join(words[:a] + [words[a + k % p] for k in range(n - a)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string())], ["doc_id", "text"])
+
+    return common.id_and_text(documents).mapInArrow(run, "doc_id long, text string")
+
+
+@query("op13_periodic_runs")
+def op13(documents: DataFrame) -> DataFrame:
+    found = periodic_runs.find_runs(with_periodic_tails(documents))
+    longest = F.element_at(F.filter("runs", lambda r: r["length"] == F.array_max(F.transform("runs", lambda x: x["length"]))), 1)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    top = found.withColumn("top", F.when(F.size("runs") > 0, longest))
+    return top.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"))
