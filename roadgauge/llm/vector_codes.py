@@ -257,8 +257,9 @@ def compress(embeddings: DataFrame) -> tuple[DataFrame, Codebooks]:
     vectors = stage(kept_vectors(embeddings), "vectors")
     books = train(vectors, "<f8" if double else "<f4")
     coded = stage(codes(vectors, books), "codes")
+    total = F.sum(F.col("error").cast("decimal(28, 0)"))
     sums = coded.groupBy("label").agg(
-        F.least(F.sum(F.col("error").cast("decimal(38, 0)")), F.lit(LONGEST_LONG).cast("decimal(38, 0)")).cast("long").alias("label_error"))
+        F.when(total > LONGEST_LONG, LONGEST_LONG).otherwise(total.cast("long")).alias("label_error"))
     sums = stage(sums.withColumnRenamed("label", "of_label"), "label-errors")
     joined = coded.join(sums, F.col("label").eqNullSafe(F.col("of_label")))
     return joined.select("vec_id", "label", "code", "error", "label_error"), books

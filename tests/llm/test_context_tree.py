@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadgauge.llm import common, context_tree, queries
-from tests.conftest import SAMPLE
+
+LARGER = "/root/testdata/sf0.01"
 
 
 def words_of(text):
@@ -127,7 +128,8 @@ def test_long_text_and_small_packs(docs_of, monkeypatch):
 
 
 def test_query_is_better_than_word_counts(spark):
-    rows = queries.QUERIES["op12_context_tree_scores"](spark, SAMPLE).collect()
-    assert len(rows) == spark.read.parquet(f"{SAMPLE}/documents.parquet").count()
+    """With some texts to learn from: 1,000 documents, where 200 are too few for bytes to find out the words."""
+    rows = queries.QUERIES["op12_context_tree_scores"](spark, LARGER).collect()
+    assert len(rows) == spark.read.parquet(f"{LARGER}/documents.parquet").count()
     held = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
