@@ -22,29 +22,34 @@ def one_per_key(source: DataFrame, keys: list[str], ts: str, then: tuple[str, ..
 
 def upsert(
     target: DataFrame, source: DataFrame, keys: list[str], ts: str, null_policy: str = "keep", loaded_at=None,
-    then: tuple[str, ...] = (),
+    then: tuple[str, ...] = (), only_newer: bool = False,
 ) -> DataFrame:
     """Update matching keys, insert new ones, keep the rest.
 
     ``null_policy`` "keep" never lets a source null replace a value; "overwrite" does.
     Columns of either side survive. One full outer join on the key, so the target is
-    shuffled once. ``loaded_at`` is stamped on rows the source touched.
+    shuffled once. ``loaded_at`` is stamped on rows the source touched. With ``only_newer`` a stored
+    row stays as it is if it is later than the source row by ``ts`` and then by the columns ``then`` (null is earliest).
     """
     if null_policy not in ("keep", "overwrite"):
         raise ValueError("null_policy must be 'keep' or 'overwrite'")
     now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
     new = one_per_key(source, keys, ts, then).drop("loaded_at").withColumn("_touched", F.lit(True)).alias("s")
-    old = target.alias("t")
+    old = target.withColumn("_stored", F.lit(True)).alias("t")
     matched = F.col("s._touched").isNotNull()
+    order = [c for c in (ts, *then) if c in source.columns and c in target.columns]
+    if only_newer and order:
+        later = F.struct(*[F.col(f"s.{c}") for c in order]) >= F.struct(*[F.col(f"t.{c}") for c in order])
+        matched = matched & (F.col("t._stored").isNull() | later)
     both = old.join(new, keys, "full")
 
     def value(c: str) -> Column:
         if c not in source.columns:
             return F.col(f"t.{c}")
         if c not in target.columns:
-            return F.col(f"s.{c}")
+            return F.when(matched, F.col(f"s.{c}"))
         if null_policy == "keep":
-            return F.coalesce(f"s.{c}", f"t.{c}")
+            return F.coalesce(F.when(matched, F.col(f"s.{c}")), f"t.{c}")
         return F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
 
     names = [c for c in dict.fromkeys(target.columns + source.columns) if c not in keys and c != "loaded_at"]

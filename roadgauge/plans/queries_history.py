@@ -175,6 +175,39 @@ def c7_deliveries(spark, folder):
     return versioned.read(spark, target).select(*DELIVERY_COLUMNS, "event_date", "is_on_time")
 
 
+@query("c7_incremental_stale_copies", check(f"select {PING} from gps_latest", "gps_latest"))
+def c7_stale(spark, folder):
+    """The earlier copies arrive last, after the ones processed later are stored; then all are read again in the overlap."""
+    stale = (F.col("event_id") % 10 == 0) & (F.col("processed_at") < F.col("event_timestamp") + F.expr("interval 60 seconds"))
+    source, rest = arrivals(spark, sample.gps(spark, folder), stale, "c7-stale")
+    target = scratch_dir(spark, "c7-stale-out")
+    incremental.run_feed(spark, incremental.GPS, source, target, datetime(2024, 2, 10))
+    arrive(rest, source)
+    for now in (datetime(2024, 2, 11), datetime(2024, 2, 12)):
+        incremental.run_feed(spark, incremental.GPS, source, target, now)
+    return versioned.read(spark, target).select(*PING_COLUMNS)
+
+
+@query("c7_moved_deliveries", check(
+    f"""select {DELIVERY}, strftime(event_timestamp, '%Y-%m-%d') as event_date, delay_minutes <= 0 as is_on_time
+        from (select * replace (case when cast(substr(order_id, 5) as bigint) % 5 = 0 then event_timestamp + interval 3 day
+            else event_timestamp end as event_timestamp) from del_last_copy)""", "del_last_copy"))
+def c7_moved(spark, folder):
+    """A second arrival moves the events of every fifth order to a later day, and brings stale events of others for earlier days.
+
+    The index of key to date finds the stored rows of both."""
+    rows = sample.deliveries(spark, folder)
+    source, _ = arrivals(spark, rows, F.lit(False), "c7-moved")
+    target = scratch_dir(spark, "c7-moved-out")
+    incremental.run_feed(spark, incremental.DELIVERIES, source, target, datetime(2024, 2, 10))
+    order = F.substring("order_id", 5, 20).cast("long") % 5
+    days = F.when(order == 0, 3).otherwise(-3)
+    moved = rows.where(order < 2).withColumn("event_timestamp", F.col("event_timestamp") + F.make_dt_interval(days=days))
+    arrive(sample.event_day(moved), source)
+    incremental.run_feed(spark, incremental.DELIVERIES, source, target, datetime(2024, 2, 11))
+    return versioned.read(spark, target).select(*DELIVERY_COLUMNS, "event_date", "is_on_time")
+
+
 # --- history -----------------------------------------------------------------------------
 
 TRACKED = ["driver_name", "home_depot"]

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadgauge.operators import dims, merge
-from roadgauge.sinks import state, versioned
+from roadgauge.session import stage
+from roadgauge.sinks import key_dates, state, versioned
+from tests.conftest import plan
 
 T0 = datetime(2024, 1, 1)
 ROW = "id int, ts timestamp, v string, w int"
@@ -201,6 +203,83 @@ def test_state_cut_short_does_not_count(spark, tmp_path):
     assert state.write(spark, folder, {"a": 3}, 2) == 3 and state.read(spark, folder) == (3, {"a": 3})
 
 
+# --- index of key to date ----------------------------------------------------------------
+
+def test_index_of_few_keys_reads_their_buckets_only(spark, tmp_path):
+    root = str(tmp_path)
+    index = key_dates.KeyDates(spark, root, buckets=16)
+    pairs = spark.range(5000).select(F.col("id").cast("string").alias("key"), F.lit("2024-01-01").alias("event_date"))
+    index.add(pairs)
+    few = index.find(spark.createDataFrame([("7",), ("none",)], "key string"))
+    # the planner prunes buckets of plain scans, too, but shows it for bucketed ones only
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    shown = plan(index.find(spark.createDataFrame([("7",), ("none",)], "key string")))
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 2 out of 16" in shown
+    assert few.collect() == [("7", "2024-01-01")]
+    assert index.files_per_bucket() == 1
+
+
+def test_index_of_many_keys_is_not_shuffled(spark, tmp_path):
+    root = str(tmp_path)
+    index = key_dates.KeyDates(spark, root, buckets=16)
+    index.add(spark.range(5000).select(F.col("id").cast("string").alias("key"), F.lit("2024-01-01").alias("event_date")))
+    keys = stage(spark.range(2000, 8000).select(F.col("id").cast("string").alias("key")), "many")
+    found = index.find(keys)
+    assert found.count() == 3000
+    # the one exchange is that of the batch
+    text = plan(found)
+    assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+    assert text.index("key_dates_") < text.index("Exchange")
+
+
+def test_merge_reads_only_the_dates_of_its_keys(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for d in range(6):
+        versioned.merge_into(spark, root, events(spark, (d, d, "a")), ["id"])
+    asked, live = [], versioned._live
+    monkeypatch.setattr(versioned, "_live", lambda *a: asked.append(a[3]) or live(*a))
+    result = versioned.merge_into(spark, root, events(spark, (1, 4, "moved")), ["id"])
+    assert asked == [{"2024-01-02", "2024-01-05"}] and result.dates == ["2024-01-02", "2024-01-05"]
+    assert rows(versioned.read(spark, root), "id", "event_date")[:2] == [(0, "2024-01-01"), (1, "2024-01-05")]
+
+
+def test_index_survives_crash_restart_and_compaction(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    monkeypatch.setattr(key_dates, "MOST_FILES", 0.02)
+    versioned.merge_into(spark, root, events(spark, (1, 0, "a"), (2, 1, "b")), ["id"])
+    with monkeypatch.context() as broken:
+        broken.setattr(state, "write", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            versioned.merge_into(spark, root, events(spark, (1, 3, "lost")), ["id"])
+    for table in spark.catalog.listTables():  # a new session knows no tables
+        if table.name.startswith("key_dates_"):
+            spark.sql(f"drop table {table.name}")
+    first = versioned.published(spark, root).keys
+    versioned.merge_into(spark, root, events(spark, (1, 5, "moved")), ["id"])
+    versioned.merge_into(spark, root, events(spark, (1, 7, "again")), ["id"])
+    assert rows(versioned.read(spark, root), "id", "event_date", "v") == [(1, "2024-01-08", "again"), (2, "2024-01-02", "b")]
+    assert versioned.published(spark, root).keys != first
+    versioned.remove_unnamed(spark, root, keep_states=1)
+    versioned.merge_into(spark, root, events(spark, (1, 0, "home"), (2, 2, "B")), ["id"])
+    assert rows(versioned.read(spark, root), "id", "event_date") == [(1, "2024-01-01"), (2, "2024-01-03")]
+
+
+def test_a_table_without_index_gets_one(spark, tmp_path):
+    root = str(tmp_path)
+    versioned.merge_into(spark, root, events(spark, (1, 0, "a")), ["id"], keys_keep_date=True)
+    assert versioned.published(spark, root).keys is None
+    versioned.merge_into(spark, root, events(spark, (1, 2, "moved")), ["id"])
+    assert rows(versioned.read(spark, root), "id", "event_date") == [(1, "2024-01-03")]
+
+
+def test_stored_row_that_is_later_stays(spark):
+    target = spark.createDataFrame([(1, day(5), "late", None), (2, day(1), "old", "x")], "id int, ts timestamp, v string, w string")
+    source = spark.createDataFrame([(1, day(3), "stale", "w"), (2, day(1), "same", None), (3, None, "new", "n")], target.schema)
+    made = merge.upsert(target, source, ["id"], "ts", only_newer=True, loaded_at=day(9))
+    assert rows(made, "id", "v", "w", "loaded_at") == [(1, "late", None, None), (2, "same", "x", day(9)), (3, "new", "n", day(9))]
+
+
 # --- incremental jobs --------------------------------------------------------------------
 
 PING = "event_id string, vehicle_id string, event_timestamp timestamp, speed_mph double, processed_at timestamp"
@@ -230,6 +309,19 @@ def test_incremental_load_loses_nothing(spark, tmp_path):
     assert speeds() == before
 
 
+def test_stale_copies_never_replace_newer_rows(spark, tmp_path):
+    """Whether a stale copy comes late, or old files are read again in the overlap."""
+    from roadgauge.plans import incremental
+
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, source, ("a", day(8), 40.0, day(8) + timedelta(minutes=20)), ("b", day(8), 1.0, day(8)))
+    incremental.run_feed(spark, incremental.GPS, source, target, day(10))
+    land(spark, source, ("a", day(8), 50.0, day(8) + timedelta(minutes=10)), ("b", day(8), 2.0, day(8) + timedelta(minutes=1)))
+    for at in (11, 12):
+        incremental.run_feed(spark, incremental.GPS, source, target, day(at))
+        assert rows(versioned.read(spark, target), "event_id", "speed_mph") == [("a", 40.0), ("b", 2.0)]
+
+
 def test_bounded_start_is_explicit(spark, tmp_path):
     from roadgauge.plans import incremental
 
@@ -252,7 +344,6 @@ def test_pings_need_no_scan_of_stored_keys(spark, tmp_path, monkeypatch):
 
 
 def test_empty_source_and_version_pruning(spark, tmp_path):
-    from tests.conftest import plan
     root = str(tmp_path)
     versioned.merge_into(spark, root, events(spark, (1, 0, "a")), ["id"])
     assert versioned.merge_into(spark, root, events(spark).limit(0), ["id"]).rows == 0
