@@ -7,8 +7,9 @@ depths along its context, each node by how much its own estimate explains the tr
 
 All follows from the counts of windows of depth + 1 bytes. Texts lie in shards of bounded size; a shard asks once for each of its
 distinct windows (training counts included, zero for windows that only held-out texts have) and once for each of its
-distinct words. Windows are counted over the whole corpus and dealt by their three latest context bytes: what lies
-deeper is solved within a task, upwards; the few levels above are solved per choice (at most 65,536 contexts each) and
+distinct words (by a 128-bit digest). Questions and answers travel as packed arrays, by bucket of the window or word, so that what is
+moved is small beside the texts and a common window costs a bucket one entry per shard. Windows are counted over the whole
+corpus and dealt by their three latest context bytes: what lies deeper is solved within a task, upwards; the few levels above are solved per choice (at most 65,536 contexts each) and
 go back down to the tasks, which give every window its probability. Answers return to the shards, and texts are scored there.
 Nothing is broadcast, and no count, context or window is dropped.
 """
@@ -22,8 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadgauge.llm import common
 from roadgauge.session import scratch_dir, stage
@@ -35,11 +38,17 @@ SHARD_BYTES = 32 << 20
 PACK_BYTES = 4 << 20
 #: Distinct windows that one task solves together.
 TASK_WINDOWS = 1_000_000
+#: Bytes of text per bucket of windows and words; a bucket's task sees what all shards ask of it.
+BUCKET_BYTES = 64 << 20
+#: Bytes of text per byte of a pack, about.
+TEXT_PER_PACKED = 3
 END = b"\n"
 PACKS = "shard long, doc_ids binary, known binary, held_out binary, sizes binary, data binary"
-ASKED = "shard long, word binary, gram long, train long"
+ASKED = "bucket int, shard long, is_word boolean, keys binary, more binary, train binary"
+ANSWERS = "shard long, is_word boolean, keys binary, more binary, found binary"
 NODES = "node int, context long, zeros long, ones long, log_weighted double"
 TOPS = "node int, context long, own double, passed double"
+SCORED = "bucket int, grams binary, log_p binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -145,7 +154,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def made() -> pa.RecordBatch:
         row = (shard, np.array(ids, "<i8").tobytes(), bytes(known), bytes(held),
-               np.array([len(d) for d in docs], "<i8").tobytes(), zstandard.compress(b"".join(docs), 3))
+               np.array([len(d) for d in docs], "<i8").tobytes(), zstandard.compress(b"".join(docs), 1))
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, kinds)],
                                           [column.split()[0] for column in PACKS.split(", ")])
@@ -176,21 +185,38 @@ def unpacked(sizes: bytes, data: bytes) -> list[bytes]:
     return out
 
 
-def _asks(depth: int):
-    """Distinct words and windows of each shard, with their counts in its training texts."""
+def _parts(order: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places) of the buckets that occur."""
+    places = np.argsort(order, kind="stable")
+    edges = np.searchsorted(order[places], np.arange(buckets + 1))
+    for bucket in range(buckets):
+        if edges[bucket] < edges[bucket + 1]:
+            yield bucket, places[edges[bucket]:edges[bucket + 1]]
+
+
+def gram_buckets(grams: np.ndarray, buckets: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        mixed = grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def word_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digests of words, as two arrays."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<i8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
+def _asks(depth: int, buckets: int):
+    """Distinct windows and words of each shard, with their counts in its training texts, as packed arrays by bucket."""
     def rows(shard: int, words: Counter, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         grams, counts = _merged(found)
-        for at in range(0, len(grams), 100_000):
-            own = grams[at:at + 100_000]
-            yield _table(shard, pa.nulls(len(own), pa.binary()), pa.array(own), pa.array(counts[at:at + 100_000]))
-        listed = list(words.items())
-        for at in range(0, len(listed), 100_000):
-            word, count = zip(*listed[at:at + 100_000])
-            yield _table(shard, pa.array(word, pa.binary()), pa.nulls(len(word), pa.int64()), pa.array(count, pa.int64()))
-
-    def _table(shard, word, gram, train) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(train), shard, np.int64)), word, gram, train], ["shard", "word", "gram", "train"])
+        out = [(bucket, shard, False, grams[at].tobytes(), None, counts[at].astype("<i8").tobytes())
+               for bucket, at in _parts(gram_buckets(grams, buckets), buckets)]
+        first, second = word_keys(list(words))
+        counts = np.fromiter(words.values(), np.int64, len(words))
+        out += [(bucket, shard, True, first[at].tobytes(), second[at].tobytes(), counts[at].tobytes())
+                for bucket, at in _parts(first.astype(np.uint64) % np.uint64(buckets), buckets)]
+        yield _table(ASKED, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, words, found = None, Counter(), []
@@ -206,12 +232,12 @@ def _asks(depth: int):
                     if own:
                         grams, counts = np.unique(grams_of(own, depth), return_counts=True)
                         found.append((grams, np.zeros_like(counts) if out else counts))
-                        tokens = Counter(b"".join(own).split())
-                        tokens[END] = len(own)
+                        tokens = b"".join(own).split()
                         if out:
-                            tokens = Counter(dict.fromkeys(tokens, 0))
-                        for word, count in tokens.items():
-                            words[word] += count
+                            words.update(dict.fromkeys(tokens, 0))
+                        else:
+                            words.update(tokens)
+                        words[END] += 0 if out else len(own)
                 if len(found) > 8:
                     found = [_merged(found)]
         if shard is not None:
@@ -220,11 +246,61 @@ def _asks(depth: int):
     return run
 
 
+def _table(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [column.split() for column in schema.split(", ")]
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kinds[kind]) for column, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
+
+
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    grams, index = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
-    counts = np.zeros(len(grams), np.int64)
-    np.add.at(counts, index, np.concatenate([c for _, c in found]))
-    return grams, counts
+    """Distinct windows and the sums of their counts."""
+    grams, counts = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(grams, kind="stable")
+    grams, counts = grams[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    return grams[first], np.add.reduceat(counts, first)
+
+
+def _joined(column) -> tuple[np.ndarray, np.ndarray]:
+    """Packed arrays one after the other, and their lengths."""
+    parts = [np.frombuffer(x, "<i8") for x in column.to_pylist()]
+    return np.concatenate(parts), np.array([len(x) for x in parts])
+
+
+def _count_grams(asked: pa.Table) -> pa.Table:
+    """A bucket's windows with their counts in the whole corpus."""
+    grams, counts = _merged([(_joined(asked.column("keys"))[0], _joined(asked.column("train"))[0])])
+    return pa.table({"gram": grams, "train": counts})
+
+
+def _count_words(asked: pa.Table) -> pa.Table:
+    """For each shard the corpus counts of its words of a bucket; and once, without a shard, how many words and occurrences there are."""
+    first, sizes = _joined(asked.column("keys"))
+    second, counts = _joined(asked.column("more"))[0], _joined(asked.column("train"))[0]
+    order = np.lexsort((second, first))
+    new = np.concatenate([[True], (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    totals = np.zeros(group.max() + 1, np.int64)
+    np.add.at(totals, group, counts)
+    ends = np.cumsum(sizes)
+    rows = [(shard, True, keys, more, totals[group[end - size:end]].tobytes())
+            for shard, keys, more, size, end in zip(*(asked.column(c).to_pylist() for c in ("shard", "keys", "more")), sizes, ends)]
+    rows.append((None, True, None, None, np.array([np.count_nonzero(totals), totals.sum()]).tobytes()))
+    return pa.Table.from_batches([_table(ANSWERS, rows)])
+
+
+def _answer_grams(asked: pa.Table, scores: pa.Table) -> pa.Table:
+    """For each shard the scores of its windows of a bucket."""
+    grams, _ = _joined(scores.column("grams"))
+    log_p = np.concatenate([np.frombuffer(x, "<f8") for x in scores.column("log_p").to_pylist()])
+    order = np.argsort(grams)
+    grams, log_p = grams[order], log_p[order]
+    rows = [(shard, False, keys, None, log_p[np.searchsorted(grams, np.frombuffer(keys, "<i8"))].tobytes())
+            for shard, keys in zip(asked.column("shard").to_pylist(), asked.column("keys").to_pylist())]
+    return pa.Table.from_batches([_table(ANSWERS, rows)])
 
 
 def _columns(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.ndarray]:
@@ -270,8 +346,8 @@ def _solve_tops(table: pa.Table) -> pa.Table:
         "own": pa.array(own), "passed": pa.array(passed)})
 
 
-def _solve_down(depth: int):
-    """log10 of the probability of every window of a task."""
+def _solve_down(depth: int, buckets: int):
+    """log10 of the probability of every window of a task, packed by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, key, counts, own, passed = _columns(batches, "node", "key", "train", "own", "passed")
         top = node > 0
@@ -286,13 +362,14 @@ def _solve_down(depth: int):
             split = branch.ids >> (8 * (depth + 1 - SPLIT)) << 8
             at = np.searchsorted(ids, split | (1 << choice) | (branch.ids & 255))
             total = total + np.log10(branch.down(own[at], passed[at]))
-        yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(total)], ["gram", "log_p"])
+        yield _table(SCORED, [
+            (bucket, grams[at].tobytes(), total[at].tobytes()) for bucket, at in _parts(gram_buckets(grams, buckets), buckets)])
 
     return run
 
 
-def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """gram, log_p: log10 of the probability of each window's byte after its context.
+def gram_scores(grams: DataFrame, buckets: int, depth: int = DEPTH) -> DataFrame:
+    """bucket, grams, log_p (packed): log10 of the probability of each window's byte after its context.
 
     grams: gram (distinct), train (its count in the training texts, possibly zero).
     """
@@ -311,35 +388,51 @@ def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     asked = grams.select(
         F.lit(0).alias("node"), F.col("gram").alias("key"), "train", F.lit(0.0).alias("own"), F.lit(0.0).alias("passed"))
     context = F.when(F.col("node") > 0, F.col("key")).otherwise(F.shiftright("key", split))
-    return asked.unionByName(reached).repartition(tasks, context).mapInArrow(_solve_down(depth), "gram long, log_p double")
+    return asked.unionByName(reached).repartition(tasks, context).mapInArrow(_solve_down(depth, buckets), SCORED)
 
 
 def _score(depth: int, train_tokens: int, distinct: int):
     whole = math.log10(train_tokens + distinct + 1)
 
     def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
-        is_word = answers.column("word").is_valid()
-        words, grams = answers.filter(is_word), answers.filter(answers.column("gram").is_valid())
-        counts = dict(zip(words.column("word").to_pylist(), words.column("total").to_pylist()))
-        gram = grams.column("gram").to_numpy()
-        _, first = np.unique(gram, return_index=True)
-        index, log_p = pd.Index(gram[first]), grams.column("log_p").to_numpy()[first]
+        words, grams = answers.filter(answers.column("is_word")), answers.filter(pc.invert(answers.column("is_word")))
+        word, counts = pd.Index(_joined(words.column("keys"))[0]), _joined(words.column("found"))[0]
+        second = _joined(words.column("more"))[0]
+        if not word.is_unique:  # two words may share half a digest, and a shard over two tasks asks twice
+            word = pd.MultiIndex.from_arrays([word, second])
+            once = ~word.duplicated()
+            word, counts = word[once], counts[once]
+        gram, log_p = _joined(grams.column("keys"))[0], np.concatenate([np.frombuffer(x, "<f8") for x in grams.column("found").to_pylist()])
+        gram, first = np.unique(gram, return_index=True)
+        log_p = log_p[first]
         out = {name.split()[0]: [] for name in SCORES.split(", ")}
         for pack in packs.to_pylist():
             docs = unpacked(pack["sizes"], pack["data"])
-            places = index.get_indexer(grams_of(docs, depth))
-            if len(places) and places.min() < 0:
+            own = grams_of(docs, depth)
+            places = np.searchsorted(gram, own)
+            if len(gram) <= places.max() or (gram[places] != own).any():
                 raise ValueError("a window of a shard has no answer")
             sizes = np.array([len(doc) for doc in docs])
             out["score"] += np.add.reduceat(log_p[places], np.cumsum(sizes) - sizes).tolist()
             ids = np.frombuffer(pack["doc_ids"], "<i8").tolist()
             out["doc_id"] += [doc_id if known else None for doc_id, known in zip(ids, pack["known"])]
             out["held_out"] += [bool(flag) for flag in pack["held_out"]]
+            numbers: dict[bytes, int] = {END: 0}
+            flat, lengths = [], []
             for doc in docs:
-                found = np.array([counts[END], *map(counts.__getitem__, doc.split())], np.float64)
-                out["n_tokens"].append(len(found))
-                out["n_known"].append(int(np.count_nonzero(found)))
-                out["base_score"].append(float(np.log10(found + 1).sum() - len(found) * whole))
+                tokens = doc.split()
+                flat += [numbers.setdefault(token, len(numbers)) for token in tokens]
+                flat.append(0)
+                lengths.append(len(tokens) + 1)
+            keys = word_keys(list(numbers))
+            at = word.get_indexer(pd.MultiIndex.from_arrays(keys) if isinstance(word, pd.MultiIndex) else keys[0])
+            if at.min() < 0:
+                raise ValueError("a word of a shard has no answer")
+            count = counts[at][np.array(flat)]
+            begins = np.cumsum(lengths) - lengths
+            out["n_tokens"] += lengths
+            out["n_known"] += np.add.reduceat((count > 0).astype(np.int64), begins).tolist()
+            out["base_score"] += (np.add.reduceat(np.log10(count + 1.0), begins) - np.array(lengths) * whole).tolist()
         out["train_tokens"] = [train_tokens] * len(out["score"])
         kinds = {"held_out": pa.bool_(), "base_score": pa.float64(), "score": pa.float64()}
         return pa.table({name: pa.array(values, kinds.get(name, pa.int64())) for name, values in out.items()})
@@ -361,22 +454,17 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"))
     packs = stage(narrow.mapInArrow(_pack, PACKS), "packs")
-    path = scratch_dir(docs.sparkSession, "asked")
-    packs.mapInArrow(_asks(depth), ASKED).write.option("compression", "zstd").parquet(path)
-    asked = docs.sparkSession.read.parquet(path)
-
-    # a word's group has one row per shard, not per occurrence
-    by_word = Window.partitionBy("word")
-    words = stage(asked.where("word is not null").select(
-        "shard", "word", "train", F.sum("train").over(by_word).alias("total"),
-        F.row_number().over(by_word.orderBy("shard")).alias("place")), "words")
-    n, v = words.agg(
-        F.coalesce(F.sum("train"), F.lit(0)), F.count(F.when((F.col("place") == 1) & (F.col("total") > 0), 1))).first()
-
-    wanted = asked.where("gram is not null").select("shard", "gram", "train")
-    grams = stage(wanted.groupBy("gram").agg(F.sum("train").alias("train")), "grams")
-    scores = stage(gram_scores(grams, depth), "gram-scores")
-    answers = (
-        wanted.join(scores, "gram").select("shard", F.lit(None).cast("binary").alias("word"), "gram", F.lit(0).cast("long").alias("total"), "log_p")
-        .unionByName(words.select("shard", "word", F.lit(None).cast("long").alias("gram"), "total", F.lit(None).cast("double").alias("log_p"))))
+    size = packs.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0] * TEXT_PER_PACKED
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    asked = stage(packs.mapInArrow(_asks(depth, buckets), ASKED), "asked")
+
+    words = stage(asked.where("is_word").groupBy("bucket").applyInArrow(_count_words, ANSWERS), "words")
+    stats = words.where("shard is null").select("found").collect()  # one row per bucket
+    v, n = np.sum([np.frombuffer(row.found, "<i8") for row in stats], axis=0).tolist() if stats else (0, 0)
+
+    wanted = asked.where("not is_word")
+    grams = stage(wanted.groupBy("bucket").applyInArrow(_count_grams, "gram long, train long"), "grams")
+    scores = stage(gram_scores(grams, buckets, depth), "gram-scores")
+    answers = wanted.groupBy("bucket").cogroup(scores.groupBy("bucket")).applyInArrow(_answer_grams, ANSWERS)
+    answers = answers.unionByName(words.where("shard is not null"))
     return packs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_score(depth, n, v), SCORES)

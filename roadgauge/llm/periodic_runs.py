@@ -59,6 +59,13 @@ def tile_words(octave: int) -> int:
     return max(TILE_OCTAVES * octave, TILE_WORDS)
 
 
+def _powers(factor: int, count: int) -> np.ndarray:
+    """factor^0, factor^1 ... modulo 2^64."""
+    out = np.full(count, factor, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 def candidates(ids: np.ndarray, octave: int) -> tuple[np.ndarray, np.ndarray]:
     """(boundary, period) where a block of words recurs a period later. Every run of the octave shows at its first boundary.
 
@@ -71,10 +78,9 @@ def candidates(ids: np.ndarray, octave: int) -> tuple[np.ndarray, np.ndarray]:
         none = np.zeros(0, np.int64)
         return none, none
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.concatenate([[1], np.full(len(ids), FACTOR, np.uint64)]).astype(np.uint64))
-        inverse = np.cumprod(np.concatenate([[1], np.full(n - 1, FACTOR_INVERSE, np.uint64)]).astype(np.uint64))
+        powers, inverse = _powers(FACTOR, len(ids)), _powers(FACTOR_INVERSE, n)
         mixed = ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * powers[:-1]
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * powers
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
         hashes = (sums[block:] - sums[:-block]) * inverse
     rows = -(-n // octave)

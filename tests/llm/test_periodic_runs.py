@@ -71,6 +71,14 @@ def test_awkward_texts(docs_of, awkward):
     assert found(periodic_runs.find_runs(docs_of([]))) == []
 
 
+def test_block_hashes_rule_out_nearly_all_boundaries():
+    ids = np.random.default_rng(2).integers(0, 50, 20_000)
+    for octave in (1, 2, 8, 64, 1024):
+        assert len(periodic_runs.candidates(ids, octave)[0]) <= 3
+    at, period = periodic_runs.candidates(np.tile(ids[:100], 10), 64)
+    assert set(period.tolist()) == {100} and len(at) > 5
+
+
 def test_long_text(docs_of):
     """Long periods over many tiles: 100,000 words that repeat 4 1/2 times, and as many equal words."""
     block = [f"w{i * i % 20011}" for i in range(22_000)]
