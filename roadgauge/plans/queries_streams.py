@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgauge.functions import columns as C
 from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
-from roadgauge.session import scratch_dir
+from roadgauge.session import scratch_dir, stage
 from roadgauge.sources import sample
-from roadgauge.streaming import counters, job, sinks, windows
+from roadgauge.streaming import compaction, counters, job, panes, sinks, windows
 
 
 def gps_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +31,24 @@ def finished(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def in_slices(spark: SparkSession, df: DataFrame, label: str, slices: int = 3) -> DataFrame:
+    """A stream over the rows, written in slices of time one after the other, so that it takes several micro-batches."""
+    rows, path = stage(df, label), scratch_dir(spark, f"{label}-slices")
+    low, high = rows.agg(F.min(F.unix_micros("event_timestamp")), F.max(F.unix_micros("event_timestamp"))).first()
+    place = F.floor((F.unix_micros("event_timestamp") - F.lit(low)) * slices / F.lit(high - low + 1))
+    for i in range(slices):
+        rows.where(place == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def gps_slices(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    return in_slices(spark, sample.gps(spark, folder), label)
+
+
+def delivery_slices(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    return in_slices(spark, sample.deliveries(spark, folder), label)
+
+
 define("fleet_windows", """
     select s as window_start, s + interval 5 minute as window_end, count(*) as total_events,
         count(distinct vehicle_id) as active_vehicles, avg(speed_mph) as avg_speed,
@@ -93,41 +111,57 @@ def x4(spark, folder):
     ).drop("near_drivers", "near_p95")
 
 
-def beside_exact(made: DataFrame, exact: DataFrame, counts: list[str], ranks: list[str]) -> DataFrame:
-    """The stream's exact measures as they are, and its sketched ones replaced by the exact form's if they lie within bounds.
-
-    Distinct counts may differ by the sketch's error; percentiles, and ratios of exact parts, must agree.
-    """
-    other = exact.select("window_start", *[F.col(c).alias(f"exact_{c}") for c in [*counts, *ranks]])
-    both = made.join(other, "window_start", "left")
-    near = [close_count(c, f"exact_{c}") for c in counts] + [F.col(c).eqNullSafe(F.col(f"exact_{c}")) for c in ranks]
-    within = near[0]
-    for test in near[1:]:
-        within = within & test
-    return both.withColumn("sketches_within_bound", within).withColumns({c: F.col(f"exact_{c}") for c in [*counts, *ranks]}).drop(
-        *[f"exact_{c}" for c in [*counts, *ranks]])
-
-
 @query("x3_sliding_fleet_metrics_stream", check(
-    f"""select {FLEET}, active_vehicles, {rd('median_speed')}, moving_vehicles, idle_vehicles, true as sketches_within_bound
+    f"""select {FLEET}, active_vehicles, {rd('median_speed')}, moving_vehicles, idle_vehicles,
+        round(moving_vehicles / active_vehicles::double * 100, 2) as fleet_utilization_pct
         from fleet_windows
         where window_end <= (select max(event_timestamp) from gps) - interval 1 minute""", "fleet_windows"))
 def x3_stream(spark, folder):
-    made = finished(spark, windows.fleet_metrics(gps_stream(spark, folder)), "x3")
-    exact = windows.fleet_metrics_exact(sample.gps(spark, folder))
-    counts = ["active_vehicles", "moving_vehicles", "idle_vehicles"]
-    return beside_exact(made, exact, counts, ["median_speed"]).select(*FLEET_COLUMNS, *counts, "median_speed", "sketches_within_bound")
+    """The stream's own values, merged from panes. Sketches of so few rows a window are exact."""
+    made = panes.fleet_windows(panes.fleet_panes(gps_slices(spark, folder, "x3-in")))
+    return finished(spark, made, "x3").select(
+        *FLEET_COLUMNS, "active_vehicles", "median_speed", "moving_vehicles", "idle_vehicles", "fleet_utilization_pct")
 
 
 @query("x4_sliding_delivery_kpis_stream", check(
-    f"""select {KPIS}, {n('median_delay')}, {n('p95_delay')}, active_drivers, active_vehicles, true as sketches_within_bound
+    f"""select {KPIS}, {n('median_delay')}, {n('p95_delay')}, active_drivers, active_vehicles
         from kpi_windows where window_end <=
         (select max(event_timestamp) from deliveries where event_type = 'DELIVERED') - interval 2 minute""", "kpi_windows"))
 def x4_stream(spark, folder):
-    made = finished(spark, windows.delivery_kpis(delivery_stream(spark, folder)), "x4")
-    exact = windows.delivery_kpis_exact(sample.deliveries(spark, folder))
-    counts, ranks = ["active_drivers", "active_vehicles"], ["median_delay", "p95_delay"]
-    return beside_exact(made, exact, counts, ranks).select(*KPI_COLUMNS, *counts, *ranks, "sketches_within_bound")
+    """As x3: several micro-batches, panes of five minutes, three of them a window."""
+    made = panes.delivery_windows(panes.delivery_panes(delivery_slices(spark, folder, "x4-in")))
+    return finished(spark, made, "x4").select(
+        *KPI_COLUMNS, "median_delay", "p95_delay", "active_drivers", "active_vehicles")
+
+
+LONG = windows.Slide(24 * 60, 60, 1)
+
+
+@query("x3_day_windows_from_panes", check(
+    f"""select {at('s', 'window_start')}, count(*) as total_events, count(distinct vehicle_id) as vehicles, true as ranks_within_bound,
+        true as vehicles_within_bound
+    from (select *, date_trunc('hour', event_timestamp) - to_hours(unnest(range(24))) as s from gps)
+    group by s""", "gps"))
+def x3_days(spark, folder):
+    """Windows of a day that slide by the hour: rows enter one pane instead of 24 windows, and the sketches are past their exact size.
+
+    The median's rank among the window's pings lies within 2 %, and the count of vehicles within 5 % of the exact one.
+    """
+    rows = stage(sample.gps(spark, folder), "x3-days")
+    made = stage(panes.fleet_windows(panes.fleet_panes(rows, LONG), LONG).select(
+        "window_start", "total_events", "active_vehicles", "median_speed"), "x3-windows")
+    hourly = rows.groupBy(F.date_trunc("hour", "event_timestamp").alias("hour"), "vehicle_id", "speed_mph").agg(
+        F.count(F.lit(1)).alias("n"))
+    spread = hourly.withColumn("window_start", F.explode(F.sequence(
+        F.col("hour") - F.expr("interval 23 hours"), F.col("hour"), F.expr("interval 1 hour")))).drop("hour")
+    both = spread.join(made, "window_start").groupBy("window_start", "total_events", "active_vehicles").agg(
+        F.sum(F.when(F.col("speed_mph") < F.col("median_speed"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("speed_mph") <= F.col("median_speed"), F.col("n")).otherwise(0)).alias("upto"),
+        F.sum(F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0)).alias("ranked"),
+        F.countDistinct("vehicle_id").alias("vehicles"))
+    within = (F.col("below") <= 0.52 * F.col("ranked")) & (F.col("upto") >= 0.48 * F.col("ranked"))
+    close = F.abs(F.col("active_vehicles") - F.col("vehicles")) <= F.greatest(0.05 * F.col("vehicles"), F.lit(1))
+    return both.select("window_start", "total_events", "vehicles", within.alias("ranks_within_bound"), close.alias("vehicles_within_bound"))
 
 
 define("raw_hours", """
@@ -143,7 +177,7 @@ define("raw_hours", """
         efficiency_score from raw_hours
         where window_start + interval 1 hour <= (select max(event_timestamp) from gps) - interval 1 minute""", "raw_hours"))
 def x5_stream(spark, folder):
-    hours = windows._flat(windows.vehicle_hours(gps_stream(spark, folder)))
+    hours = windows.flat(windows.vehicle_hours(gps_slices(spark, folder, "x5-in")))
     return finished(spark, hours, "x5").drop("window_end", "event_date")
 
 
@@ -193,13 +227,49 @@ def x12_deliveries(spark, folder):
     return counters.read_delivery_counters(spark, f"{root}/out")
 
 
+def fleet_counters(spark: SparkSession, folder: str, label: str) -> str:
+    """Fleet counters after several micro-batches, compacted on the way."""
+    root = scratch_dir(spark, label)
+    stream = in_slices(spark, sample.gps(spark, folder), f"{label}-in", 5)
+    counters.keep_fleet_counters(stream, f"{root}/out", f"{root}/checkpoint", tidy=2).awaitTermination()
+    return f"{root}/out"
+
+
 @query("x12_stream_fleet_counters", check(
     f"""select strftime(event_timestamp, '%Y-%m-%d') as event_date, count(*) as total_events,
         count(distinct vehicle_id) as active_vehicles, {at('max(event_timestamp)', 'last_updated')} from gps group by 1""", "gps"))
 def x12_fleet(spark, folder):
-    root = scratch_dir(spark, "x12-fleet")
-    counters.keep_fleet_counters(gps_stream(spark, folder), f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return counters.read_fleet_counters(spark, f"{root}/out")
+    return counters.read_fleet_counters(spark, fleet_counters(spark, folder, "x12-fleet")).select(
+        "event_date", "total_events", "active_vehicles", "last_updated")
+
+
+@query("x12_stream_hourly_vehicles", check(
+    f"""select {at("date_trunc('hour', event_timestamp)", 'hour')}, count(*) as total_events,
+        count(distinct vehicle_id) as active_vehicles, count(*) filter (engine_status = 'ON') as moving_count
+        from gps group by 1""", "gps"))
+def x12_hours(spark, folder):
+    """From the same stored sets as the daily counters: distinct vehicles of any span, pings read once."""
+    hourly = counters.read_fleet_counters(spark, fleet_counters(spark, folder, "x12-hours"), by="hour")
+    return hourly.select("hour", "total_events", "active_vehicles", "moving_count")
+
+
+@query("x12_stream_counters_compacted", check(
+    f"""select strftime(event_timestamp, '%Y-%m-%d') as event_date,
+        count(*) filter (event_type = 'DELIVERED') as total_deliveries,
+        count(*) filter (event_type = 'DELIVERED' and coalesce(delay_minutes, 0) <= 0) as on_time_count,
+        count(*) filter (event_type = 'FAILED_ATTEMPT') as failed_attempts, true as few_batches
+        from deliveries where event_type in ('DELIVERED', 'FAILED_ATTEMPT') group by 1""", "deliveries"))
+def x12_compacted(spark, folder):
+    """Events in no order of time, so that every micro-batch touches every date; merged every three batches."""
+    root = scratch_dir(spark, "x12-compacted")
+    rows, path = stage(sample.deliveries(spark, folder), "x12-rows"), scratch_dir(spark, "x12-in")
+    for i in range(8):
+        rows.where(F.pmod(F.xxhash64("delivery_id"), F.lit(8)) == i).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    counters.keep_delivery_counters(stream, f"{root}/out", f"{root}/checkpoint", tidy=3).awaitTermination()
+    left = max(len(ids) for ids in compaction.batches(spark, f"{root}/out").values())
+    return counters.read_delivery_counters(spark, f"{root}/out").select(
+        "event_date", "total_deliveries", "on_time_count", "failed_attempts", F.lit(left <= 3).alias("few_batches"))
 
 
 @query("x12_stream_positions", check(

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from roadgauge.functions import columns as C
-from roadgauge.operators import dims, quality, reports, rollups, timeline, trips
+from roadgauge.operators import dims, quality, reports, rollups, timeline, trips, vehicle_sets
 from roadgauge.plans.queries_records import landed_rollup_gps
 from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.schemas import RATES
@@ -378,6 +378,34 @@ def a19(spark, folder):
     return rollups.fleet_day_counters(sample.gps(spark, folder))
 
 
+def stored_sets(spark, folder):
+    """Vehicle sets per date and hour, as a job stores them."""
+    rows = sample.gps(spark, folder)
+    named = rows.join(vehicle_sets.numbered(rows), "vehicle_id", "left").withColumns({
+        "event_date": C.event_date("event_timestamp"), "hour": F.date_trunc("hour", "event_timestamp"), "is_moving": C.is_moving()})
+    return stage(vehicle_sets.vehicle_sets(named, ["event_date", "hour"]), "vehicle-sets")
+
+
+@query("a19_fleet_days_from_sets", check(
+    f"""select strftime(event_timestamp, '%Y-%m-%d') as event_date, count(*) as total_events,
+        count(distinct vehicle_id) as active_vehicles, true as estimate_within_bound, {at('max(event_timestamp)', 'last_updated')}
+        from gps group by 1""", "gps"))
+def a19_sets(spark, folder):
+    """Days merged from hours; the sketch's estimate lies within 5 % of the exact count."""
+    days = vehicle_sets.counts(stored_sets(spark, folder), ["event_date"])
+    close = F.abs(F.col("estimated_vehicles") - F.col("active_vehicles")) <= F.greatest(0.05 * F.col("active_vehicles"), F.lit(1))
+    return days.select("event_date", "total_events", "active_vehicles", close.alias("estimate_within_bound"), "last_updated")
+
+
+@query("a13_vehicles_of_spans_from_sets", check(
+    f"""select {at("date_trunc('week', event_timestamp)", 'week')}, count(*) as total_events, count(distinct vehicle_id) as active_vehicles,
+        count(*) filter (engine_status = 'ON') as moving_count from gps group by 1""", "gps"))
+def a13_sets(spark, folder):
+    """Weeks, which no stored row is made for, merged from the sets of hours."""
+    weeks = stored_sets(spark, folder).withColumn("week", F.date_trunc("week", "hour"))
+    return vehicle_sets.counts(weeks, ["week"]).select("week", "total_events", "active_vehicles", "moving_count")
+
+
 @query("a20_high_watermark", check(f"select {at('max(event_timestamp)', 'high_watermark')} from gps", "gps"))
 def a20(spark, folder):
     return rollups.high_watermark(sample.gps(spark, folder))

@@ -40,12 +40,12 @@ VEHICLE_WATERMARK = "1 minutes"
 # end of fixed values
 
 
-def _flat(df: DataFrame) -> DataFrame:
+def flat(df: DataFrame) -> DataFrame:
     """Lift the window; event_date is the start's date, so no window splits at midnight."""
     return trips.flatten_window(df).withColumn("event_date", C.event_date("window_start"))
 
 
-def _fleet_ratios(df: DataFrame) -> DataFrame:
+def fleet_ratios(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "moving_events_per_vehicle_pct": C.as_decimal(C.percentage("moving_events", "active_vehicles"), 12, 2),
         "fleet_utilization_pct": C.as_decimal(C.percentage("moving_vehicles", "active_vehicles")),
@@ -55,7 +55,7 @@ def _fleet_ratios(df: DataFrame) -> DataFrame:
 def fleet_metrics(gps: DataFrame, slide: Slide = FLEET) -> DataFrame:
     """Per window: pings, vehicles, speeds, fuel, moving and idle counts, utilization."""
     moving, idle = C.is_moving(), F.col("engine_status") == "IDLE"
-    return _fleet_ratios(_flat(
+    return fleet_ratios(flat(
         gps.withWatermark("event_timestamp", slide.watermark).groupBy(slide.window()).agg(
             F.count(F.lit(1)).alias("total_events"),
             F.approx_count_distinct("vehicle_id").alias("active_vehicles"),
@@ -71,7 +71,7 @@ def fleet_metrics(gps: DataFrame, slide: Slide = FLEET) -> DataFrame:
     ))
 
 
-def _kpi_ratios(df: DataFrame) -> DataFrame:
+def kpi_ratios(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "on_time_percentage": C.as_decimal(C.percentage("on_time_deliveries", "total_deliveries")),
         "deliveries_per_driver": C.as_decimal(F.try_divide("total_deliveries", "active_drivers")),
@@ -81,7 +81,7 @@ def _kpi_ratios(df: DataFrame) -> DataFrame:
 def delivery_kpis(deliveries: DataFrame, slide: Slide = DELIVERY) -> DataFrame:
     """Per window over delivered events: totals, delays, on-time share, drivers, vehicles, weight."""
     done = deliveries.where(C.has_status("DELIVERED")).withWatermark("event_timestamp", slide.watermark)
-    return _kpi_ratios(_flat(
+    return kpi_ratios(flat(
         done.groupBy(slide.window()).agg(
             F.count(F.lit(1)).alias("total_deliveries"),
             F.avg("delay_minutes").alias("avg_delay_minutes"),
@@ -170,7 +170,7 @@ def fleet_metrics_exact(gps: DataFrame, slide: Slide = FLEET) -> DataFrame:
         F.count_if(F.col("idle") > 0).alias("idle_vehicles"),
     )
     median = exact_percentiles(gps, slide, "speed_mph", {"median_speed": 0.5})
-    return _fleet_ratios(_closed(per_window.join(median, "window_start", "left"), slide))
+    return fleet_ratios(_closed(per_window.join(median, "window_start", "left"), slide))
 
 
 def delivery_kpis_exact(deliveries: DataFrame, slide: Slide = DELIVERY) -> DataFrame:
@@ -192,7 +192,7 @@ def delivery_kpis_exact(deliveries: DataFrame, slide: Slide = DELIVERY) -> DataF
         F.try_divide(F.sum("weight"), F.sum("weights")).alias("avg_package_weight"),
     )
     delays = exact_percentiles(done, slide, "delay_minutes", {"median_delay": 0.5, "p95_delay": 0.95})
-    return _kpi_ratios(_closed(per_window.join(delays, "window_start", "left"), slide))
+    return kpi_ratios(_closed(per_window.join(delays, "window_start", "left"), slide))
 
 
 # --- streams -----------------------------------------------------------------------------
