@@ -7,7 +7,7 @@ depths along its context, each node by how much its own estimate explains the tr
 
 All follows from the counts of windows of depth + 1 bytes. Texts lie in shards of bounded size; a shard asks once for each of its
 distinct windows (training counts included, zero for windows that only held-out texts have) and once for each of its
-distinct words (by a 128-bit digest). Questions and answers travel as packed arrays, by bucket of the window or word, so that what is
+distinct words. Questions and answers travel as packed arrays, by bucket of the window or word, so that what is
 moved is small beside the texts and a common window costs a bucket one entry per shard. Windows are counted over the whole
 corpus and dealt by their three latest context bytes: what lies deeper is solved within a task, upwards; the few levels above are solved per choice (at most 65,536 contexts each) and
 go back down to the tasks, which give every window its probability. Answers return to the shards, and texts are scored there.
@@ -23,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,7 +34,7 @@ DEPTH = 5
 #: Levels above this one are solved per choice, those below by context.
 SPLIT = 3
 SHARD_BYTES = 32 << 20
-PACK_BYTES = 4 << 20
+PACK_BYTES = 1 << 20
 #: Distinct windows that one task solves together.
 TASK_WINDOWS = 1_000_000
 #: Bytes of text per bucket of windows and words; a bucket's task sees what all shards ask of it.
@@ -44,8 +43,8 @@ BUCKET_BYTES = 64 << 20
 TEXT_PER_PACKED = 3
 END = b"\n"
 PACKS = "shard long, doc_ids binary, known binary, held_out binary, sizes binary, data binary"
-ASKED = "bucket int, shard long, is_word boolean, keys binary, more binary, train binary"
-ANSWERS = "shard long, is_word boolean, keys binary, more binary, found binary"
+ASKED = "bucket int, shard long, is_word boolean, keys binary, train binary"
+ANSWERS = "shard long, is_word boolean, keys binary, found binary"
 NODES = "node int, context long, zeros long, ones long, log_weighted double"
 TOPS = "node int, context long, own double, passed double"
 SCORED = "bucket int, grams binary, log_p binary"
@@ -200,22 +199,47 @@ def gram_buckets(grams: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
-def word_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit digests of words, as two arrays."""
-    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<i8").reshape(-1, 2)
-    return both[:, 0].copy(), both[:, 1].copy()
+def word_bucket(word: bytes, buckets: int) -> int:
+    return xxhash.xxh64_intdigest(word) % buckets
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Rising integers as compressed differences."""
+    return zstandard.compress(np.diff(values, prepend=0).astype("<i8").tobytes(), 1)
+
+
+def sorted_values(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.decompress(data), "<i8"))
+
+
+def pack_words(words: list[bytes]) -> bytes:
+    """Words hold no line ends. The end mark is told by an empty word."""
+    return zstandard.compress(b"\n".join(b"" if word == END else word for word in words), 1)
+
+
+def words_of(data: bytes) -> list[bytes]:
+    return [word or END for word in zstandard.decompress(data).split(b"\n")]
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    return zstandard.compress(counts.astype("<i8").tobytes(), 1)
+
+
+def counts_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), "<i8")
 
 
 def _asks(depth: int, buckets: int):
     """Distinct windows and words of each shard, with their counts in its training texts, as packed arrays by bucket."""
     def rows(shard: int, words: Counter, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         grams, counts = _merged(found)
-        out = [(bucket, shard, False, grams[at].tobytes(), None, counts[at].astype("<i8").tobytes())
+        out = [(bucket, shard, False, pack_sorted(grams[at]), pack_counts(counts[at]))
                for bucket, at in _parts(gram_buckets(grams, buckets), buckets)]
-        first, second = word_keys(list(words))
-        counts = np.fromiter(words.values(), np.int64, len(words))
-        out += [(bucket, shard, True, first[at].tobytes(), second[at].tobytes(), counts[at].tobytes())
-                for bucket, at in _parts(first.astype(np.uint64) % np.uint64(buckets), buckets)]
+        by_bucket: dict[int, list[bytes]] = {}
+        for word in words:
+            by_bucket.setdefault(word_bucket(word, buckets), []).append(word)
+        out += [(bucket, shard, True, pack_words(own), pack_counts(np.array([words[word] for word in own])))
+                for bucket, own in ((bucket, sorted(own)) for bucket, own in by_bucket.items())]
         yield _table(ASKED, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +262,7 @@ def _asks(depth: int, buckets: int):
                         else:
                             words.update(tokens)
                         words[END] += 0 if out else len(own)
-                if len(found) > 8:
+                if len(found) > 16:
                     found = [_merged(found)]
         if shard is not None:
             yield from rows(shard, words, found)
@@ -263,42 +287,33 @@ def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return grams[first], np.add.reduceat(counts, first)
 
 
-def _joined(column) -> tuple[np.ndarray, np.ndarray]:
-    """Packed arrays one after the other, and their lengths."""
-    parts = [np.frombuffer(x, "<i8") for x in column.to_pylist()]
-    return np.concatenate(parts), np.array([len(x) for x in parts])
-
-
 def _count_grams(asked: pa.Table) -> pa.Table:
     """A bucket's windows with their counts in the whole corpus."""
-    grams, counts = _merged([(_joined(asked.column("keys"))[0], _joined(asked.column("train"))[0])])
+    pairs = zip(asked.column("keys").to_pylist(), asked.column("train").to_pylist())
+    grams, counts = _merged([(sorted_values(keys), counts_of(train)) for keys, train in pairs])
     return pa.table({"gram": grams, "train": counts})
 
 
 def _count_words(asked: pa.Table) -> pa.Table:
     """For each shard the corpus counts of its words of a bucket; and once, without a shard, how many words and occurrences there are."""
-    first, sizes = _joined(asked.column("keys"))
-    second, counts = _joined(asked.column("more"))[0], _joined(asked.column("train"))[0]
-    order = np.lexsort((second, first))
-    new = np.concatenate([[True], (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)])
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new) - 1
-    totals = np.zeros(group.max() + 1, np.int64)
-    np.add.at(totals, group, counts)
-    ends = np.cumsum(sizes)
-    rows = [(shard, True, keys, more, totals[group[end - size:end]].tobytes())
-            for shard, keys, more, size, end in zip(*(asked.column(c).to_pylist() for c in ("shard", "keys", "more")), sizes, ends)]
-    rows.append((None, True, None, None, np.array([np.count_nonzero(totals), totals.sum()]).tobytes()))
+    totals: dict[bytes, int] = {}
+    lists = [words_of(keys) for keys in asked.column("keys").to_pylist()]
+    for words, train in zip(lists, asked.column("train").to_pylist()):
+        for word, count in zip(words, counts_of(train).tolist()):
+            totals[word] = totals.get(word, 0) + count
+    rows = [(shard, True, keys, pack_counts(np.array([totals[word] for word in words])))
+            for shard, keys, words in zip(asked.column("shard").to_pylist(), asked.column("keys").to_pylist(), lists)]
+    rows.append((None, True, None, pack_counts(np.array([sum(n > 0 for n in totals.values()), sum(totals.values())]))))
     return pa.Table.from_batches([_table(ANSWERS, rows)])
 
 
 def _answer_grams(asked: pa.Table, scores: pa.Table) -> pa.Table:
     """For each shard the scores of its windows of a bucket."""
-    grams, _ = _joined(scores.column("grams"))
+    grams = np.concatenate([sorted_values(x) for x in scores.column("grams").to_pylist()])
     log_p = np.concatenate([np.frombuffer(x, "<f8") for x in scores.column("log_p").to_pylist()])
     order = np.argsort(grams)
     grams, log_p = grams[order], log_p[order]
-    rows = [(shard, False, keys, None, log_p[np.searchsorted(grams, np.frombuffer(keys, "<i8"))].tobytes())
+    rows = [(shard, False, keys, log_p[np.searchsorted(grams, sorted_values(keys))].tobytes())
             for shard, keys in zip(asked.column("shard").to_pylist(), asked.column("keys").to_pylist())]
     return pa.Table.from_batches([_table(ANSWERS, rows)])
 
@@ -352,6 +367,8 @@ def _solve_down(depth: int, buckets: int):
         node, key, counts, own, passed = _columns(batches, "node", "key", "train", "own", "passed")
         top = node > 0
         grams, counts, total = key[~top], counts[~top], 0.0
+        order = np.argsort(grams)
+        grams, counts = grams[order], counts[order]
         ids = (key[top] << 8) | node[top]
         order = np.argsort(ids)
         ids, own, passed = ids[order], own[top][order], passed[top][order]
@@ -363,7 +380,7 @@ def _solve_down(depth: int, buckets: int):
             at = np.searchsorted(ids, split | (1 << choice) | (branch.ids & 255))
             total = total + np.log10(branch.down(own[at], passed[at]))
         yield _table(SCORED, [
-            (bucket, grams[at].tobytes(), total[at].tobytes()) for bucket, at in _parts(gram_buckets(grams, buckets), buckets)])
+            (bucket, pack_sorted(grams[at]), total[at].tobytes()) for bucket, at in _parts(gram_buckets(grams, buckets), buckets)])
 
     return run
 
@@ -395,22 +412,21 @@ def _score(depth: int, train_tokens: int, distinct: int):
     whole = math.log10(train_tokens + distinct + 1)
 
     def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
-        words, grams = answers.filter(answers.column("is_word")), answers.filter(pc.invert(answers.column("is_word")))
-        word, counts = pd.Index(_joined(words.column("keys"))[0]), _joined(words.column("found"))[0]
-        second = _joined(words.column("more"))[0]
-        if not word.is_unique:  # two words may share half a digest, and a shard over two tasks asks twice
-            word = pd.MultiIndex.from_arrays([word, second])
-            once = ~word.duplicated()
-            word, counts = word[once], counts[once]
-        gram, log_p = _joined(grams.column("keys"))[0], np.concatenate([np.frombuffer(x, "<f8") for x in grams.column("found").to_pylist()])
-        gram, first = np.unique(gram, return_index=True)
-        log_p = log_p[first]
+        counts: dict[bytes, int] = {}
+        asked, values = [], []
+        for row in answers.to_pylist():  # a shard that was read by two tasks has asked twice, and some things twice
+            if row["is_word"]:
+                counts.update(zip(words_of(row["keys"]), counts_of(row["found"]).tolist()))
+            else:
+                asked.append(sorted_values(row["keys"]))
+                values.append(np.frombuffer(row["found"], "<f8"))
+        gram, first = np.unique(np.concatenate(asked), return_index=True)
+        index, log_p = pd.Index(gram), np.concatenate(values)[first]
         out = {name.split()[0]: [] for name in SCORES.split(", ")}
         for pack in packs.to_pylist():
             docs = unpacked(pack["sizes"], pack["data"])
-            own = grams_of(docs, depth)
-            places = np.searchsorted(gram, own)
-            if len(gram) <= places.max() or (gram[places] != own).any():
+            places = index.get_indexer(grams_of(docs, depth))
+            if places.min() < 0:
                 raise ValueError("a window of a shard has no answer")
             sizes = np.array([len(doc) for doc in docs])
             out["score"] += np.add.reduceat(log_p[places], np.cumsum(sizes) - sizes).tolist()
@@ -424,11 +440,7 @@ def _score(depth: int, train_tokens: int, distinct: int):
                 flat += [numbers.setdefault(token, len(numbers)) for token in tokens]
                 flat.append(0)
                 lengths.append(len(tokens) + 1)
-            keys = word_keys(list(numbers))
-            at = word.get_indexer(pd.MultiIndex.from_arrays(keys) if isinstance(word, pd.MultiIndex) else keys[0])
-            if at.min() < 0:
-                raise ValueError("a word of a shard has no answer")
-            count = counts[at][np.array(flat)]
+            count = np.array([counts[word] for word in numbers])[np.array(flat)]
             begins = np.cumsum(lengths) - lengths
             out["n_tokens"] += lengths
             out["n_known"] += np.add.reduceat((count > 0).astype(np.int64), begins).tolist()
@@ -460,7 +472,7 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
 
     words = stage(asked.where("is_word").groupBy("bucket").applyInArrow(_count_words, ANSWERS), "words")
     stats = words.where("shard is null").select("found").collect()  # one row per bucket
-    v, n = np.sum([np.frombuffer(row.found, "<i8") for row in stats], axis=0).tolist() if stats else (0, 0)
+    v, n = np.sum([counts_of(row.found) for row in stats], axis=0).tolist() if stats else (0, 0)
 
     wanted = asked.where("not is_word")
     grams = stage(wanted.groupBy("bucket").applyInArrow(_count_grams, "gram long, train long"), "grams")
