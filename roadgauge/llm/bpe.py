@@ -13,6 +13,7 @@ The memo of a worker is bounded; a chunk that was forgotten is encoded again.
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -33,6 +34,25 @@ LEARN_CHARACTERS = 400_000
 LETTER_THEN_MARK = re.compile(r"(?<=[a-z])(?=[.,!?#*%$&|;:])")
 
 
+#: Parts of a text that the splitter parts anyhow: Latin letters up to white space or a mark, marks up to a letter or white
+#: space, and else all up to the next white space.
+LATIN, MARKS, WHITE = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", ".,!?#*%$&|;:", " \\n\\t\\r"
+PART = re.compile(f"[{LATIN}]+(?=[{MARKS}{WHITE}]|\\Z)|[{MARKS}]+(?=[{LATIN}{WHITE}]|\\Z)|[^{WHITE}]+")
+EXPECTED = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
+
+
+def check_file(tokenizer) -> None:
+    """What the repair and the parts rely on: a normaliser and a splitter that treat words alone, and no decoder."""
+    described = json.loads(tokenizer.to_str())
+    for name, kinds in EXPECTED.items():
+        stage = described[name] or {}
+        listed = [part["type"] for part in stage.get("normalizers" if name == "normalizer" else "pretokenizers", [])]
+        if listed != kinds:
+            raise ValueError(f"this tokenizer file's {name} is not supported")
+    if described["pre_tokenizer"]["pretokenizers"][0]["behavior"] != "Removed":
+        raise ValueError("a tokenizer that keeps white space is not supported")
+
+
 def plain(text: str) -> str:
     """A text of the same ids in which more words are alike.
 
@@ -86,6 +106,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        check_file(self.tokenizer)
         self.names: list[str] = []
         self.chunks: dict[str, tuple[str, bytes, str]] = {}
         self.words = WordIds()
@@ -110,10 +131,10 @@ class ChunkEncoder:
         ids = np.array(found.ids, "<u4")
         starts = np.array([start for start, _ in found.offsets], np.int64)
         limits = np.cumsum(np.array([len(word) + 1 for word in words], np.int64))
-        ends = np.searchsorted(starts, limits, "left").tolist()
-        start = 0
+        ends = (4 * np.searchsorted(starts, limits, "left")).tolist()
+        data, start = ids.tobytes(), 0
         for word, end in zip(words, ends):
-            self.words[word] = ids[start:end].tobytes()
+            self.words[word] = data[start:end]
             start = end
 
     def encode(self, text: str) -> bytes:
@@ -131,6 +152,28 @@ class ChunkEncoder:
                 pending, size = [], 0
         return made + self._joined(pending)
 
+    def encode_parts(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text from its parts alone, for callers that gain nothing from whole chunks: most texts differ."""
+        made, pending, size = [], [], 0
+        for text in texts:
+            if "<|" not in text:
+                text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            pending.append(PART.findall(text))
+            size += len(text)
+            if size > LEARN_CHARACTERS:
+                made += self._from_parts(pending)
+                pending, size = [], 0
+        return made + self._from_parts(pending)
+
+    def _from_parts(self, lists: list[list[str]]) -> list[bytes]:
+        words, old = self.words, self.words.old
+        new = [part for part in set().union(*lists) if part not in words and part not in old]
+        if new:
+            self._learn(new)
+        made = [b"".join(map(words.__getitem__, parts)) for parts in lists]
+        words.trim()
+        return made
+
     def _parts(self, text: str) -> tuple[list[bytes], list[tuple]]:
         """Ids of the parts of a text, and the places of parts with words that are not known yet."""
         text = plain(text)

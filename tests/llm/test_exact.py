@@ -228,3 +228,44 @@ def test_token_counts(docs_of, awkward):
     rows = awkward + [(20, "<s> <0x41> ▁▁ tie aaaaaaaa"), (21, "\n\n \n"), (22, "一\U0001F601" * 40)]
     got = Counter((r["doc_id"], r["n_tokens"]) for r in token_counts.count_tokens(docs_of(rows), PIECES).collect())
     assert got == Counter((d, len(library.encode(t or "", add_special_tokens=False).ids)) for d, t in rows)
+
+
+def test_parts_equal_the_library():
+    """Random texts over letters, marks, digits, combining marks, apostrophes, special tokens and odd white space."""
+    own = bpe.ChunkEncoder(WORD_BPE)
+    rng = np.random.default_rng(11)
+    atoms = ["the", "Of", "é", "É", "e\u0301", "ß", "ñ", "日本", "\u0301", ".", "..", "!?", "'s", "'", "'t", "|", "<|", "|>", "<|endoftext|>",
+             " ", "  ", "\n", "\t", "\u00a0", "\x1c", "\x85", "7", "42", "\U0001F600", "$%", "-", "_", "×", "ǅ", "a.b", ",", "İ", "K"]
+    texts = ["".join(rng.choice(atoms, rng.integers(0, 14))) for _ in range(4000)] + ["", "x" * 5000, "a. " * 4000]
+    want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert own.encode_parts(texts) == want and own.encode_all(texts) == want
+
+
+def test_other_tokenizer_files_are_refused():
+    with pytest.raises(ValueError, match="not supported"):
+        bpe.ChunkEncoder(queries.tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_harmonic_classes():
+    """A full bin holds k whole remainders of class k, its slack is smaller than they are, and few documents are cut."""
+    rng = np.random.default_rng(4)
+    packer, rows = packing.Packer(0), []
+    sizes = [int(x) for x in np.minimum(rng.lognormal(6.3, 1.1, 4000), 20_000)] + [4096, 4095, 2048, 1, 8192]
+    for d, size in enumerate(sizes):
+        rows += packer.add(d, bytes(4 * size))
+    before = {r[5] for r in rows}
+    assert all(sum(len(s[2]) // 4 for s in b) < 4096 for b in packer.open.values()) and packer.spare < 8192 + 4096
+    rows += packer.finish()
+    bins, pieces = defaultdict(list), Counter(r[0] for r in rows)
+    for r in rows:
+        bins[r[5]].append(r)
+    for number, inside in bins.items():
+        total = sum(r[2] for r in inside)
+        assert total == 4096 or (number not in before and total & (total - 1) == 0)
+        rests = [r[2] for r in inside if r[1] + r[2] == r[4] and r[1] % 4096 == 0 and r[2] < 4096]
+        if number in before and inside[0][2] < 4096:
+            k = 4096 // inside[0][2]
+            assert len(rests) >= k and all(4096 // n == k for n in rests[:k]) and 4096 - sum(rests[:k]) < 4096 / (k + 1)
+    whole = sum(size // 4096 for size in sizes)
+    assert (len(rows) - whole) / len(sizes) < 1.5 and max(pieces.values()) < 30
+    assert sum(r[2] for r in rows) == sum(sizes)
