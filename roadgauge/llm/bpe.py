@@ -35,8 +35,8 @@ LETTER_THEN_MARK = re.compile(r"(?<=[a-z])(?=[.,!?#*%$&|;:])")
 
 
 #: Parts of a text that the splitter parts anyhow: Latin letters up to white space or a mark, marks up to a letter or white
-#: space, and else all up to the next white space.
-LATIN, MARKS, WHITE = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", ".,!?#*%$&|;:", " \\n\\t\\r"
+#: space, and else all up to the next white space. U+0130 is no such letter: its lower case ends with a combining dot.
+LATIN, MARKS, WHITE = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f", ".,!?#*%$&|;:", " \\n\\t\\r"
 PART = re.compile(f"[{LATIN}]+(?=[{MARKS}{WHITE}]|\\Z)|[{MARKS}]+(?=[{LATIN}{WHITE}]|\\Z)|[^{WHITE}]+")
 EXPECTED = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
 

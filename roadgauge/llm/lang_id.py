@@ -4,7 +4,8 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 segmentations into pieces, by the forward algorithm; a text's is the product over its words. The probabilities are fitted
 by expectation-maximisation: expected piece counts over all segmentations, from the forward and the backward pass.
 
-Letter runs are lower-cased and cut after 40 letters; each is scored once per worker and kept in a bounded memo.
+Letter runs are lower-cased and scored whole, however long; sums are scaled anew every few letters. Each run is scored once per
+worker and kept in a bounded memo.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ SMOOTHING = 0.05
 #: Probability of a letter no piece has; and what each letter's probability is multiplied by, so that products stay in range.
 UNKNOWN = 1e-7
 SCALE = 20.0
-LONGEST = 40
+#: Letters after which the sums of a word are scaled anew, so that words of any length stay in range.
+STEP = 16
 MOST_WORDS = 300_000
 UNDETERMINED = "und"
 RUN = re.compile(r"[^\W\d_]+")
@@ -53,6 +55,7 @@ class Pieces:
             if letters == letters.lower() and (letters.isalpha() or not letters):
                 found.setdefault(piece, len(found))
         self.size = len(found) + 1
+        self.longest = max(map(len, found), default=1)
         self.automaton = ahocorasick.Automaton()
         for piece, i in found.items():
             self.automaton.add_word(piece, (i, len(piece)))
@@ -82,37 +85,61 @@ class Pieces:
         bounds = np.searchsorted(place, np.arange(1, (place.max() if len(place) else 0) + 2))
         return start, to, piece, bounds, first, first + lengths
 
-    def forward(self, lattice, table: np.ndarray) -> np.ndarray:
-        """Per node and language, the summed probability of all ways there, times SCALE per letter."""
+    def forward(self, lattice, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per node and language, the summed probability of all ways there, times SCALE per letter: the first array
+        times e to the power of the second."""
         start, to, piece, bounds, first, last = lattice
         ways = np.zeros((int(last.max()) + 2, table.shape[1]))
         ways[first] = 1.0
+        logs = np.zeros_like(ways)
         weights = table[piece] * (SCALE ** (to - start))[:, None]
-        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        for place, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), 1):
             if i < j:
                 ends = to[i:j]
                 heads = np.flatnonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))
                 ways[ends[heads]] = np.add.reduceat(ways[start[i:j]] * weights[i:j], heads, axis=0)
-        return ways
+            if place % STEP == 0:
+                for word in np.flatnonzero(last - first > place).tolist():
+                    low, here = max(first[word], first[word] + place - self.longest), first[word] + place + 1
+                    most = ways[low:here].max(axis=0)
+                    ways[low:here] /= most
+                    logs[low:last[word] + 1] += np.log(most)
+        return ways, logs
+
+    def backward(self, lattice, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per node, the summed probability of all ways from there to the word's end; as for forward. One language."""
+        start, to, _, bounds, first, last = lattice
+        onward = np.zeros(int(last.max()) + 2)
+        onward[last] = 1.0
+        logs = np.zeros_like(onward)
+        for place in range(len(bounds) - 1, 0, -1):
+            i, j = bounds[place - 1], bounds[place]
+            np.add.at(onward, start[i:j], cost[i:j] * onward[to[i:j]])
+            if place % STEP == 0:
+                for word in np.flatnonzero(last - first > place).tolist():
+                    low, here = max(first[word], first[word] + place - self.longest), first[word] + place
+                    most = onward[low:here].max()
+                    onward[low:here] /= most
+                    logs[first[word]:here] += np.log(most)
+        return onward, logs
 
     def word_scores(self, words: list[str], table: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language."""
         lattice = self.lattice(words)
         first, last = lattice[4], lattice[5]
-        return np.log(self.forward(lattice, table)[last]) - ((last - first) * np.log(SCALE))[:, None]
+        ways, logs = self.forward(lattice, table)
+        return np.log(ways[last]) + logs[last] - ((last - first) * np.log(SCALE))[:, None]
 
     def expected(self, words: list[str], weights: np.ndarray, table: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece in weighted words of one language (table has one column)."""
         lattice = self.lattice(words)
-        start, to, piece, bounds, first, last = lattice
-        ways = self.forward(lattice, table)[:, 0]
-        onward = np.zeros_like(ways)
-        onward[last] = 1.0
+        start, to, piece, _, first, last = lattice
+        ways, logs = (x[:, 0] for x in self.forward(lattice, table))
         cost = table[piece, 0] * SCALE ** (to - start)
-        for i, j in zip(bounds[-2::-1].tolist(), bounds[:0:-1].tolist()):
-            np.add.at(onward, start[i:j], cost[i:j] * onward[to[i:j]])
+        onward, onward_logs = self.backward(lattice, cost)
         word = np.searchsorted(first, start, "right") - 1
-        share = ways[start] * cost * onward[to] / ways[last][word] * weights[word]
+        scale = np.exp(logs[start] + onward_logs[to] - logs[last][word])
+        share = ways[start] * cost * onward[to] / ways[last][word] * scale * weights[word]
         return np.bincount(piece, share, self.size)
 
 
@@ -126,10 +153,7 @@ def pieces(path: str) -> Pieces:
 
 
 def words_of(text: str) -> list[str]:
-    words = RUN.findall(text.lower())
-    if any(len(word) > LONGEST for word in words):
-        words = [word[i:i + LONGEST] for word in words for i in range(0, len(word), LONGEST)]
-    return words
+    return RUN.findall(text.lower())
 
 
 def train(docs: DataFrame, path: str, per_language: int = SAMPLE_PER_LANGUAGE, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:

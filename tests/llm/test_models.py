@@ -2,6 +2,8 @@
 
 import hashlib
 
+import re
+
 import numpy as np
 import pytest
 
@@ -11,25 +13,43 @@ PIECES = queries.tokenizer_path("piece_bpe_32k.model")
 FOLDER = "/root/testdata/sf0.01"
 
 
+def brute_word(own, word, share):
+    """Log of the sum over all segmentations of a word."""
+    marked = "▁" + word
+    ways = [0.0] + [-np.inf] * len(marked)
+    for end in range(1, len(marked) + 1):
+        for start in range(max(0, end - own.longest), end):
+            if marked[start:end] in own.automaton:
+                ways[end] = np.logaddexp(ways[end], ways[start] + np.log(share[own.automaton.get(marked[start:end])[0]]))
+        ways[end] = np.logaddexp(ways[end], ways[end - 1] + np.log(lang_id.UNKNOWN))
+    return ways[-1]
+
+
+def test_prediction_equals_brute_force(docs_of):
+    """Letter runs of any length are summed whole; repeated rows are scored alike."""
+    rows = [(100 + i, f"der die das und haus {i}", "de") for i in range(20)] + [(200 + i, f"the cat and house {i}", "en") for i in range(20)]
+    texts = ["das Haus, the cat 12", "derdiedasundhaus" * 20, "thecatandhouse" * 200, "Ünd x9y", "日本", "a.b", "42"]
+    languages, table = lang_id.train(docs_of(rows), PIECES)
+    own = lang_id.pieces(PIECES)
+    got = lang_id.predict(docs_of([*enumerate(texts), (0, texts[0])]), PIECES, languages, table).collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        words = re.findall(r"[^\W\d_]+", texts[r["doc_id"]].lower())
+        sums = np.array([sum(brute_word(own, w, table[:, i]) for w in words) for i in range(2)])
+        best = int(sums.argmax())
+        want = (languages[best], 1 / np.exp(sums - sums[best]).sum()) if words else ("und", 0.0)
+        assert (r["lang_pred"], r["score"]) == (want[0], pytest.approx(want[1]))
+
+
 def test_forward_sums_all_segmentations():
     own = lang_id.pieces(PIECES)
     rng = np.random.default_rng(1)
     table = rng.dirichlet(np.ones(own.size), 2).T
     table[-1] = lang_id.UNKNOWN
 
-    def brute(word, column):
-        marked = "▁" + word
-        ways = [1.0] + [0.0] * len(marked)
-        for end in range(1, len(marked) + 1):
-            for start in range(end):
-                if marked[start:end] in own.automaton:
-                    ways[end] += ways[start] * table[own.automaton.get(marked[start:end])[0], column]
-            ways[end] += ways[end - 1] * lang_id.UNKNOWN
-        return np.log(ways[-1])
-
-    words = ["the", "zählungen", "ciónente", "x", "日本", "a" * 40]
+    words = ["the", "zählungen", "ciónente", "x", "日本", "a" * 40, "zählungen" * 60, "e" * 2000]
     got = own.word_scores(words, table)
-    assert np.allclose(got, [[brute(w, 0), brute(w, 1)] for w in words])
+    assert np.allclose(got, [[brute_word(own, w, table[:, 0]), brute_word(own, w, table[:, 1])] for w in words])
 
 
 def test_expected_counts_spend_every_letter():
@@ -39,8 +59,8 @@ def test_expected_counts_spend_every_letter():
     for piece in own.automaton:
         number, size = own.automaton.get(piece)
         sizes[number] = size
-    counts = own.expected(["heating", "ab"], np.array([3.0, 2.0]), table)
-    assert counts @ sizes == pytest.approx(3 * 8 + 2 * 3)
+    counts = own.expected(["heating", "ab", "heatingab" * 50], np.array([3.0, 2.0, 4.0]), table)
+    assert counts @ sizes == pytest.approx(3 * 8 + 2 * 3 + 4 * 451)
 
 
 def test_language_accuracy(spark):
