@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms for personal data, as column expressions only.
 
-Card numbers are looked for first, in all runs of whole digit groups; other values are found by one pattern. All are validated (checksum of card numbers, calendar of dates, ranges of address octets) and permuted within
+Card numbers are looked for first, in all runs of whole digit groups; other values are found by one pattern. All are validated
+(check digits of cards and bank accounts, calendar of dates, ranges of address octets and social numbers) and permuted within
 their format by a keyed Feistel network: alternating halves are added a keyed hash of the other half, modulo the
 half's range. The permutation of a value depends on the key, its kind and its length alone, so equal values get equal
 pseudonyms in all documents, and different ones different pseudonyms. Separators, letter case and check digits stay valid.
@@ -18,23 +19,46 @@ PHONE_LENGTHS = (7, 15)
 YEARS = (1900, 200)
 
 # No pattern can start inside a run it might have matched, and runs are possessive: matching stays linear.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 SECRET = r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![A-Za-z0-9])"
-# A phone number ends on a group's border. Without '+' it needs parentheses, a leading 0, or groups of 3, 3 and 4 digits.
-PHONE = r"(?<![0-9A-Za-z+])\+[0-9](?:\)?[ .-]?\(?[0-9]){6,14}(?![0-9])"
-AREA = r"(?<![0-9A-Za-z])\([0-9]{2,5}\)(?:[ .-]?[0-9]){5,9}(?![0-9])"
+TOKEN = r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|[spr]k_(?:live|test)_[0-9A-Za-z]{10,200}+)"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# A phone number ends on the first group's border at which it may be whole, so that digits after it are none of its own: with the country
+# code 1 after ten more digits, with another after ten in all, and if there are no so many, on the last border after seven.
+PHONE = (r"(?<![0-9A-Za-z+])\+(?:1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+         r"|[0-9](?:\)?[ .-]?\(?[0-9]){9,14}?(?![0-9])|[0-9](?:\)?[ .-]?\(?[0-9]){6,8}(?![0-9]))")
+# Without '+' it needs parentheses, a leading 0, or groups of 3, 3 and 4 digits.
+AREA = r"(?<![0-9A-Za-z])(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\([0-9]{2,5}\)(?:[ .-]?[0-9]){5,9}?(?![0-9]))"
 GROUPS = (r"(?<![0-9A-Za-z.+-])(?:(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])"
-          r"|(?=0(?:[ .-]?[0-9]){8,14}(?![0-9]))0[0-9]{1,4}(?:[ .-][0-9]{2,9}){1,4}(?![0-9A-Za-z]|[.-][0-9]))")
+          r"|(?=0[0-9]{1,4}[ .-])(?:00(?:[ .-]?[0-9]){9,14}?|0(?:[ .-]?[0-9]){8,13}?)(?![0-9A-Za-z]|[.-][0-9]))")
 COUNTRY = r"^\+(?:[0-9]{1,3}(?![0-9])|1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: Digits with spaces and dashes that may hold a card number; a character class, so that any length is matched without recursion.
-RUN = r"(?<![0-9A-Za-z.-])(?=[0-9](?:[ -]?[0-9]){12})(?![A-Za-z0-9._%+-]*+@)[0-9 -]++"
-#: A card's pseudonym until the other kinds are replaced, between characters that no text uses.
-MARK = "\uFDD0"
+RUN = r"(?<![0-9A-Za-z.+-])(?=[0-9](?:[ -]?[0-9]){12})(?![A-Za-z0-9._%+-]*+@)[0-9 -]++"
+#: A card's pseudonym until the other kinds are replaced lies between marks. A mark of the text itself is escaped until the end.
+MARK, ESCAPE = "\uFDD0", "\uFDD1"
 DONE = f"{MARK}[0-9][0-9 -]+{MARK}"
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[/.-][0-9])"
-ANY = "|".join((DONE, EMAIL, PHONE, AREA, SECRET, ADDRESS, DATE, SOCIAL, GROUPS))
+MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December)"
+DATE = (r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
+        rf"(?![0-9]|[/.-][0-9])|\b{MONTH} [0-9]{{1,2}}, [0-9]{{4}}(?![0-9])|(?<![0-9])[0-9]{{1,2}} {MONTH} [0-9]{{4}}(?![0-9])")
+#: Forms of dates: pattern of the whole value and the format. Of a day and month that may be swapped, the first that is valid.
+FORMS = (
+    ("[0-9]{4}-[0-9]{2}-[0-9]{2}", "yyyy-MM-dd"), ("[0-9]{4}/[0-9]{2}/[0-9]{2}", "yyyy/MM/dd"),
+    ("[0-9]{2}/[0-9]{2}/[0-9]{4}", "MM/dd/yyyy"), ("[0-9]{2}/[0-9]{2}/[0-9]{4}", "dd/MM/yyyy"),
+    ("[0-9]{2}[.][0-9]{2}[.][0-9]{4}", "dd.MM.yyyy"), ("[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}", "d.M.yyyy"),
+    (f"{MONTH} [0-9]{{1,2}}, [0-9]{{4}}", "MMMM d, yyyy"), (f"[0-9]{{1,2}} {MONTH} [0-9]{{4}}", "d MMMM yyyy"),
+)
+#: Letters and digits of mail names and tokens are permuted in blocks of so many characters, so that long ones cost their length.
+BLOCK = 20
+#: Valid social numbers: areas without 000, 666 and 900 to 999; groups 01 to 99; serials 0001 to 9999.
+AREAS, NUMBERS = 898, 99 * 9999
+ANY = "|".join((DONE, EMAIL, TOKEN, IBAN, PHONE, AREA, SECRET, ADDRESS, DATE, SOCIAL, GROUPS))
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value evaluated once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _power(radix: int, exponent: Column) -> Column:
@@ -96,12 +120,12 @@ def permuted(run: Column, radix: int, kind: str, key: str) -> Column:
 
 def _into(template: Column, kept: str, fill: Column) -> Column:
     """The template with the characters of class kept replaced, in order, by those of fill."""
-    return F.aggregate(
-        F.split(template, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
+    return _bound(F.struct(template.alias("template"), fill.alias("fill")), lambda x: F.aggregate(
+        F.split(x["template"], ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda s, c: F.when(c.rlike(f"^{kept}$"), F.struct(
-            F.concat(s["out"], F.substr(fill, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))).otherwise(
+            F.concat(s["out"], F.substr(x["fill"], s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))).otherwise(
                 F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))),
-        lambda s: s["out"])
+        lambda s: s["out"]))
 
 
 def _digits(value: Column) -> Column:
@@ -120,8 +144,9 @@ def luhn_sum(digits: Column, doubled_from_right: int) -> Column:
 
 
 def is_card(value: Column) -> Column:
+    """No issuer's numbers begin with 0; international phone numbers do."""
     digits = _digits(value)
-    return F.length(digits).between(*CARD_LENGTHS) & (luhn_sum(digits, 0) % 10 == 0)
+    return F.length(digits).between(*CARD_LENGTHS) & ~digits.startswith("0") & (luhn_sum(digits, 0) % 10 == 0)
 
 
 def card(value: Column, key: str) -> Column:
@@ -202,15 +227,65 @@ def is_address(value: Column) -> Column:
     return F.forall(F.split(value, r"\."), lambda x: x.cast("int") <= 255)
 
 
+def scrambled(text: Column, kind: str, key: str) -> Column:
+    """ASCII letters and digits permuted in blocks of fixed length; case, marks and other letters stay."""
+    def block(part: Column) -> Column:
+        lower = F.lower(part)
+        letters = permuted(F.regexp_replace(lower, "[^a-z]", ""), 26, kind, key)
+        made = _into(_into(lower, "[a-z]", letters), "[0-9]", permuted(_digits(part), 10, kind, key))
+        cased = F.zip_with(F.split(part, ""), F.split(made, ""), lambda old, new: F.when(
+            old.rlike("^[A-Z]$"), F.upper(new)).when(old.rlike("^[a-z0-9]$"), new).otherwise(old))
+        return F.array_join(cased, "")
+
+    return _bound(text, lambda t: F.array_join(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)), F.lit(BLOCK)),
+        lambda at: _bound(F.substr(t, at, F.lit(BLOCK)), block)), ""))
+
+
 def email(value: Column, key: str) -> Column:
-    """Letters and digits of the local part are permuted; case and marks stay, and so does the domain."""
-    local = F.substring_index(value, "@", 1)
-    lower = F.lower(local)
-    letters = permuted(F.regexp_replace(lower, "[^a-z]", ""), 26, "email", key)
-    digits = permuted(_digits(local), 10, "email", key)
-    made = _into(_into(lower, "[a-z]", letters), "[0-9]", digits)
-    cased = F.zip_with(F.split(local, ""), F.split(made, ""), lambda old, new: F.when(old.rlike("^[A-Z]$"), F.upper(new)).otherwise(new))
-    return F.concat(F.array_join(cased, ""), F.substr(value, F.length(local) + 1, F.length(value)))
+    """The name is scrambled; the domain stays."""
+    return _bound(F.substring_index(value, "@", 1), lambda local: F.concat(
+        scrambled(local, "email", key), F.substr(value, F.length(local) + 1, F.length(value))))
+
+
+def token(value: Column, key: str) -> Column:
+    """A key of a service: what follows the prefix is scrambled."""
+    return _bound(F.regexp_extract(value, "^(?:AKIA|ASIA|.k_(?:live|test)_)", 0), lambda prefix: F.concat(
+        prefix, scrambled(F.substr(value, F.length(prefix) + 1, F.length(value)), "token", key)))
+
+
+def social(value: Column, key: str) -> Column:
+    """A valid social number becomes another valid one."""
+    area = F.substr(value, F.lit(1), F.lit(3)).cast("int")
+    place = area - F.when(area > 666, 2).otherwise(1)
+    rest = (F.substr(value, F.lit(5), F.lit(2)).cast("int") - 1) * 9999 + F.substr(value, F.lit(8), F.lit(4)).cast("int") - 1
+    pair = _feistel(place, rest, F.lit(AREAS), F.lit(NUMBERS), F.lit(key), F.lit("social"))
+    return _bound(pair, lambda s: F.concat_ws(
+        "-", F.lpad((s["a"] + F.when(s["a"] >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
+        F.lpad((_quotient(s["b"], F.lit(9999)) + 1).cast("string"), 2, "0"),
+        F.lpad((F.pmod(s["b"], F.lit(9999)) + 1).cast("string"), 4, "0")))
+
+
+def _mod_97(text: Column) -> Column:
+    """Remainder of a numeral whose letters count as two digits, 10 to 35."""
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), lambda n, c: F.when(
+        c.rlike("[0-9]"), (n * 10 + c.try_cast("int")) % 97).otherwise((n * 100 + F.ascii(c) - 55) % 97))
+
+
+def is_iban(value: Column) -> Column:
+    bare = F.replace(value, F.lit(" "), F.lit(""))
+    return F.length(bare).between(15, 34) & (_mod_97(F.concat(F.substr(bare, F.lit(5), F.length(bare)), F.substr(bare, F.lit(1), F.lit(4)))) == 1)
+
+
+def iban(value: Column, key: str) -> Column:
+    """Country, bank letters and spaces stay; the account's digits are permuted and the check digits set anew."""
+    def made(x: Column) -> Column:
+        country = F.substr(x, F.lit(1), F.lit(2))
+        body = _into(F.substr(x, F.lit(5), F.length(x)), "[0-9]", permuted(_digits(F.substr(x, F.lit(5), F.length(x))), 10, "iban", key))
+        return _bound(body, lambda own: F.concat(
+            country, F.lpad((98 - _mod_97(F.concat(F.replace(own, F.lit(" "), F.lit("")), country, F.lit("00")))).cast("string"), 2, "0"), own))
+
+    return _bound(value, made)
 
 
 def secret(value: Column, key: str) -> Column:
@@ -243,14 +318,15 @@ def is_date(value: Column, form: str) -> Column:
 
 
 def kind(value: Column) -> Column:
-    """What a matched value is; null if it does not validate."""
+    """What a matched value is; of a date its format. Null if it does not validate."""
     whole = lambda pattern: value.rlike(f"^(?:{pattern})$")
+    found = F.when(value.startswith(MARK), "done").when(value.contains("@"), "email").when(whole(TOKEN), "token").when(
+        whole(IBAN), F.when(is_iban(value), "iban")).when(value.rlike("^[+(]"), "phone").when(
+        whole("[0-9]{1,3}(?:[.][0-9]{1,3}){3}"), F.when(is_address(value), "address"))
+    for pattern, form in FORMS:
+        found = found.when(whole(pattern) & is_date(value, form), form)
     return (
-        F.when(value.startswith(MARK), "done").when(value.contains("@"), "email").when(value.rlike("^[+(]"), "phone")
-        .when(whole("[0-9]{1,3}(?:[.][0-9]{1,3}){3}"), F.when(is_address(value), "address"))
-        .when(whole("[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.when(is_date(value, "yyyy-MM-dd"), "iso date"))
-        .when(whole("[0-9]{2}/[0-9]{2}/[0-9]{4}"), F.when(is_date(value, "MM/dd/yyyy"), "slash date").when(is_date(value, "dd/MM/yyyy"), "day date"))
-        .when(whole("[0-9]{2}[.][0-9]{2}[.][0-9]{4}"), F.when(is_date(value, "dd.MM.yyyy"), "dot date"))
+        found.when(whole("|".join(pattern for pattern, _ in FORMS)), None)
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(~value.rlike("^(?:000|666|9)|-00-|-0000$"), "social"))
         .when(F.length(value) >= 32, F.when(value.rlike("[0-9]") & value.rlike("[A-Fa-f]"), "secret"))
         .when(F.length(_digits(value)).between(*PHONE_LENGTHS), "phone")
@@ -259,13 +335,16 @@ def kind(value: Column) -> Column:
 
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a matched value, or the value itself if it does not validate."""
-    made = F.transform(F.array(kind(value)), lambda k: (
-        F.when(k == "email", email(value, key)).when(k == "phone", phone(value, key)).when(k == "address", address(value, key))
-        .when(k == "iso date", date(value, "yyyy-MM-dd", key)).when(k == "slash date", date(value, "MM/dd/yyyy", key))
-        .when(k == "day date", date(value, "dd/MM/yyyy", key)).when(k == "dot date", date(value, "dd.MM.yyyy", key))
-        .when(k == "social", number(value, "social", key)).when(k == "secret", secret(value, key)).when(k == "done", F.regexp_replace(value, MARK, ""))
-        .otherwise(value)))
-    return F.element_at(made, 1)
+    def made(k: Column) -> Column:
+        out = (
+            F.when(k == "email", email(value, key)).when(k == "token", token(value, key)).when(k == "iban", iban(value, key))
+            .when(k == "phone", phone(value, key)).when(k == "address", address(value, key)).when(k == "social", social(value, key))
+            .when(k == "secret", secret(value, key)).when(k == "done", F.regexp_replace(value, MARK, "")))
+        for _, form in FORMS:
+            out = out.when(k == form, date(value, form, key))
+        return out.otherwise(value)
+
+    return _bound(kind(value), made)
 
 
 def _replaced(text: Column, pattern: str, by) -> Column:
@@ -277,11 +356,16 @@ def _replaced(text: Column, pattern: str, by) -> Column:
 
 def pseudonymised(text: Column, key: str) -> Column:
     """The text with every validated value replaced. Null stays null."""
-    joined = _replaced(_replaced(text, RUN, lambda run: cards(run, key)), ANY, lambda value: pseudonym(value, key))
-    return F.when(text.rlike("[0-9@]"), joined).otherwise(text)
+    escaped = F.replace(text, F.lit(MARK), F.lit(MARK + ESCAPE))
+    joined = _replaced(_replaced(escaped, RUN, lambda run: cards(run, key)), ANY, lambda value: pseudonym(value, key))
+    return F.when(text.rlike("[0-9@]"), F.replace(joined, F.lit(MARK + ESCAPE), F.lit(MARK))).otherwise(text)
 
 
 def protect(docs: DataFrame, key: str) -> DataFrame:
-    """docs with text pseudonymised, and n_chars, if there, set to its length. All rows and other columns stay."""
+    """docs with text pseudonymised, and n_chars, if there, set to its length. All rows and other columns stay.
+
+    A null text stays null; repeated rows get equal texts. A value of any length is replaced whole, in blocks, in time that grows
+    with its length.
+    """
     made = docs.withColumn("text", pseudonymised(F.col("text").cast("string"), key))
     return made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else made
