@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadgauge.functions import columns as C, geo
+from roadgauge.operators import timeline
 
 
 def dim_date(spark: SparkSession, first: str, last: str, holidays: DataFrame | None = None) -> DataFrame:
@@ -78,13 +79,13 @@ def dim_location(gps: DataFrame, precision: int = 5) -> DataFrame:
 def lookup_key(facts: DataFrame, dim: DataFrame, key: str, name: str, ts: str = "event_timestamp") -> DataFrame:
     """Add the key of the dimension version valid at the fact's time; null if there is none.
 
-    An equi-join with a time condition. Spark broadcasts the dimension only if its measured
-    size is below the session's limit, and splits skewed partitions otherwise.
+    Versions and facts are stacked per key and the last version is carried forward, slice by slice of time. So a fact meets one
+    version however many its key has, and a key with very many facts is spread over tasks.
     """
-    versions = dim.select(F.col(key).alias("_k"), F.col(name), "effective_start", "effective_end")
-    valid = (
-        (F.col(key) == F.col("_k"))
-        & (F.col(ts) >= F.col("effective_start"))
-        & (F.col("effective_end").isNull() | (F.col(ts) < F.col("effective_end")))
-    )
-    return facts.join(versions, valid, "left").drop("_k", "effective_start", "effective_end")
+    columns = facts.columns
+    versions = dim.select(
+        key, F.col("effective_start").alias(ts), F.struct(F.col(name).alias("key"), "effective_end").alias("_version"), F.lit(0).alias("_feed"))
+    stacked = versions.unionByName(facts.withColumn("_feed", F.lit(1)), allowMissingColumns=True)
+    filled = timeline.with_last_known(stacked, key, [ts, "_feed"], "_version", "_valid", unit="day")
+    valid = F.col("_valid.effective_end").isNull() | (F.col(ts) < F.col("_valid.effective_end"))
+    return filled.where("_feed = 1").select(*columns, F.when(valid, F.col("_valid.key")).alias(name))

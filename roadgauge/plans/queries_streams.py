@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgauge.functions import columns as C
+from roadgauge.operators import quality
 from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.session import scratch_dir, stage
 from roadgauge.sources import sample
-from roadgauge.streaming import compaction, counters, job, panes, sinks, windows
+from roadgauge.streaming import compaction, corrected, counters, job, joins, panes, sinks, windows
 
 
 def gps_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -300,3 +301,55 @@ def x7(spark, folder):
         for name, layer in outputs.items()
     ]
     return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+
+
+@query("x9_stream_latest_copies", check(
+    f"""select event_id, vehicle_id, {at('event_timestamp')}, {at('processed_at')}, {rd('speed_mph')} from gps_latest
+        where event_timestamp <= (select max(event_timestamp) from gps) - interval 10 minute""", "gps_latest"))
+def x9_latest(spark, folder):
+    """The stream twin of w1 for closed time: the copy processed last."""
+    kept = windows.latest_copies(gps_slices(spark, folder, "x9-in")).withColumn("event_date", C.event_date("event_timestamp"))
+    return finished(spark, kept, "x9-latest").select("event_id", "vehicle_id", "event_timestamp", "processed_at", "speed_mph")
+
+
+@query("x6_late_rows_corrected", check(
+    f"""select {FLEET}, active_vehicles, {rd('median_speed')}, moving_vehicles, idle_vehicles from fleet_windows""", "fleet_windows"))
+def x6(spark, folder):
+    """Pings of all days arrive in three batches, most of them late: the windows end as those of the batch form, all of them."""
+    rows, path = stage(sample.gps(spark, folder), "x6-rows"), scratch_dir(spark, "x6-in")
+    for i in range(3):
+        rows.where(F.pmod(F.xxhash64("event_id", "processed_at"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    root = scratch_dir(spark, "x6")
+    corrected.keep_fleet_windows(stream, f"{root}/out", f"{root}/checkpoint", tidy=2).awaitTermination()
+    return corrected.read_fleet_windows(spark, f"{root}/out").select(
+        *FLEET_COLUMNS, "active_vehicles", "median_speed", "moving_vehicles", "idle_vehicles")
+
+
+define("nearest_pings", """
+    select d.delivery_id, d.event_type, d.vehicle_id, d.event_timestamp, arg_min(p.event_id, (abs(epoch_us(p.event_timestamp)
+            - epoch_us(d.event_timestamp)), p.event_timestamp, p.event_id)) as event_id,
+        min(abs(epoch_us(p.event_timestamp) - epoch_us(d.event_timestamp))) / 1e6 as gap_seconds
+    from deliveries d left join gps_latest p on p.vehicle_id = d.vehicle_id
+        and p.event_timestamp between d.event_timestamp - interval 5 minute and d.event_timestamp + interval 5 minute
+    group by 1, 2, 3, 4""", "deliveries", "gps_latest")
+NEAREST = f"delivery_id, event_type, vehicle_id, {at('event_timestamp')}, event_id, {rd('gap_seconds')}"
+NEAREST_COLUMNS = ["delivery_id", "event_type", "vehicle_id", "event_timestamp", "event_id", "gap_seconds"]
+
+
+@query("j9_nearest_ping", check(f"select {NEAREST} from nearest_pings", "nearest_pings"))
+def j9_nearest(spark, folder):
+    pings = quality.latest_gps(sample.gps(spark, folder))
+    return joins.nearest_pings(sample.deliveries(spark, folder), pings).select(*NEAREST_COLUMNS)
+
+
+@query("j9_nearest_ping_stream", check(
+    f"""select {NEAREST} from nearest_pings where event_timestamp <= least((select max(event_timestamp) from deliveries),
+        (select max(event_timestamp) from gps)) - interval 1 hour""", "nearest_pings"))
+def j9_stream(spark, folder):
+    """Two streams of several batches, up to an hour before the end, when all is closed. Repeated pings change nothing: ids are compared."""
+    pings = quality.latest_gps(sample.gps(spark, folder))
+    made = joins.nearest_pings(delivery_slices(spark, folder, "j9-deliveries"), in_slices(spark, pings, "j9-gps"))
+    rows = finished(spark, made.withColumn("event_date", C.event_date("event_timestamp")), "j9")
+    ends = [F.lit(df.agg(F.max("event_timestamp")).first()[0]) for df in (sample.deliveries(spark, folder), pings)]
+    return rows.where(F.col("event_timestamp") <= F.least(*ends) - F.expr("interval 1 hour")).select(*NEAREST_COLUMNS)

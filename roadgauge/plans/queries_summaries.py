@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from roadgauge.functions import columns as C
-from roadgauge.operators import dims, quality, reports, rollups, timeline, trips, vehicle_sets
+from roadgauge.operators import dims, places, quality, reports, rollups, timeline, trips, vehicle_sets
 from roadgauge.plans.queries_records import landed_rollup_gps
 from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.schemas import RATES
@@ -720,3 +720,43 @@ def c10(spark, folder):
 def c11(spark, folder):
     raw = sample.event_day(sample.deliveries(spark, folder))
     return quality.completeness(raw, sample.event_day(del_clean(spark, folder)), ["delay_minutes", "driver_id"])
+
+
+# --- places ------------------------------------------------------------------------------
+
+define("customer_places", """
+    select c_custkey as place_id, 25.0e0 + (c_custkey * 7919 % 23000) / 1000.0e0 as latitude,
+        -125.0e0 + (c_custkey * 104729 % 55000) / 1000.0e0 as longitude from customer""")
+
+
+def customer_places(spark, folder):
+    key = F.col("c_custkey")
+    return sample.table(spark, folder, "customer").select(
+        key.alias("place_id"), (25 + key * 7919 % 23000 / 1000).alias("latitude"), (-125 + key * 104729 % 55000 / 1000).alias("longitude"))
+
+
+@query("w7_pings_near_places", check(
+    f"""select event_id, p.place_id, {rd('p.miles', 'place_miles')} from gps_clean g left join (
+            select event_id, arg_min(place_id, (miles, place_id)) as place_id, min(miles) as miles from (
+                select event_id, place_id, sqrt(pow((p.latitude - g.latitude) * 69.0e0, 2)
+                    + pow((p.longitude - g.longitude) * 69.0e0 * cos(radians(p.latitude)), 2)) as miles
+                from gps_clean g, customer_places p where abs(p.latitude - g.latitude) < 0.2) where miles <= 5 group by event_id) p
+        using (event_id)""", "gps_clean", "customer_places"))
+def w7_places(spark, folder):
+    """Every ping with the nearest customer within five miles."""
+    pings = gps_clean(spark, folder).select("event_id", "latitude", "longitude")
+    return places.near_places(pings, customer_places(spark, folder), ["event_id"], 5.0).select("event_id", "place_id", "place_miles")
+
+
+@query("w7_stays", check(
+    f"""select vehicle_id, {at('min(event_timestamp)', 'start_time')}, {at('max(event_timestamp)', 'end_time')}, count(*) as pings,
+        {rd('avg(latitude)', 'latitude')}, {rd('avg(longitude)', 'longitude')}
+        from (select *, sum(leaves) over (partition by vehicle_id order by event_timestamp, event_id) as stay from (
+            select *, case when sqrt(pow((latitude - lag(latitude) over v) * 69.0e0, 2)
+                + pow((longitude - lag(longitude) over v) * 69.0e0 * cos(radians(latitude)), 2)) <= 600 then 0 else 1 end as leaves
+            from gps_clean window v as (partition by vehicle_id order by event_timestamp, event_id)))
+        group by vehicle_id, stay having max(event_timestamp) - min(event_timestamp) >= interval 30 minute""", "gps_clean"))
+def w7_stays(spark, folder):
+    """The sample's pings lie far apart, so a stay is taken to be within 600 miles and 30 minutes here."""
+    return places.stays(gps_clean(spark, folder), 600.0, 30.0).select(
+        "vehicle_id", "start_time", "end_time", "pings", "latitude", "longitude")

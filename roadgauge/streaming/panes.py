@@ -52,19 +52,23 @@ def fleet_panes(gps: DataFrame, slide: Slide = FLEET) -> DataFrame:
     )
 
 
-def fleet_windows(panes: DataFrame, slide: Slide = FLEET) -> DataFrame:
-    """The measures of ``windows.fleet_metrics`` from panes."""
-    merged = panes.groupBy(_covering(slide)).agg(
+def merged_fleet(grouped) -> DataFrame:
+    """The measures of windows from grouped panes."""
+    merged = grouped.agg(
         F.sum("events").alias("total_events"),
         F.try_divide(F.sum("speed"), F.sum("speeds")).alias("avg_speed"),
         F.try_divide(F.sum("fuel"), F.sum("fuels")).alias("avg_fuel_level"),
         F.sum("critical").alias("critical_fuel_count"),
         F.sum("moving").alias("moving_events"), F.sum("idle").alias("idle_events"),
         _size("vehicles").alias("active_vehicles"), _size("movers").alias("moving_vehicles"), _size("idlers").alias("idle_vehicles"),
-        F.kll_merge_agg_double("speed_sketch").alias("speeds"),
+        F.kll_merge_agg_double("speed_sketch").alias("speed_ranks"),
     )
-    ranked = windows.flat(merged).withColumn("median_speed", _rank(F.col("speeds"), 0.5, "double")).drop("speeds")
-    return windows.fleet_ratios(ranked)
+    return windows.fleet_ratios(merged.withColumn("median_speed", _rank(F.col("speed_ranks"), 0.5, "double")).drop("speed_ranks"))
+
+
+def fleet_windows(panes: DataFrame, slide: Slide = FLEET) -> DataFrame:
+    """The measures of ``windows.fleet_metrics`` from panes."""
+    return windows.flat(merged_fleet(panes.groupBy(_covering(slide))))
 
 
 def delivery_panes(deliveries: DataFrame, slide: Slide = DELIVERY) -> DataFrame:

@@ -215,6 +215,17 @@ def first_copies(gps: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return gps.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
+def latest_copies(gps: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Of the copies of a ping the one processed last, once the watermark has passed the ping's time; then its state goes.
+
+    Copies share id and event time. The state is one row per ping, as the maximum is kept and not the copies.
+    """
+    rest = [c for c in gps.columns if c not in ("event_id", "event_timestamp", "processed_at")]
+    best = gps.withWatermark("event_timestamp", delay).groupBy("event_id", "event_timestamp").agg(
+        F.max(F.struct("processed_at", *rest)).alias("_best"))
+    return best.select("event_id", "event_timestamp", *[F.col(f"_best.{c}").alias(c) for c in ("processed_at", *rest)])
+
+
 def session_trips(gps: DataFrame, gap_minutes: int = S.RATES.trip_gap_minutes, delay: str = "10 minutes") -> DataFrame:
     """Trips split by a pause of ``gap_minutes``."""
     sessions = gps.withWatermark("event_timestamp", delay).groupBy(
