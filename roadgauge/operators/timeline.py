@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from roadgauge.session import stage
+
 SLICE = "hour"
 _SLICE = "_slice"
 _KEY = "_key"
@@ -115,7 +117,8 @@ def with_driver_as_of(pings: DataFrame, deliveries: DataFrame) -> DataFrame:
         .select("vehicle_id", "event_timestamp", "driver_id", F.lit(0).alias("_feed"))
         .unionByName(pings.withColumn("_feed", F.lit(1)), allowMissingColumns=True)
     )
+    # read twice below
     filled = with_last_known(
-        stacked, "vehicle_id", ["event_timestamp", "_feed", "driver_id"], "driver_id", "driver_as_of",
+        stage(stacked, "stacked-feeds"), "vehicle_id", ["event_timestamp", "_feed", "driver_id"], "driver_id", "driver_as_of",
     )
     return filled.where("_feed = 1").select(*columns, F.col("driver_as_of").alias("driver_id"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from roadgauge import schemas as S
 from roadgauge.functions import columns as C
+from roadgauge.operators import quality
 from roadgauge.plans import incremental
 from roadgauge.plans.queries_records import landed_gps, wrapped_gps
 from roadgauge.plans.registry import at, check, query, rd
@@ -131,6 +133,47 @@ def c8(spark, folder):
         F.lit(metrics["gps_events_committed"]).cast("timestamp").alias("committed"))
 
 
+def topic_of(spark, folder, label: str):
+    """Pings as a topic's records in files, and a function that reads them as a broker would, up to a bound on the offsets."""
+    pings = quality.latest_gps(sample.gps(spark, folder))
+    part = F.pmod(F.xxhash64("vehicle_id"), F.lit(3)).cast("int")
+    body = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("event_id"), "vehicle_id",
+        F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"), "latitude", "longitude", "speed_mph",
+        "heading", "fuel_level", "engine_status", "odometer_miles"))
+    value = F.when(F.col("event_id") % 101 == 0, F.lit("{broken")).otherwise(body)
+    placed = pings.select(F.lit("gps").alias("topic"), part.alias("partition"), value.alias("value"), "event_id")
+    number = F.row_number().over(Window.partitionBy("partition").orderBy("event_id")) - 1
+    path = scratch_dir(spark, label)
+    placed.withColumn("offset", number.cast("long")).drop("event_id").write.parquet(path)
+
+    def load_below(bound: int | None):
+        def load(options):
+            starts = json.loads(options["startingOffsets"])["gps"] if options["startingOffsets"] != "earliest" else {}
+            first = F.coalesce(F.try_element_at(F.create_map(
+                *[F.lit(x) for part, start in starts.items() for x in (int(part), start)]), "partition"), F.lit(0)) if starts else F.lit(0)
+            rows = spark.read.parquet(path).where(F.col("offset") >= first)
+            return rows if bound is None else rows.where(F.col("offset") < bound)
+
+        return load
+
+    return load_below
+
+
+@query("c6_offset_job", check(
+    f"""select cast(event_id as varchar) as event_id, vehicle_id, {at('event_timestamp')}, {rd('speed_mph')},
+        (select count(*) from gps_latest) as read_in_all
+        from gps_latest where event_id % 101 <> 0""", "gps_latest"))
+def c6(spark, folder):
+    """Three runs: part of the topic, the rest of it, and nothing new. The offsets that the last one stored tell how much was read."""
+    load_below, target = topic_of(spark, folder, "c6-topic"), scratch_dir(spark, "c6-out")
+    for bound, now in ((1000, datetime(2024, 2, 1)), (None, datetime(2024, 2, 2)), (None, datetime(2024, 2, 3))):
+        done = incremental.run_offsets(spark, incremental.GPS, "", "gps", target, now, S.GPS_EVENT, load_below(bound))
+    read = sum(done["gps_events_offsets"]["gps"].values())
+    return versioned.read(spark, target).select(
+        "event_id", "vehicle_id", "event_timestamp", "speed_mph", F.lit(read).cast("long").alias("read_in_all"))
+
+
 @query("c9_partition_registration", check(
     """select cast(strftime(event_timestamp, '%Y-%m-%d') as varchar) as event_date, count(*) as events,
             'string' as id_type from gps group by 1""", "gps"))

@@ -9,7 +9,8 @@ from roadgauge.operators import quality
 from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.session import scratch_dir, stage
 from roadgauge.sources import sample
-from roadgauge.streaming import compaction, corrected, counters, job, joins, panes, sinks, windows
+from roadgauge.streaming import compaction, corrected, counters, job, joins, panes, sinks, trips, windows
+from roadgauge.streaming.attempts import STORE
 
 
 def gps_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -353,3 +354,30 @@ def j9_stream(spark, folder):
     rows = finished(spark, made.withColumn("event_date", C.event_date("event_timestamp")), "j9")
     ends = [F.lit(df.agg(F.max("event_timestamp")).first()[0]) for df in (sample.deliveries(spark, folder), pings)]
     return rows.where(F.col("event_timestamp") <= F.least(*ends) - F.expr("interval 1 hour")).select(*NEAREST_COLUMNS)
+
+
+define("engine_trips", """
+    select vehicle_id, min(event_timestamp) as start_time, max(event_timestamp) as end_time, count(*) as gps_events
+    from (select *, sum(starts) over (partition by vehicle_id order by event_timestamp, event_id) as trip from (
+        select *, case when lag(event_id) over v is null or event_timestamp - lag(event_timestamp) over v > interval 30 minute
+            or lag(engine_status) over v = 'OFF' then 1 else 0 end as starts
+        from gps_latest window v as (partition by vehicle_id order by event_timestamp, event_id)))
+    group by vehicle_id, trip""", "gps_latest")
+
+
+@query("x10_engine_trips_stream", check(
+    f"""select vehicle_id, {at('start_time')}, {at('end_time')}, gps_events from engine_trips
+        where end_time <= (select max(event_timestamp) from gps) - interval 1 hour""", "engine_trips"))
+def x10_engine(spark, folder):
+    """The stream twin of w6 for closed trips, up to an hour before the end."""
+    pings = quality.latest_gps(sample.gps(spark, folder))
+    made = trips.engine_trips(in_slices(spark, pings, "x10-in"))
+    # state with timers needs this store; the other streams keep the session's
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    try:
+        rows = finished(spark, made.withColumn("event_date", C.event_date("start_time")), "x10-engine").drop("event_date")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    end = pings.agg(F.max("event_timestamp")).first()[0]
+    return rows.where(F.col("end_time") <= F.lit(end) - F.expr("interval 1 hour"))

@@ -15,7 +15,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Feeds that have been landed, by folder of the sample tables: where to read them instead of deriving them anew.
+LANDED: dict[str, str] = {}
+LANDED_FILES = 16
+
+
+def land(spark: SparkSession, folder: str, path: str) -> None:
+    """Write both feeds once, as a landing zone holds them: several files in order of time. Queries of this process read these."""
+    for name, rows in (("gps", gps(spark, folder)), ("deliveries", deliveries(spark, folder))):
+        rows.repartitionByRange(LANDED_FILES, "event_timestamp").write.parquet(f"{path}/{name}")
+    LANDED[folder] = path
+
+
 def gps(spark: SparkSession, folder: str) -> DataFrame:
+    if folder in LANDED:
+        return spark.read.parquet(f"{LANDED[folder]}/gps")
     return gps_from(table(spark, folder, "events"))
 
 
@@ -45,6 +59,8 @@ def gps_from(events: DataFrame) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    if folder in LANDED:
+        return spark.read.parquet(f"{LANDED[folder]}/deliveries")
     return deliveries_from(table(spark, folder, "lineitem"), table(spark, folder, "orders"))
 
 

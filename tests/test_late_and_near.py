@@ -1,5 +1,6 @@
 """Corrected windows, interval joins, latest copies in streams, places and key lookup over many versions."""
 
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -7,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadgauge.functions import columns as C
-from roadgauge.operators import dims, places
-from roadgauge.streaming import corrected, joins, sinks, windows
+from roadgauge.operators import dims, places, trips
+from roadgauge.streaming import attempts, corrected, joins, sinks, trips as live_trips, windows
 from tests.conftest import plan
 
 T0 = datetime(2024, 1, 1, 12)
@@ -81,7 +82,6 @@ def test_near_places_equals_all_pairs(spark):
     points = [(i, min(max(lat + rng.uniform(-0.3, 0.3), -90.0), 90.0), lon + rng.uniform(-0.5, 0.5)) for i, lat, lon in spots] + [(999, None, None)]
     given = spark.createDataFrame(points, "id int, latitude double, longitude double")
     known = spark.createDataFrame(spots, "place_id int, latitude double, longitude double")
-    import math
 
     def brute(p):
         if p[1] is None:
@@ -115,3 +115,34 @@ def test_key_with_thousands_of_versions_meets_each_fact_once(spark):
     assert made == want
     # the joins are those that carry a value over a slice's border, on key and slice
     assert "effective_start" not in plan(dims.lookup_key(facts, dim, "k", "number")).split("Join")[1].split("\n")[0]
+
+
+def test_trips_split_by_engine_and_pause_equal_the_batch_form(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, f"V{rng.randint(1, 3)}", at(i * 1.5 + rng.random()), at(0), 40.0, -75.0, 1.0, 0.5, rng.choice(["ON", "ON", "ON", "IDLE", "OFF"]))
+            for i in range(60)] + [(100 + i, "V1", at(150 + 20 * i), at(0), 40.0, -75.0, 1.0, 0.5, "ON") for i in range(4)]
+    rows += [(200, "V2", at(600), at(0), 40.0, -75.0, 1.0, 0.5, "ON")]
+    late_in_batch = rows[:20] + rows[21:30], [rows[20], *rows[30:]][:30], [rows[20], *rows[30:]][30:]
+    made = live_trips.engine_trips(stream(spark, tmp_path / "in", PING, *late_in_batch), delay="20 minutes")
+    out = str(tmp_path / "out")
+    query = sinks.to_parquet(made.withColumn("event_date", C.event_date("start_time")), out, str(tmp_path / "cp"))
+    query.awaitTermination()
+    odometer = spark.createDataFrame(rows, PING).withColumn("odometer_miles", F.lit(1.0))
+    batch = trips.trips(odometer).select("vehicle_id", "start_time", "end_time", "gps_events")
+    closed = sorted(tuple(r) for r in batch.collect() if r.end_time < at(500))
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*batch.columns).collect())
+    assert got == closed and len(closed) > 10
+
+
+def test_attempt_counters_end_in_event_time(spark, tmp_path):
+    event = "delivery_id string, event_type string, event_timestamp timestamp"
+    day = lambda n: T0 + timedelta(days=n)
+    batches = [[("a", "FAILED_ATTEMPT", day(0)), ("b", "FAILED_ATTEMPT", day(1))], [("a", "FAILED_ATTEMPT", day(2)), ("b", "DELIVERED", day(9))],
+               [("z", "DELIVERED", day(20))], [("a", "DELIVERED", day(20)), ("z", "RETURNED", day(40))]]
+    numbered = attempts.attempt_numbers(stream(spark, tmp_path / "in", event, *batches), close_after_days=7)
+    out = str(tmp_path / "out")
+    query = sinks.to_parquet(numbered.withColumn("event_date", C.event_date("event_timestamp")), out, str(tmp_path / "cp"))
+    query.awaitTermination()
+    got = sorted((r.delivery_id, r.event_timestamp, r.attempt_number) for r in spark.read.parquet(out).collect())
+    # the counter of a has ended before day 20; b's has not on day 9, and z's not when day 40 comes, as the watermark is at day 20
+    assert got == [("a", day(0), 1), ("a", day(2), 2), ("a", day(20), 1), ("b", day(1), 1), ("b", day(9), 2), ("z", day(20), 1), ("z", day(40), 2)]
