@@ -280,6 +280,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
         own = state.setdefault("own", StemIndex(model.stems))
         words = [words_of(text or "") for text in batch.column("text").to_pylist()]
         found = model.score(np.array([own.counts(x) for x in words], float).reshape(len(words), own.none), np.array([len(x) for x in words]))
-        return batch.filter(pa.array(found < 0.5))
+        empty = batch.column("text").is_null().to_numpy(zero_copy_only=False)
+        return batch.filter(pa.array((found < 0.5) | empty))
 
     return docs.mapInArrow(lambda batches: (run(batch) for batch in batches if batch.num_rows), docs.schema)

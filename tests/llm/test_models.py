@@ -155,3 +155,12 @@ def test_near_links(spark):
     rows = [(1, text), (2, text[:700] + "X" + text[701:]), (3, text[::-1])]
     prints = spark.createDataFrame([(d, fingerprints.fingerprint(t)) for d, t in rows], "doc_id long, fingerprint string")
     assert [tuple(r) for r in fingerprints.near_links(prints).collect()] == [(2, 1)]
+
+
+def test_rows_without_text_stay_whatever_the_model(docs_of):
+    """Even if every document that was learnt from is toxic."""
+    rows = [(i, f"foul awful words {i}") for i in range(20)]
+    labels = docs_of([]).sparkSession.createDataFrame([(i, 1, 1) for i in range(20)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs_of(rows), labels)
+    kept = toxicity.keep_clean(docs_of([(50, None), (51, None)]), model)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [50, 51]
