@@ -80,16 +80,22 @@ def s10(spark, folder):
     return files.scan(spark, path, schema).select("event_id", "vehicle_id", "event_timestamp", "not_there")
 
 
-@query("s12_first_run_probe", check("select 'before' as probe, false as there union all select 'after', true"
-                                    " where (select count(*) from gps) > 0", "gps"))
+@query("s12_first_run_probe", check(
+    """select event_date, 'full' as first_run, 'incremental' as second_run, count(*) as records
+        from (select strftime(event_timestamp, '%Y-%m-%d') as event_date from gps) group by 1""", "gps"))
 def s12(spark, folder):
-    root = scratch_dir(spark, "s12")
-    before = files.exists(spark, root)
-    tables.write_event_dates(sample.event_day(sample.gps(spark, folder)), root)
-    rows = sample.gps(spark, folder).limit(1).select(F.explode(F.array(
-        F.struct(F.lit("before").alias("probe"), F.lit(before).alias("there")),
-        F.struct(F.lit("after").alias("probe"), F.lit(files.exists(spark, root)).alias("there")))).alias("x"))
-    return rows.select("x.*")
+    """Two runs of a job that loads all if its target is not there yet, and else only what is newer than the target's rows."""
+    target, kinds = scratch_dir(spark, "s12"), []
+    rows = sample.event_day(sample.gps(spark, folder))
+    for end in (datetime(2024, 1, 15), datetime(2100, 1, 1)):
+        known = files.exists(spark, target)
+        kinds.append("incremental" if known else "full")
+        high = files.scan(spark, target).agg(F.max("event_timestamp")).first()[0] if known else datetime(1900, 1, 1)
+        tables.write_partitions(
+            rows.where((F.col("event_timestamp") > F.lit(high)) & (F.col("event_timestamp") < F.lit(end))).withColumn("run", F.lit(len(kinds))),
+            target, ["event_date", "run"])
+    return files.scan(spark, target).groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+        F.lit(kinds[0]).alias("first_run"), F.lit(kinds[1]).alias("second_run"), F.count(F.lit(1)).alias("records"))
 
 
 @query("p15_lineage", check(
@@ -100,15 +106,18 @@ def p15(spark, folder):
 
 
 @query("c1_watermark_state", check(
-    f"""select {at('max(event_timestamp)', 'high_watermark')} from gps where event_timestamp < timestamp '2024-01-20 00:00:00'""", "gps"))
+    f"""select strftime(event_timestamp, '%Y-%m-%d') as event_date, {at('any_value(high)', 'high_watermark')}, count(*) as newer
+        from gps, (select max(event_timestamp) as high from gps where event_timestamp < timestamp '2024-01-20 00:00:00')
+        where event_timestamp > high group by 1""", "gps"))
 def c1(spark, folder):
-    """The greatest time of a first pass, stored and read back."""
+    """The greatest time of two passes, stored and read back, and what is newer."""
     root = scratch_dir(spark, "c1")
     for end in (datetime(2024, 1, 10), datetime(2024, 1, 20)):
         high = sample.gps(spark, folder).where(F.col("event_timestamp") < F.lit(end)).agg(F.max("event_timestamp")).first()[0]
         state.set_watermark(spark, root, "job", "gps", high, end)
     stored = state.get_watermark(spark, root, "job", "gps")
-    return sample.gps(spark, folder).limit(1).select(F.lit(stored).cast("timestamp").alias("high_watermark"))
+    newer = sample.event_day(sample.gps(spark, folder).where(F.col("event_timestamp") > F.lit(stored)))
+    return newer.groupBy("event_date").agg(F.lit(stored).cast("timestamp").alias("high_watermark"), F.count(F.lit(1)).alias("newer"))
 
 
 @query("c2_watermark_range", check(
@@ -123,14 +132,15 @@ def c2(spark, folder):
 
 
 @query("c8_run_metrics", check(
-    f"""select 'gps_events' as feed, count(*) as records_processed, {at('max(event_timestamp)', 'committed')} from gps""", "gps"))
+    f"""select 'gps_events' as feed, (select count(*) from gps) as records_processed, count(distinct event_id) as records_stored,
+        {at('max(event_timestamp)', 'committed')} from gps""", "gps"))
 def c8(spark, folder):
+    """What a run reports, beside what its table holds."""
     target = scratch_dir(spark, "c8-out")
     metrics = incremental.run_feed(spark, incremental.GPS, landed_gps(spark, folder), target, datetime(2024, 2, 1))
-    stored = versioned.read(spark, target).limit(1)
-    return stored.select(
-        F.lit("gps_events").alias("feed"), F.lit(metrics["gps_events_records_processed"]).alias("records_processed"),
-        F.lit(metrics["gps_events_committed"]).cast("timestamp").alias("committed"))
+    return versioned.read(spark, target).agg(
+        F.lit("gps_events").alias("feed"), F.lit(metrics["gps_events_records_processed"]).cast("long").alias("records_processed"),
+        F.count(F.lit(1)).alias("records_stored"), F.lit(metrics["gps_events_committed"]).cast("timestamp").alias("committed"))
 
 
 def topic_of(spark, folder, label: str):

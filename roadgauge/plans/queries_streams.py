@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadgauge.functions import columns as C
 from roadgauge.operators import quality
-from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
+from roadgauge.plans.queries_records import ENRICHED_GPS
+from roadgauge.plans.registry import at, check, define, n, query, rd
 from roadgauge.session import scratch_dir, stage
 from roadgauge.sources import sample
 from roadgauge.streaming import compaction, corrected, counters, job, joins, panes, sinks, trips, windows
@@ -183,18 +184,18 @@ def x5_stream(spark, folder):
     return finished(spark, hours, "x5").drop("window_end", "event_date")
 
 
-@query("x1_enrich_gps_stream", check(
-    """select event_id, strftime(event_timestamp, '%Y-%m-%d') as event_date, hour(event_timestamp) as event_hour,
-        engine_status = 'ON' as is_moving, count(*) as copies from gps group by 1, 2, 3, 4""", "gps"))
+@query("x1_enrich_gps_stream", check(f"select {ENRICHED_GPS} from gps", "gps"))
 def x1_stream(spark, folder):
-    rows = finished(spark, C.enrich_gps(gps_stream(spark, folder)), "x1")
-    return rows.groupBy("event_id", F.col("event_date").cast("string").alias("event_date"), "event_hour", "is_moving").agg(
-        F.count(F.lit(1)).alias("copies"))
+    """All derived columns of all rows, after several micro-batches."""
+    rows = finished(spark, C.enrich_gps(gps_slices(spark, folder, "x1-in")), "x1")
+    return rows.select(
+        "event_id", "processed_at", F.col("event_date").cast("string").alias("event_date"), "event_hour", "day_of_week", "day_name",
+        "is_weekend", "speed_category", "fuel_status", "is_moving")
 
 
 @query("x9_stream_first_copies", check("select event_id, 1::bigint as copies from gps group by event_id", "gps"))
 def x9(spark, folder):
-    kept = C.enrich_gps(windows.first_copies(gps_stream(spark, folder)))
+    kept = C.enrich_gps(windows.first_copies(gps_slices(spark, folder, "x9-first-in")))
     return finished(spark, kept, "x9").groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
 
 

@@ -15,7 +15,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # one day's run must never delete another day's files
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # event_date stays text, as the tables declare it
+    # partition folders named by a day are read as dates; readers that compare text cast them
     "spark.sql.sources.partitionColumnTypeInference.enabled": "true",
     # session windows merge on the map side, so a hot vehicle ships sessions and not pings
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
