@@ -58,8 +58,13 @@ def clean_deliveries(df: DataFrame) -> DataFrame:
     The status is part of the deduplication key, so filtering on it first gives the same
     rows and shuffles fewer.
     """
+    return flagged(latest_deliveries(df.where(C.is_terminal())))
+
+
+def flagged(latest: DataFrame) -> DataFrame:
+    """Time keys and flags of deduplicated delivery events."""
     ts = F.col("event_timestamp")
-    return latest_deliveries(df.where(C.is_terminal())).withColumns({
+    return latest.withColumns({
         "date_key": C.date_key(ts),
         "time_key": C.time_key(ts),
         "is_on_time": C.is_on_time(),

@@ -286,23 +286,27 @@ def x12_positions(spark, folder):
 
 
 @query("x7_four_streams", check(
-    """select 'gps' as output, count(*) as records from gps
-        union all select 'deliveries', count(*) from deliveries
-        union all select 'hourly_metrics', count(*) from fleet_windows
+    f"""select 'gps' as output, count(*) as records, {rd('sum(speed_mph)', 'total')} from gps
+        union all select 'deliveries', count(*), {rd('sum(delay_minutes)', 'total')} from deliveries
+        union all select 'hourly_metrics', count(*), {rd('sum(total_events)', 'total')} from fleet_windows
             where window_end <= (select max(event_timestamp) from gps) - interval 1 minute
-        union all select 'delivery_kpis', count(*) from kpi_windows
+        union all select 'delivery_kpis', count(*), {rd('sum(total_deliveries)', 'total')} from kpi_windows
             where window_end <= (select max(event_timestamp) from deliveries where event_type = 'DELIVERED') - interval 2 minute""",
     "fleet_windows", "kpi_windows"))
 def x7(spark, folder):
+    """Four queries side by side, each over several micro-batches: rows and a total of each output."""
     root = scratch_dir(spark, "x7")
-    started = job.start(gps_stream(spark, folder), delivery_stream(spark, folder), root, interval=None)
+    started = job.start(gps_slices(spark, folder, "x7-gps"), delivery_slices(spark, folder, "x7-deliveries"), root, interval=None)
     sinks.wait(spark, started, any_ends=False)
-    outputs = {"gps": "processed", "deliveries": "processed", "hourly_metrics": "aggregated", "delivery_kpis": "aggregated"}
-    counts = [
-        spark.read.parquet(f"{root}/{layer}/{name}").agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("records"))
-        for name, layer in outputs.items()
+    outputs = {
+        "gps": ("processed", "speed_mph"), "deliveries": ("processed", "delay_minutes"),
+        "hourly_metrics": ("aggregated", "total_events"), "delivery_kpis": ("aggregated", "total_deliveries")}
+    totals = [
+        spark.read.parquet(f"{root}/{layer}/{name}").agg(
+            F.lit(name).alias("output"), F.count(F.lit(1)).alias("records"), F.sum(measure).cast("double").alias("total"))
+        for name, (layer, measure) in outputs.items()
     ]
-    return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+    return totals[0].union(totals[1]).union(totals[2]).union(totals[3])
 
 
 @query("x9_stream_latest_copies", check(

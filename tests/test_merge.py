@@ -1,3 +1,4 @@
+import json
 import random
 from datetime import datetime, timedelta
 
@@ -322,6 +323,38 @@ def test_stale_copies_never_replace_newer_rows(spark, tmp_path):
         assert rows(versioned.read(spark, target), "event_id", "speed_mph") == [("a", 40.0), ("b", 2.0)]
 
 
+def test_offsets_are_published_with_their_rows(spark, tmp_path, monkeypatch):
+    """A run that crashes before publishing leaves the offsets, and the next one reads the same records again."""
+    from roadgauge import schemas as S
+    from roadgauge.plans import incremental
+
+    target, asked = str(tmp_path / "out"), []
+    value = lambda e, speed: ('{"event_id": "%s", "vehicle_id": "V1", "timestamp": "2024-01-0%dT00:00:00Z", "speed_mph": %s}' % (e, int(e) + 1, speed))
+    topic = spark.createDataFrame(
+        [("t", 0, 0, value("1", 1.0)), ("t", 0, 1, "{broken"), ("t", 1, 0, value("2", 2.0)), ("t", 0, 2, value("1", 9.0))],
+        "topic string, partition int, offset long, value string")
+
+    def load(options):
+        asked.append(options["startingOffsets"])
+        starts = json.loads(asked[-1])["t"] if asked[-1] != "earliest" else {}
+        first = F.when(F.col("partition") == 0, starts.get("0", 0)).otherwise(starts.get("1", 0))
+        return topic.where(F.col("offset") >= first).where("offset < 2 or %s" % (len(asked) > 2))
+
+    def run(n):
+        return incremental.run_offsets(spark, incremental.GPS, "", "t", target, day(10 + n), S.GPS_EVENT, load)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(state, "write", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            run(0)
+    first = run(1)
+    assert asked == ["earliest", "earliest"] and first["gps_events_records_rejected"] == 1
+    assert first["gps_events_offsets"] == {"t": {"0": 2, "1": 1}}
+    assert rows(versioned.read(spark, target), "event_id", "speed_mph") == [("1", 1.0), ("2", 2.0)]
+    assert run(2)["gps_events_offsets"] == {"t": {"0": 3, "1": 1}} and json.loads(asked[2]) == {"t": {"0": 2, "1": 1}}
+    assert rows(versioned.read(spark, target), "event_id", "speed_mph") == [("1", 9.0), ("2", 2.0)]
+
+
 def test_bounded_start_is_explicit(spark, tmp_path):
     from roadgauge.plans import incremental
 
