@@ -12,7 +12,7 @@ from tests.conftest import SAMPLE
 
 def test_registered():
     names = [name for name in entry.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
