@@ -212,13 +212,15 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     of null ids alone has none. An empty table gives no rows.
     """
     rows = stage(fingerprints(docs), "fingerprints")
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_rows")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), radius))
     linked = roots.join(distinct, F.col("a") == F.col("fp")).select("fp", "root", "first_id")
     lowest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labelled = linked.join(lowest, "root").select("fp", "component_id")
-    named = distinct.join(labelled, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stage(
+        distinct.join(labelled, "fp", "left").select("fp", "n_rows", F.coalesce("component_id", "first_id").alias("component_id")),
+        "fingerprint-components")
+    return common.join_spread(rows, named, "fp", "n_rows").select("doc_id", "fp", "component_id")
 
 
 def near_groups(docs: DataFrame, unit_shingles: int = similar_sets.UNIT_SHINGLES) -> DataFrame:
