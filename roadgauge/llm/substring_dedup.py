@@ -11,7 +11,8 @@ segment around it: the words of all windows that it anchors, at most 8 words to
 3. Matched windows of a document are merged into maximal spans, and their words go.
 
 No pairs are made: per anchor and segment (or window) only the smallest id matters. Seeds of a batch that agree travel as one row,
-so passages shared by very many documents arrive pre-aggregated. Hashes are 64 bits wide and two independent ones must
+so passages shared by very many documents arrive pre-aggregated. Seeds of an anchor that is frequent in a probe of the documents are dealt
+by segment, too, and whether it is contested is then told by an aggregate over all of them. Hashes are 64 bits wide and two independent ones must
 agree. Texts travel compressed.
 """
 
@@ -31,7 +32,10 @@ SEED_WORDS = 5
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-REMOVED, CONTESTED = 0, 1
+REMOVED, CONTESTED, FIRST = 0, 1, 2
+#: Documents, about, among which anchors are counted to find those that need spreading, and the share of seeds from which one does.
+#: This decides where seeds meet and no result.
+PROBED, PROBED_SHARE = 4000, 1 / 2000
 #: Sort key of a text among the rows of its document.
 TEXT = -1
 
@@ -127,9 +131,26 @@ def seeds(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
     return common.map_batches(docs, run, GROUPED)
 
 
-def decide(grouped: DataFrame, contested: bool) -> DataFrame:
+def frequent_anchors(docs: DataFrame, window: int, seed_words: int, probed: int = PROBED) -> list[int]:
+    """Anchors with more than PROBED_SHARE of the seeds of about so many documents: fewer than 2000 of them, ascending."""
+    share = min(1.0, probed / max(docs.count(), 1))
+    few = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    counted = stage(seeds(few, window, seed_words).groupBy("key").agg(
+        F.sum(1 + F.coalesce(F.octet_length("more"), F.lit(0)) / 8).alias("n")), "seed-probe")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    # one or two seeds are no sign of a frequent anchor
+    return sorted(r["key"] for r in counted.where((F.col("n") > total * PROBED_SHARE) & (F.col("n") > 2)).select("key").collect())
+
+
+def decide(grouped: DataFrame, contested: bool, hot: list[int] = ()) -> DataFrame:
     """Marks (doc_id, key, value, kind): removed for every document of a (key, value) but the first; and, if asked
-    for, contested for the first document of each value of a key with several values in several documents."""
+    for, contested for the first document of each value of a key with several values in several documents.
+
+    Rows of the keys in hot are dealt by value, too. No task sees all values of such a key, so each value's first document is
+    marked as first instead; contested_firsts tells which of these are contested.
+    """
+    hot_keys = np.array(hot, np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None      # key, value, first document of that value
         waiting = None   # the key's only value so far, not yet known to be contested
@@ -166,14 +187,16 @@ def decide(grouped: DataFrame, contested: bool) -> DataFrame:
                 # a key that crosses a border of batches counts as contested as soon as a second value comes
                 several[0] = values[0] > 0
                 several[-1] |= values[-1] > 1
-                chosen = first & several[runs]
+                spread = np.isin(key, hot_keys)
+                chosen = first & several[runs] & ~spread
                 out.append((doc[chosen], key[chosen], value[chosen], CONTESTED))
+                out.append((doc[first & spread], key[first & spread], value[first & spread], FIRST))
                 if waiting is not None and several[0]:
                     out.append(tuple(np.array([x], np.int64) for x in waiting) + (CONTESTED,))
                     waiting = None
                 if runs[-1] > 0:
                     i = np.flatnonzero(first)[-1]
-                    waiting = None if several[-1] else (doc[i], key[i], value[i])
+                    waiting = None if several[-1] or spread[i] else (doc[i], key[i], value[i])
             last = (key[-1], value[-1], leader[-1])
             ids, keys, values_, kinds = zip(*out)
             if sum(map(len, ids)):
@@ -182,10 +205,23 @@ def decide(grouped: DataFrame, contested: bool) -> DataFrame:
                      pa.array(np.repeat(np.array(kinds, np.int32), [len(x) for x in ids]))], ["doc_id", "key", "value", "kind"])
 
     # values of a key need each other only to tell whether it is contested
-    dealt = grouped.repartition("key") if contested else grouped.repartition("key", "value")
+    if contested:
+        dealt = grouped.repartition("key", F.when(F.col("key").isin(hot), F.col("value"))) if hot else grouped.repartition("key")
+    else:
+        dealt = grouped.repartition("key", "value")
     return dealt.sortWithinPartitions("key", "value", "doc_id").mapInArrow(run, MARKS)
 
 
+def contested_firsts(marks: DataFrame) -> DataFrame:
+    """The marks without kind first: those of keys with several values in several documents become contested. Such keys are few and broadcast."""
+    first = marks.where(F.col("kind") == FIRST)
+    several = first.groupBy("key").agg(
+        F.min("value").alias("v"), F.max("value").alias("w"), F.min("doc_id").alias("d"), F.max("doc_id").alias("e")
+    ).where("v < w and d < e").select("key")
+    made = first.join(F.broadcast(several), "key").withColumn("kind", F.lit(CONTESTED))
+    return marks.where(F.col("kind") != FIRST).unionByName(made)
+
+
 def beside_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """Texts (compressed) and the marks of their documents, side by side, each text before its marks."""
     def squeeze(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -282,7 +318,10 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WO
         raise ValueError("an anchor must be shorter than a window")
     rows = common.id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
     placed = rows.where("doc_id is not null")
-    first = stage(decide(seeds(placed, window, seed_words), contested=True), "seed-marks")
+    hot = frequent_anchors(placed, window, seed_words)
+    first = stage(decide(seeds(placed, window, seed_words), True, hot), "seed-marks")
+    if hot:
+        first = contested_firsts(first)
     second = stage(decide(extensions(placed, first, window, seed_words), contested=False), "window-marks")
     marks = first.where(F.col("kind") == REMOVED).unionByName(second.withColumn("kind", F.lit(CONTESTED)))
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadgauge.llm import bpe, exact_dedup, packing, queries, simhash, substring_dedup, token_counts
+from roadgauge.llm import bpe, common, exact_dedup, packing, queries, simhash, substring_dedup, token_counts
 from tests.conftest import SAMPLE
 
 WORD_BPE, PIECES = queries.tokenizer_path("word_bpe_49k.json"), queries.tokenizer_path("piece_bpe_32k.model")
@@ -61,6 +61,32 @@ def test_substring_random(docs_of):
         assert rows_of(got) == brute_substring(rows, size)
 
 
+@pytest.mark.parametrize("spread", ["none", "half", "all"])
+def test_substring_hot_anchor(docs_of, monkeypatch, spread):
+    """One passage inside different surroundings: how many of its anchors are spread over tasks changes nothing."""
+    passage = "one passage of seven words stands here".split()
+    rng = np.random.default_rng(11)
+    rows = [(d, " ".join([*map(str, rng.integers(0, 3, 9)), *passage, *map(str, rng.integers(0, 3, 9))])) for d in range(120)]
+    rows += [(d + 1000, t) for d, t in rows[:30]]
+    found = substring_dedup.frequent_anchors(docs_of(rows), 13, 5)
+    assert found == sorted(set(found)) and len(found) > 3
+    assert substring_dedup.frequent_anchors(docs_of([]), 13, 5) == []
+    hot = {"none": [], "half": found[::2], "all": found}[spread]
+    monkeypatch.setattr(substring_dedup, "frequent_anchors", lambda *_: hot)
+    got = substring_dedup.deduplicate(docs_of(rows)).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert rows_of(got) == brute_substring(rows, 13)
+
+
+def test_join_spread(spark):
+    """Hot keys, others and a null: the same rows as a plain join."""
+    rows = spark.createDataFrame([(i, 7 if i % 3 else i) for i in range(5000)] + [(-1, None)], "doc_id long, fp long")
+    named = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n_rows"), F.min("doc_id").alias("component_id"))
+    plain = rows.join(named.drop("n_rows"), "fp").select("doc_id", "fp", "component_id")
+    got = common.join_spread(rows, named, "fp", "n_rows").select("doc_id", "fp", "component_id")
+    assert rows_of(got) == rows_of(plain) and got.count() == 5000
+    assert common.join_spread(rows.limit(0), named.limit(0), "fp", "n_rows").count() == 0
+
+
 def test_substring_awkward(docs_of, awkward):
     got = substring_dedup.deduplicate(docs_of(awkward))
     assert rows_of(got.select("doc_id", "n_words", "n_removed", "kept_text")) == brute_substring(awkward, 13)
