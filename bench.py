@@ -19,7 +19,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from roadgauge.plans import catalogue  # noqa: E402
-from roadgauge.session import build, scratch_dir  # noqa: E402
+from roadgauge.session import build, own_folders, scratch_dir  # noqa: E402
 from roadgauge.sources import sample  # noqa: E402
 
 HEADLINE = (
@@ -32,10 +32,11 @@ HEADLINE = (
 )
 
 
-def timed(run) -> float:
-    start = time.perf_counter()
-    run().write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+def timed(spark, run) -> float:
+    with own_folders(spark):
+        start = time.perf_counter()
+        run().write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:
@@ -55,8 +56,8 @@ def main() -> None:
         if only and name not in only:
             continue
         run = catalogue.QUERIES[name]
-        timed(lambda: run(spark, folder))
-        times[name] = round(statistics.median(timed(lambda: run(spark, folder)) for _ in range(runs)), 3)
+        timed(spark, lambda: run(spark, folder))
+        times[name] = round(statistics.median(timed(spark, lambda: run(spark, folder)) for _ in range(runs)), 3)
         print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,

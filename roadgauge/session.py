@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadgauge.sinks.state import file_system
+
+_owned: ContextVar[list[str] | None] = ContextVar("owned_folders", default=None)
+
 RUNTIME_CONF = {
     # hour(), to_date() and casts follow the session zone; events are UTC
     "spark.sql.session.timeZone": "UTC",
@@ -50,7 +57,29 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="roadgauge-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def own_folders(spark: SparkSession) -> Iterator[list[str]]:
+    """Owner of the folders that scratch_dir and stage name within the block: they are removed at its end, also after an error.
+
+    Frames made in the block read them, so results must be collected or written elsewhere before it ends. Of nested
+    blocks the inner one owns. Without a block the folders stay, as do those named by other threads, such as a stream's.
+    """
+    made: list[str] = []
+    token = _owned.set(made)
+    try:
+        yield made
+    finally:
+        _owned.reset(token)
+        for path in made:
+            fs, where = file_system(spark, path)
+            fs.delete(where, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
