@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadgauge.streaming.windows import DELIVERY, VEHICLE_WATERMARK
 
@@ -12,28 +12,75 @@ NEAR = timedelta(minutes=5)
 PING = ("event_id", "latitude", "longitude", "speed_mph")
 
 
+EVENT = ("delivery_id", "event_type", "vehicle_id", "event_timestamp")
+
+
 def nearest_pings(deliveries: DataFrame, gps: DataFrame, near: timedelta = NEAR) -> DataFrame:
     """Each delivery event with the vehicle's ping nearest in time, within ``near`` on either side; without one, nulls.
 
-    Of equally near pings the earlier counts, then the smaller id. Both sides carry a watermark, and the range condition
-    bounds how long rows are kept; an event without ping comes out once its time has passed. The pings of an event are reduced by a
-    second aggregation, whose groups close with the event's own time. The same function joins tables.
+    Of equally near pings the earlier counts, then the smaller id. Streams and tables give the same rows; events that repeat all of their
+    four columns are one.
+    """
+    seconds = int(near.total_seconds())
+    live = deliveries.isStreaming or gps.isStreaming
+    best = _joined_streams(deliveries, gps, seconds) if live else _carried(deliveries, gps, seconds)
+    return best.select(
+        *EVENT, (F.col("ping.gap") / 1e6).alias("gap_seconds"),
+        F.timestamp_micros("ping._micros").alias("ping_timestamp"), *[F.col(f"ping.{c}").alias(c) for c in PING])
+
+
+def _cell(micros: Column, length: int) -> Column:
+    return F.floor(micros / F.lit(length * 1_000_000))
+
+
+def _cells(micros: Column, seconds: int, length: int) -> Column:
+    """The cells of time that hold an event the ping is near to."""
+    return F.sequence(_cell(micros - seconds * 1_000_000, length), _cell(micros + seconds * 1_000_000, length))
+
+
+def _carried(deliveries: DataFrame, gps: DataFrame, seconds: int) -> DataFrame:
+    """Tables: within vehicle and cell the last ping is carried forward to the events, and the next one back, so no event meets all near pings."""
+    micros, length = F.unix_micros("event_timestamp"), 6 * seconds
+    known = gps.where("vehicle_id is not null and event_timestamp is not null").select(
+        "vehicle_id", F.explode(_cells(micros, seconds, length)).alias("_cell"), micros.alias("_at"), F.lit(0).alias("_feed"),
+        F.struct(micros.alias("_micros"), *PING).alias("_ping"))
+    events = deliveries.select(*EVENT, _cell(micros, length).alias("_cell"), micros.alias("_at"), F.lit(1).alias("_feed"))
+    stacked = events.unionByName(known, allowMissingColumns=True)
+    within = Window.partitionBy("vehicle_id", "_cell")
+    # of pings at one time the smallest comes last, and events come after the pings of their time
+    rest = ["_feed", F.desc("_ping")]
+    carried = stacked.withColumns({
+        name: F.last("_ping", ignorenulls=True).over(within.orderBy(order, *rest).rowsBetween(Window.unboundedPreceding, 0))
+        for name, order in (("_before", F.asc("_at")), ("_after", F.desc("_at")))
+    }).where("_feed = 1")
+
+    def candidate(name: str) -> Column:
+        gap = F.abs(F.col("_at") - F.col(f"{name}._micros"))
+        return F.when(gap <= seconds * 1_000_000, F.struct(gap.alias("gap"), f"{name}.*"))
+
+    # the cell is that of the event, and keeps the rows where they are
+    return carried.withColumn("ping", F.least(candidate("_before"), candidate("_after"))).groupBy("_cell", *EVENT).agg(F.min("ping").alias("ping"))
+
+
+def _joined_streams(deliveries: DataFrame, gps: DataFrame, seconds: int) -> DataFrame:
+    """Streams: a join by vehicle, cell and range, as long as the range, so that an event is compared with the pings around it only.
+
+    Both sides carry a watermark, and the range condition bounds how long rows are kept; an event without ping comes out once its time has
+    passed. The pings of an event are reduced by a second aggregation, whose groups close with the event's own time.
     """
     # a literal, which the range condition of a stream needs
-    seconds = F.expr(f"interval {int(near.total_seconds())} seconds")
+    span, length = F.expr(f"interval {seconds} seconds"), 2 * seconds
     left = deliveries.withWatermark("event_timestamp", DELIVERY.watermark).select(
-        "delivery_id", "event_type", "vehicle_id", "event_timestamp")
+        *EVENT, _cell(F.unix_micros("event_timestamp"), length).alias("_cell"))
     right = gps.withWatermark("event_timestamp", VEHICLE_WATERMARK).select(
-        F.col("vehicle_id").alias("_vehicle"), F.col("event_timestamp").alias("_at"), *PING)
+        F.col("vehicle_id").alias("_vehicle"), F.col("event_timestamp").alias("_at"), *PING,
+        F.explode(_cells(F.unix_micros("event_timestamp"), seconds, length)).alias("_ping_cell"))
     joined = left.join(
         right,
-        (F.col("vehicle_id") == F.col("_vehicle"))
-        & (F.col("_at") >= F.col("event_timestamp") - seconds) & (F.col("_at") <= F.col("event_timestamp") + seconds), "left_outer")
+        (F.col("vehicle_id") == F.col("_vehicle")) & (F.col("_cell") == F.col("_ping_cell"))
+        & (F.col("_at") >= F.col("event_timestamp") - span) & (F.col("_at") <= F.col("event_timestamp") + span), "left_outer")
     # as a number the ping's time is no second event time
-    pinged = joined.withColumn("_micros", F.unix_micros("_at")).drop("_at", "_vehicle")
+    pinged = joined.withColumn("_micros", F.unix_micros("_at")).drop("_at", "_vehicle", "_cell", "_ping_cell")
     gap = F.abs(F.unix_micros("event_timestamp") - F.col("_micros"))
-    best = pinged.groupBy("delivery_id", "event_type", "vehicle_id", "event_timestamp").agg(
+    return pinged.groupBy(*EVENT).agg(
         F.min(F.when(F.col("_micros").isNotNull(), F.struct(gap.alias("gap"), "_micros", *PING))).alias("ping"))
-    return best.select(
-        "delivery_id", "event_type", "vehicle_id", "event_timestamp", (F.col("ping.gap") / 1e6).alias("gap_seconds"),
-        F.timestamp_micros("ping._micros").alias("ping_timestamp"), *[F.col(f"ping.{c}").alias(c) for c in PING])

@@ -146,3 +146,29 @@ def test_attempt_counters_end_in_event_time(spark, tmp_path):
     got = sorted((r.delivery_id, r.event_timestamp, r.attempt_number) for r in spark.read.parquet(out).collect())
     # the counter of a has ended before day 20; b's has not on day 9, and z's not when day 40 comes, as the watermark is at day 20
     assert got == [("a", day(0), 1), ("a", day(2), 2), ("a", day(20), 1), ("b", day(1), 1), ("b", day(9), 2), ("z", day(20), 1), ("z", day(40), 2)]
+
+
+def test_nearest_pings_meet_no_whole_vehicle(spark):
+    rng = random.Random(11)
+    event = "delivery_id string, event_type string, vehicle_id string, event_timestamp timestamp"
+    places_of = [None, "V1", "V1", "V1", "V2"]
+    pings = [ping(i % 280, rng.randint(0, 400) / 2, rng.choice(places_of), float(i % 3)) for i in range(300)]
+    pings += [(900, "V1", None, at(0), 40.0, -75.0, 1.0, 0.5, "ON"), (None, "V1", at(10), at(0), 40.0, -75.0, 1.0, 0.5, "ON")]
+    events = [(f"D{i % 250}", "DELIVERED", rng.choice(places_of), at(rng.randint(-20, 440) / 2)) for i in range(300)]
+    events += [("D900", "DELIVERED", "V1", None), ("D900", "DELIVERED", None, None), (None, None, "V2", at(3)), events[0], events[0]]
+    left, right = spark.createDataFrame(events, event), spark.createDataFrame(pings, PING)
+
+    def brute(e):
+        near = [(abs(p[2] - e[3]), p[2], p[0] is not None, p[0] or 0) for p in pings if e[2] and e[3] and p[1] == e[2] and p[2] and abs(p[2] - e[3]) <= timedelta(minutes=5)]
+        best = min(near) if near else None
+        return (*map(str, e), None if best is None else (best[0].total_seconds(), best[1], best[3] if best[2] else None))
+
+    tables, streams = joins.nearest_pings(left, right), joins._joined_streams(left, right, 300).select(
+        *joins.EVENT, (F.col("ping.gap") / 1e6).alias("gap_seconds"), F.timestamp_micros("ping._micros").alias("ping_timestamp"), "ping.event_id")
+    for made in (tables, streams):
+        got = [(str(r.delivery_id), str(r.event_type), str(r.vehicle_id), str(r.event_timestamp),
+                None if r.gap_seconds is None else (r.gap_seconds, r.ping_timestamp, r.event_id)) for r in made.collect()]
+        assert sorted(got, key=str) == sorted(set(map(brute, events)), key=str)
+    assert "Join" not in plan(tables)
+    keys = next(line for line in plan(streams).splitlines() if "Join" in line)
+    assert "_cell" in keys.split("]")[0]
