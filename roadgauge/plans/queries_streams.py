@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadgauge.functions import columns as C
 from roadgauge.operators import quality
 from roadgauge.plans.queries_records import ENRICHED_GPS
 from roadgauge.plans.registry import at, check, close_count, define, n, query, rd
 from roadgauge.session import scratch_dir, stage
-from roadgauge.sources import sample
+from roadgauge.sources import files, sample
 from roadgauge.streaming import compaction, corrected, counters, job, joins, panes, sinks, trips, windows
 from roadgauge.streaming.attempts import STORE
 
+#: Bytes of stored rows that a task reads to write slices.
+PART_BYTES = 128 << 20
+
 
 def gps_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The pings as a stream over the events file."""
@@ -31,17 +36,42 @@ def finished(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Run a stream over all present data into a Parquet table and read it."""
     root = scratch_dir(spark, label)
     sinks.to_parquet(df, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    # a stream that closed nothing leaves no file to take the schema from
+    return spark.read.schema(df.schema).parquet(f"{root}/out")
+
+
+def written_slices(spark: SparkSession, rows: DataFrame, place: Column, label: str, slices: int, parts: int) -> DataFrame:
+    """A stream over the rows of each place, 0 to slices - 1, one micro-batch each, in this order.
+
+    A slice is written by ``parts`` tasks to as many files, and one without rows for all of them is filled up by empty files.
+    """
+    path = scratch_dir(spark, label)
+    for i in range(slices):
+        rows.where(place == i).coalesce(parts).write.mode("append").parquet(path)
+        while len(spark.read.schema(rows.schema).parquet(path).inputFiles()) < (i + 1) * parts:
+            rows.where(F.lit(False)).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", parts).parquet(path)
+
+
+def stored_parts(spark: SparkSession, df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The rows written once, and how many tasks read them in parts of at most about PART_BYTES."""
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path), max(1, math.ceil(files.size(spark, path) / PART_BYTES))
 
 
 def in_slices(spark: SparkSession, df: DataFrame, label: str, slices: int = 3) -> DataFrame:
     """A stream over the rows, written in slices of time one after the other, so that it takes several micro-batches."""
-    rows, path = stage(df, label), scratch_dir(spark, f"{label}-slices")
+    rows, parts = stored_parts(spark, df, label)
     low, high = rows.agg(F.min(F.unix_micros("event_timestamp")), F.max(F.unix_micros("event_timestamp"))).first()
     place = F.floor((F.unix_micros("event_timestamp") - F.lit(low)) * slices / F.lit(high - low + 1))
-    for i in range(slices):
-        rows.where(place == i).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return written_slices(spark, rows, place, f"{label}-slices", slices, parts)
+
+
+def in_hashed_slices(spark: SparkSession, df: DataFrame, columns: tuple[str, ...], label: str, slices: int) -> DataFrame:
+    """A stream over the rows in no order of time: every micro-batch has rows of every date."""
+    rows, parts = stored_parts(spark, df, f"{label}-rows")
+    return written_slices(spark, rows, F.pmod(F.xxhash64(*columns), F.lit(slices)), f"{label}-in", slices, parts)
 
 
 def gps_slices(spark: SparkSession, folder: str, label: str) -> DataFrame:
@@ -265,10 +295,7 @@ def x12_hours(spark, folder):
 def x12_compacted(spark, folder):
     """Events in no order of time, so that every micro-batch touches every date; merged every three batches."""
     root = scratch_dir(spark, "x12-compacted")
-    rows, path = stage(sample.deliveries(spark, folder), "x12-rows"), scratch_dir(spark, "x12-in")
-    for i in range(8):
-        rows.where(F.pmod(F.xxhash64("delivery_id"), F.lit(8)) == i).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = in_hashed_slices(spark, sample.deliveries(spark, folder), ("delivery_id",), "x12", 8)
     counters.keep_delivery_counters(stream, f"{root}/out", f"{root}/checkpoint", tidy=3).awaitTermination()
     left = max(len(ids) for ids in compaction.batches(spark, f"{root}/out").values())
     return counters.read_delivery_counters(spark, f"{root}/out").select(
@@ -299,12 +326,13 @@ def x7(spark, folder):
     started = job.start(gps_slices(spark, folder, "x7-gps"), delivery_slices(spark, folder, "x7-deliveries"), root, interval=None)
     sinks.wait(spark, started, any_ends=False)
     outputs = {
-        "gps": ("processed", "speed_mph"), "deliveries": ("processed", "delay_minutes"),
-        "hourly_metrics": ("aggregated", "total_events"), "delivery_kpis": ("aggregated", "total_deliveries")}
+        "gps": ("processed", "speed_mph", "double"), "deliveries": ("processed", "delay_minutes", "int"),
+        "hourly_metrics": ("aggregated", "total_events", "bigint"), "delivery_kpis": ("aggregated", "total_deliveries", "bigint")}
+    # the schema is given, since a stream that closed nothing leaves no file to take it from
     totals = [
-        spark.read.parquet(f"{root}/{layer}/{name}").agg(
+        spark.read.schema(f"{measure} {kind}").parquet(f"{root}/{layer}/{name}").agg(
             F.lit(name).alias("output"), F.count(F.lit(1)).alias("records"), F.sum(measure).cast("double").alias("total"))
-        for name, (layer, measure) in outputs.items()
+        for name, (layer, measure, kind) in outputs.items()
     ]
     return totals[0].union(totals[1]).union(totals[2]).union(totals[3])
 
@@ -322,10 +350,7 @@ def x9_latest(spark, folder):
     f"""select {FLEET}, active_vehicles, {rd('median_speed')}, moving_vehicles, idle_vehicles from fleet_windows""", "fleet_windows"))
 def x6(spark, folder):
     """Pings of all days arrive in three batches, most of them late: the windows end as those of the batch form, all of them."""
-    rows, path = stage(sample.gps(spark, folder), "x6-rows"), scratch_dir(spark, "x6-in")
-    for i in range(3):
-        rows.where(F.pmod(F.xxhash64("event_id", "processed_at"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = in_hashed_slices(spark, sample.gps(spark, folder), ("event_id", "processed_at"), "x6", 3)
     root = scratch_dir(spark, "x6")
     corrected.keep_fleet_windows(stream, f"{root}/out", f"{root}/checkpoint", tidy=2).awaitTermination()
     return corrected.read_fleet_windows(spark, f"{root}/out").select(

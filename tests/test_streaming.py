@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from roadgauge import schemas as S
 from roadgauge.functions import columns as C
 from roadgauge.operators import reports, rollups
+from roadgauge.plans import queries_streams
+from roadgauge.session import scratch_dir, stage
 from roadgauge.sources import records
 from roadgauge.streaming import attempts, counters, sinks, windows
 
@@ -213,3 +215,29 @@ def test_console_and_failing_query(spark, gps, tmp_path):
     query = sinks.by_batch(gps.stream(), broken, str(tmp_path / "cp"))
     with pytest.raises(Exception, match="sink down"):
         sinks.wait(spark, [query], any_ends=False)
+
+
+def test_stream_that_closes_nothing_gives_no_rows(spark, gps):
+    gps.add(ping(1, 0), ping(2, 10))
+    trips = windows.session_trips(gps.stream()).withColumn("event_date", C.event_date("session_start"))
+    made = queries_streams.finished(spark, trips, "open-session")
+    assert made.columns == ["vehicle_id", "session_start", "session_end", "gps_events", "event_date"] and made.collect() == []
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_slices_of_several_files_are_one_micro_batch_each(spark, monkeypatch, parts):
+    # the second of four slices of time has one row, the third none, and no task but one has a row of the first
+    minutes = [0, 1, 2, 90, *range(240, 300)]
+    rows = spark.createDataFrame([(i, T0 + timedelta(minutes=m)) for i, m in enumerate(minutes)], "n long, event_timestamp timestamp")
+    monkeypatch.setattr(queries_streams, "stored_parts", lambda *_: (stage(rows.repartitionByRange(6, "n"), "six"), parts))
+    seen = {}
+    stream = queries_streams.in_slices(spark, rows, "several", 4)
+    sinks.by_batch(stream, lambda df, i: seen.update({i: sorted(r.n for r in df.collect())}), scratch_dir(spark, "cp")).awaitTermination()
+    assert [seen[i] for i in sorted(seen)] == [[0, 1, 2], [3], [], list(range(4, 64))]
+
+
+def test_stored_rows_are_read_in_parts(spark, monkeypatch):
+    rows = spark.range(20000).repartition(8)
+    assert queries_streams.stored_parts(spark, rows, "parts")[1] == 1
+    monkeypatch.setattr(queries_streams, "PART_BYTES", 20000)
+    assert queries_streams.stored_parts(spark, rows, "parts")[1] > 3
