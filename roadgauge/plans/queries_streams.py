@@ -156,15 +156,36 @@ def x3_stream(spark, folder):
         *FLEET_COLUMNS, "active_vehicles", "median_speed", "moving_vehicles", "idle_vehicles", "fleet_utilization_pct")
 
 
+def beside_exact(own: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """The windows of a stream, and whether their sketched values lie within bounds of the exact batch form's.
+
+    Distinct counts may differ by the sketch's error, percentiles by 2 % in rank.
+    """
+    counts, ranks = ("active_drivers", "active_vehicles"), {"median_delay": 0.5, "p95_delay": 0.95}
+    exact = windows.delivery_kpis_exact(deliveries).select("window_start", *[F.col(c).alias(f"exact_{c}") for c in counts])
+    around = windows.exact_percentiles(
+        deliveries.where(C.has_status("DELIVERED")), windows.DELIVERY, "delay_minutes",
+        {f"{name}_{side}": share + by for name, share in ranks.items() for side, by in (("low", -0.02), ("high", 0.02))})
+    within = F.lit(True)
+    for c in counts:
+        within = within & close_count(c, f"exact_{c}")
+    for c in ranks:
+        # no value at all on either side, or one between the exact ones
+        within = within & F.when(F.col(c).isNull(), F.col(f"{c}_low").isNull()).otherwise(F.col(c).between(F.col(f"{c}_low"), F.col(f"{c}_high")))
+    both = own.join(exact, "window_start", "left").join(around, "window_start", "left")
+    return both.select(*own.columns, F.coalesce(within, F.lit(False)).alias("sketches_within_bound"))
+
+
 @query("x4_sliding_delivery_kpis_stream", check(
-    f"""select {KPIS}, {n('median_delay')}, {n('p95_delay')}, active_drivers, active_vehicles
+    f"""select {KPIS}, {n('median_delay')}, {n('p95_delay')}, active_drivers, active_vehicles, true as sketches_within_bound
         from kpi_windows where window_end <=
         (select max(event_timestamp) from deliveries where event_type = 'DELIVERED') - interval 2 minute""", "kpi_windows"))
 def x4_stream(spark, folder):
-    """As x3: several micro-batches, panes of five minutes, three of them a window."""
+    """As x3: several micro-batches, panes of five minutes, three of them a window. The stream's own values, compared with the exact ones."""
     made = panes.delivery_windows(panes.delivery_panes(delivery_slices(spark, folder, "x4-in")))
-    return finished(spark, made, "x4").select(
+    own = finished(spark, made, "x4").select(
         *KPI_COLUMNS, "median_delay", "p95_delay", "active_drivers", "active_vehicles")
+    return beside_exact(own, sample.deliveries(spark, folder))
 
 
 LONG = windows.Slide(24 * 60, 60, 1)

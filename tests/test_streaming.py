@@ -14,7 +14,7 @@ from roadgauge.operators import reports, rollups
 from roadgauge.plans import queries_streams
 from roadgauge.session import scratch_dir, stage
 from roadgauge.sources import records
-from roadgauge.streaming import attempts, counters, sinks, windows
+from roadgauge.streaming import attempts, counters, panes, sinks, windows
 
 T0 = datetime(2024, 1, 1, 12, 0)
 
@@ -241,3 +241,16 @@ def test_stored_rows_are_read_in_parts(spark, monkeypatch):
     assert queries_streams.stored_parts(spark, rows, "parts")[1] == 1
     monkeypatch.setattr(queries_streams, "PART_BYTES", 20000)
     assert queries_streams.stored_parts(spark, rows, "parts")[1] > 3
+
+
+def test_sketched_kpis_are_compared_with_the_exact_ones(spark):
+    rows = [(f"d{i}", "DELIVERED", T0 + timedelta(seconds=i), i % 90 - 10 if i % 7 else None, f"D{i % 40}", f"V{i % 30}", 1.0) for i in range(280)]
+    rows += [("late", "DELIVERED", T0 + timedelta(hours=2), None, "D1", "V1", 1.0)]
+    done = spark.createDataFrame(
+        rows, "delivery_id string, event_type string, event_timestamp timestamp, delay_minutes int, driver_id string, vehicle_id string,"
+        " package_weight_lbs double")
+    own = panes.delivery_windows(panes.delivery_panes(done))
+    assert {r.sketches_within_bound for r in queries_streams.beside_exact(own, done).collect()} == {True}
+    for name, wrong in (("p95_delay", F.lit(20)), ("median_delay", F.lit(79)), ("active_drivers", F.lit(90))):
+        made = queries_streams.beside_exact(own.withColumn(name, wrong.cast("bigint")), done)
+        assert made.columns == [*own.columns, "sketches_within_bound"] and not any(r.sketches_within_bound for r in made.collect()), name
