@@ -659,13 +659,18 @@ define("extended", f"""
 
 
 def extended(spark, folder):
-    """From stored facts and the stored route table, each made once."""
+    return extended_and_clean(spark, folder)[0]
+
+
+def extended_and_clean(spark, folder):
+    """From stored facts and the stored route table, each made once; and the clean deliveries it is made of."""
     pings, done = gps_facts(spark, folder), stage(del_latest(spark, folder), "delivery-facts")
     clean = quality.flagged(done.where(C.is_terminal()))
     per_route = stage(trips.route_performance(pings, done), "routes")
-    return trips.extended_summary(
+    summary = trips.extended_summary(
         rollups.daily_summary(pings, clean, exact=True), per_route, clean,
         sample.vehicles(spark, folder), sample.drivers(spark, folder))
+    return summary, clean
 
 
 @query("a25_extended_summary", check(
@@ -686,8 +691,9 @@ def a25(spark, folder):
         {rd('sum(total_operational_cost) / sum(total_miles_driven)', 'cost_per_mile')},
         {rd('avg(fleet_utilization_pct)', 'fleet_utilization_pct')} from extended""", "extended", "del_clean"))
 def a26(spark, folder):
-    """From the stored summary."""
-    return trips.headline_kpis(stage(extended(spark, folder), "extended-summary"), del_clean(spark, folder))
+    """From the stored summary and the stored deliveries it is made of."""
+    summary, clean = extended_and_clean(spark, folder)
+    return trips.headline_kpis(stage(summary, "extended-summary"), clean)
 
 
 @query("a27_incremental_savings", check(

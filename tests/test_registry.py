@@ -60,3 +60,11 @@ def test_daily_job_is_repeatable(spark, tmp_path):
     assert {name: df.count() for name, df in again.items()} == counts == loaded
     with pytest.raises(ValueError, match="no gps, deliveries data"):
         daily.run_daily(spark, lake, "2030-01-01")
+
+
+def test_headline_kpis_derive_the_deliveries_for_stored_facts_once(spark, folder, monkeypatch):
+    from roadgauge.plans import queries_summaries as summaries
+
+    made, latest = [], summaries.quality.latest_deliveries
+    monkeypatch.setattr(summaries.quality, "latest_deliveries", lambda *given: made.append(1) or latest(*given))
+    assert summaries.a26(spark, folder).count() == 1 and len(made) == 1
