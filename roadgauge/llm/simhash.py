@@ -8,6 +8,7 @@ more than SHARD_ROWS fingerprints is split into parts, and a tree is built for e
 two parts. A task reports links as stars below its smallest fingerprints: never all pairs.
 
 near_duplicates links fingerprints of three-word shingles within 3 bits; near_groups links texts of similarity 0.8 or more, without trees.
+survivors takes both.
 """
 
 from __future__ import annotations
@@ -234,8 +235,14 @@ def near_groups(docs: DataFrame, unit_shingles: int = similar_sets.UNIT_SHINGLES
 def survivors(docs: DataFrame) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates, all columns unchanged.
 
-    Rows that repeat a doc_id are one document and stay or go together. Rows without doc_id have no identity and all stay.
+    Near duplicates are linked by their fingerprints, within the radius and by BK-trees, and by their sets of shingles, which find those
+    farther apart, too; a group is what either link reaches. Rows that repeat a doc_id are one document and stay or go together. Rows
+    without doc_id have no identity and all stay.
     """
-    gone = near_groups(docs).where("a <> root").select(F.col("a").alias("__id")).distinct()
+    by_prints = near_duplicates(docs.where("doc_id is not null")).select(
+        F.col("doc_id").cast("long").alias("a"), F.col("component_id").cast("long").alias("b")).where("a <> b")
+    by_sets = near_groups(docs).where("a <> root").select("a", F.col("root").alias("b"))
+    groups = components(stage(by_prints.union(by_sets).distinct(), "near-links-of-both"))
+    gone = groups.where("a <> root").select(F.col("a").alias("__id")).distinct()
     named = docs.withColumn("__id", F.col("doc_id").cast("long"))
     return named.join(gone, "__id", "left_anti").select(*docs.columns)

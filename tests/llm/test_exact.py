@@ -295,3 +295,15 @@ def test_harmonic_classes():
     whole = sum(size // 4096 for size in sizes)
     assert (len(rows) - whole) / len(sizes) < 1.5 and max(pieces.values()) < 30
     assert sum(r[2] for r in rows) == sum(sizes)
+
+
+def test_survivors_follow_links_of_fingerprints_and_of_sets(docs_of):
+    # 1 and 2 are alike by fingerprint only, 3 and 2 by sets of shingles only
+    lines = "one two three four five " * 60
+    tail = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, lines + "alpha beta gamma delta"), (2, lines + tail), (3, "one two three four five " * 2 + tail), (4, "quite another text of its own"), (None, lines)]
+    docs = docs_of(rows)
+    prints = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect() if r["doc_id"]}
+    sets = {r["a"]: r["root"] for r in simhash.near_groups(docs).collect()}
+    assert prints == {1: 1, 2: 1, 3: 3, 4: 4} and sets == {2: 2, 3: 2}
+    assert sorted((r["doc_id"] for r in simhash.survivors(docs).collect()), key=repr) == [1, 4, None]
