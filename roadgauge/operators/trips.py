@@ -11,15 +11,19 @@ from roadgauge.schemas import RATES, Rates
 PING_ORDER = ["event_timestamp", "event_id"]
 
 
-def attempt_numbers(deliveries: DataFrame, order: list[str] | None = None) -> DataFrame:
+def attempt_numbers(deliveries: DataFrame, order: list[str] | None = None, tasks: int | None = None) -> DataFrame:
     """Number each delivery's final-status events by time, from 1.
 
     Takes events before deduplication, which would keep only one failed attempt. A delivery has a handful of
-    events, so a plain window does with one shuffle.
+    events, so a plain window does with one shuffle. That goes to ``tasks`` tasks: given by the size of the feed, each
+    sorts as many rows of a large one as of a small one. Without it, to the session's shuffle partitions.
     """
     order = order or ["event_timestamp", "event_type", "vehicle_id", "driver_id"]
     within = Window.partitionBy("delivery_id").orderBy(*order)
-    return deliveries.where(C.is_terminal()).withColumn("attempt_number", F.row_number().over(within).cast("long"))
+    ended = deliveries.where(C.is_terminal())
+    if tasks is not None:
+        ended = ended.repartition(tasks, "delivery_id")
+    return ended.withColumn("attempt_number", F.row_number().over(within).cast("long"))
 
 
 def linked_pings(gps: DataFrame, keep_slice: bool = False) -> DataFrame:

@@ -449,5 +449,6 @@ def c12_deliveries(spark, folder):
                 order by event_timestamp, event_type, vehicle_id, driver_id) as attempt_number
             from deliveries where event_type in ('DELIVERED', 'FAILED_ATTEMPT', 'RETURNED')) group by 1, 2, 3""", "deliveries"))
 def w5_facts(spark, folder):
-    return trips.attempt_numbers(sample.deliveries(spark, folder)).groupBy(
+    tasks = sample.delivery_tasks(spark, folder)
+    return trips.attempt_numbers(sample.deliveries(spark, folder, tasks), tasks=tasks).groupBy(
         "delivery_id", "event_type", "attempt_number").agg(F.count(F.lit(1)).alias("events"))

@@ -522,7 +522,8 @@ def w4(spark, folder):
         row_number() over (partition by delivery_id order by event_timestamp, event_type, vehicle_id, driver_id) as attempt_number
         from deliveries where event_type in ('DELIVERED', 'FAILED_ATTEMPT', 'RETURNED')""", "deliveries"))
 def w5(spark, folder):
-    return trips.attempt_numbers(sample.deliveries(spark, folder)).select(
+    tasks = sample.delivery_tasks(spark, folder)
+    return trips.attempt_numbers(sample.deliveries(spark, folder, tasks), tasks=tasks).select(
         "delivery_id", "event_timestamp", "event_type", "vehicle_id", "driver_id", "attempt_number")
 
 

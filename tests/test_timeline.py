@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from roadgauge.operators import quality, timeline, trips
+from roadgauge.plans import catalogue
+from roadgauge.sources import sample
 from tests.conftest import plan
 
 
@@ -133,6 +135,29 @@ def test_attempts_count_final_statuses_in_order(spark):
         ("D1", 1, "FAILED_ATTEMPT"), ("D1", 2, "FAILED_ATTEMPT"), ("D1", 3, "DELIVERED"), ("D2", 1, "DELIVERED")]
 
 
+@pytest.mark.parametrize("name", ["w5_attempts_on_facts", "w5_attempt_numbers"])
+def test_attempts_go_to_more_tasks_as_the_feed_grows(spark, tmp_path, monkeypatch, name):
+    lines = [(k, k % 50, k % 7, n, 1.0, 1.0, 0.1, "R" if k % 3 else "N", "F" if n % 2 else "O")
+             for k in range(300) for n in (1, 1, 2)] + [(None, 1, 1, 1, 1.0, 1.0, 0.1, "R", "F"), (5, 1, 1, None, 1.0, 1.0, 0.1, "R", "F")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+                          " l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(k, k % 20) for k in range(290)] + [(7, 1)], "o_orderkey long, o_custkey long"
+                          ).write.parquet(str(tmp_path / "orders.parquet"))
+    # once as small beside what a task takes, once as large
+    monkeypatch.setattr(sample, "TASK_ROWS", 1000, raising=False)
+    small = catalogue.QUERIES[name](spark, str(tmp_path))
+    monkeypatch.setattr(sample, "TASK_ROWS", 20, raising=False)
+    large = catalogue.QUERIES[name](spark, str(tmp_path))
+    held = [len(rows) for rows in large.rdd.glom().collect()]
+    assert len(held) == -(-902 // 20) and max(held) < 60
+    rows = sorted(map(str, large.collect()))
+    assert rows == sorted(map(str, small.collect()))
+    # every ended event of an order once; order 7 is there twice
+    ended = [k for k, *_, flag, status in lines if k is not None and k < 290 and not (flag == "N" and status == "F")]
+    assert len(rows) == len(ended) + ended.count(7)
+
+
 def test_lifecycle_violations(spark):
     day = datetime(2024, 1, 1)
     path = ["ORDER_PLACED", "ORDER_CONFIRMED", "PICKED_UP", "IN_TRANSIT", "OUT_FOR_DELIVERY", "FAILED_ATTEMPT",
