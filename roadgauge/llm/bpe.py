@@ -26,6 +26,8 @@ WINDOW_STEPS = (1, 2, 4, 8)
 CHUNK_BITS = 7
 MOST_CHUNKS = 40_000
 MOST_WORDS = 500_000
+#: Parts of one generation of the memo of encode_parts: both hold some 75 MB, whatever a worker has read.
+MOST_PARTS = 200_000
 #: New words of texts of so many characters together are encoded in one call.
 LEARN_CHARACTERS = 400_000
 
@@ -86,8 +88,8 @@ class WordIds(dict):
         self[word] = ids
         return ids
 
-    def trim(self) -> None:
-        if len(self) > MOST_WORDS:
+    def trim(self, most: int) -> None:
+        if len(self) > most:
             self.old = dict(self)
             self.clear()
             self[""] = b""
@@ -171,7 +173,7 @@ class ChunkEncoder:
         if new:
             self._learn(new)
         made = [b"".join(map(words.__getitem__, parts)) for parts in lists]
-        words.trim()
+        words.trim(MOST_PARTS)
         return made
 
     def _parts(self, text: str) -> tuple[list[bytes], list[tuple]]:
@@ -222,7 +224,7 @@ class ChunkEncoder:
                 out[place] = b"".join(map(ids_of, inner))
                 if chunk is not None:
                     self.chunks[chunk] = (chunk[:chunk.find(" ")], out[place], chunk[chunk.rfind(" ") + 1:])
-        self.words.trim()
+        self.words.trim(MOST_WORDS)
         if len(self.chunks) > MOST_CHUNKS:
             self.chunks.clear()
         return [b"".join(out) for out, _ in pending]

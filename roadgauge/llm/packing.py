@@ -23,7 +23,8 @@ from roadgauge.llm import bpe, common
 CAPACITY = 4096
 END_ID = 2
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-ROWS_OUT = 20_000
+#: Pieces, and bytes of their ids, at which an output batch leaves the task.
+ROWS_OUT, BYTES_OUT = 20_000, 2 << 20
 
 
 def powers(length: int) -> list[int]:
@@ -116,21 +117,28 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        own, packer, rows = bpe.encoder(path), Packer(TaskContext.get().partitionId(), capacity), []
-        for batch in batches:
-            encoded = own.encode_parts([text or "" for text in batch.column("text").to_pylist()])
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
-                rows += packer.add(doc_id, ids + end)
-                if len(rows) >= ROWS_OUT:
-                    yield to_batch(rows)
-                    rows = []
-        rows += packer.finish()
-        if rows:
-            yield to_batch(rows)
+        return packed(batches, bpe.encoder(path), Packer(TaskContext.get().partitionId(), capacity), end)
 
     return common.id_and_text(docs).mapInArrow(run, SCHEMA)
 
 
+def packed(batches: Iterator[pa.RecordBatch], own: bpe.ChunkEncoder, packer: Packer, end: bytes) -> Iterator[pa.RecordBatch]:
+    """Pieces of all documents of a task, in batches bounded by rows and by bytes of ids."""
+    rows, held = [], 0
+    for batch in batches:
+        encoded = own.encode_parts([text or "" for text in batch.column("text").to_pylist()])
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+            made = packer.add(doc_id, ids + end)
+            rows += made
+            held += sum(len(row[3]) for row in made)
+            if len(rows) >= ROWS_OUT or held >= BYTES_OUT:
+                yield to_batch(rows)
+                rows, held = [], 0
+    rows += packer.finish()
+    if rows:
+        yield to_batch(rows)
+
+
 def to_batch(rows: list[tuple]) -> pa.RecordBatch:
     doc_id, start, length, ids, total, sequence, offset = zip(*rows)
     long = lambda values: pa.array(np.array(values, np.int64))

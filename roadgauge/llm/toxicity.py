@@ -255,18 +255,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(stems, weights, bias)
 
 
+def counted(texts: list[str | None], own: StemIndex) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of each stem, and the number of words, of each text. One text's words are held at a time."""
+    counts, sizes = [], []
+    for text in texts:
+        words = words_of(text or "")
+        counts.append(own.counts(words))
+        sizes.append(len(words))
+    return np.array(counts, float).reshape(len(sizes), own.none), np.array(sizes)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and predicted of every row. A null or empty text has no words and scores as such."""
     state: dict[str, StemIndex] = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = state.setdefault("own", StemIndex(model.stems))
-        counts, sizes = [], []
-        for text in batch.column("text").to_pylist():
-            words = words_of(text or "")
-            counts.append(own.counts(words))
-            sizes.append(len(words))
-        found = model.score(np.array(counts, float).reshape(len(sizes), own.none), np.array(sizes))
+        found = model.score(*counted(batch.column("text").to_pylist(), state.setdefault("own", StemIndex(model.stems))))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found), pa.array((found >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return common.map_batches(common.id_and_text(docs), run, "doc_id long, score double, predicted int")
@@ -277,9 +281,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     state: dict[str, StemIndex] = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = state.setdefault("own", StemIndex(model.stems))
-        words = [words_of(text or "") for text in batch.column("text").to_pylist()]
-        found = model.score(np.array([own.counts(x) for x in words], float).reshape(len(words), own.none), np.array([len(x) for x in words]))
+        found = model.score(*counted(batch.column("text").to_pylist(), state.setdefault("own", StemIndex(model.stems))))
         empty = batch.column("text").is_null().to_numpy(zero_copy_only=False)
         return batch.filter(pa.array((found < 0.5) | empty))
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,6 +273,27 @@ def test_other_tokenizer_files_are_refused():
         bpe.ChunkEncoder(queries.tokenizer_path("byte_bpe_50k.json"))
 
 
+def test_the_memo_of_parts_is_bounded_and_forgets_no_id(monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_PARTS", 3000)
+    monkeypatch.setattr(bpe, "LEARN_CHARACTERS", 5000)
+    own = bpe.ChunkEncoder(WORD_BPE)
+    texts = [" ".join(f"{'abcdefghij'[(i + j) % 10]}w{(i * 37 + j * 101) % 9000}" for j in range(100)) for i in range(300)]
+    want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert own.encode_parts(texts) == want
+    # a generation may exceed its bound by the parts of one call
+    assert own.words.old and max(len(own.words), len(own.words.old)) < 3000 + 2000
+
+
+def test_packed_batches_are_bounded_by_bytes():
+    """Few long pieces leave in as small batches as many short ones."""
+    own, text = bpe.ChunkEncoder(WORD_BPE), "the word and a " * 1500
+    n = len(own.encode_parts([text])[0]) // 4 + 1
+    batches = (pa.RecordBatch.from_pydict({"doc_id": list(range(i, i + 50)), "text": [text] * 50}) for i in range(0, 400, 50))
+    made = list(packing.packed(batches, own, packing.Packer(0), struct.pack("<I", 2)))
+    assert sum(sum(b.column("length").to_pylist()) for b in made) == 400 * n
+    assert len(made) > 2 and max(b.nbytes for b in made) < 3 * packing.BYTES_OUT < 4 * 400 * n
+
+
 def test_harmonic_classes():
     """A full bin holds k whole remainders of class k, its slack is smaller than they are, and few documents are cut."""
     rng = np.random.default_rng(4)

@@ -3,6 +3,7 @@
 import hashlib
 
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -103,6 +104,17 @@ def test_label_model_finds_accuracies():
     assert ((posterior > 0.5) == truth).mean() > 0.93
 
 
+def test_toxicity_holds_the_words_of_one_text():
+    own, texts = toxicity.StemIndex(["awf", "bad$"]), ["an awful text and a bad word in it " * 500] * 200 + [None, ""]
+    tracemalloc.start()
+    counts, sizes = toxicity.counted(texts, own)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == [[500, 500]] * 200 + [[0, 0]] * 2 and sizes.tolist() == [4500] * 200 + [0, 0]
+    # the words of all texts together take 50 MB and more
+    assert most < 4_000_000
+
+
 def test_toxicity_odd_input(spark, docs_of, awkward):
     none = spark.createDataFrame([], "doc_id long, toxic int, extra string")
     docs = docs_of(awkward)
