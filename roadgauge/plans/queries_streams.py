@@ -400,7 +400,7 @@ def j9_nearest(spark, folder):
         (select max(event_timestamp) from gps)) - interval 1 hour""", "nearest_pings"))
 def j9_stream(spark, folder):
     """Two streams of several batches, up to an hour before the end, when all is closed. Repeated pings change nothing: ids are compared."""
-    pings = quality.latest_gps(sample.gps(spark, folder))
+    pings = stage(quality.latest_gps(sample.gps(spark, folder)), "j9-latest")
     made = joins.nearest_pings(delivery_slices(spark, folder, "j9-deliveries"), in_slices(spark, pings, "j9-gps"))
     rows = finished(spark, made.withColumn("event_date", C.event_date("event_timestamp")), "j9")
     ends = [F.lit(df.agg(F.max("event_timestamp")).first()[0]) for df in (sample.deliveries(spark, folder), pings)]

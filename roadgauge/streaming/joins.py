@@ -63,24 +63,34 @@ def _carried(deliveries: DataFrame, gps: DataFrame, seconds: int) -> DataFrame:
 
 
 def _joined_streams(deliveries: DataFrame, gps: DataFrame, seconds: int) -> DataFrame:
-    """Streams: a join by vehicle, cell and range, as long as the range, so that an event is compared with the pings around it only.
+    """Streams: events and pings are gathered by vehicle and cell, twice as long as the range, and the two lists of a cell are joined.
 
-    Both sides carry a watermark, and the range condition bounds how long rows are kept; an event without ping comes out once its time has
-    passed. The pings of an event are reduced by a second aggregation, whose groups close with the event's own time.
+    State holds one row per vehicle and cell of each side and none per event. Both sides carry a watermark on the start of the cell, late enough
+    to take every row that one on the row's own time takes. The lists of a cell come out together once its time has passed, an event without
+    ping with them, and there each event is compared with the pings of its cell only.
     """
-    # a literal, which the range condition of a stream needs
-    span, length = F.expr(f"interval {seconds} seconds"), 2 * seconds
-    left = deliveries.withWatermark("event_timestamp", DELIVERY.watermark).select(
-        *EVENT, _cell(F.unix_micros("event_timestamp"), length).alias("_cell"))
-    right = gps.withWatermark("event_timestamp", VEHICLE_WATERMARK).select(
-        F.col("vehicle_id").alias("_vehicle"), F.col("event_timestamp").alias("_at"), *PING,
-        F.explode(_cells(F.unix_micros("event_timestamp"), seconds, length)).alias("_ping_cell"))
-    joined = left.join(
-        right,
-        (F.col("vehicle_id") == F.col("_vehicle")) & (F.col("_cell") == F.col("_ping_cell"))
-        & (F.col("_at") >= F.col("event_timestamp") - span) & (F.col("_at") <= F.col("event_timestamp") + span), "left_outer")
-    # as a number the ping's time is no second event time
-    pinged = joined.withColumn("_micros", F.unix_micros("_at")).drop("_at", "_vehicle", "_cell", "_ping_cell")
-    gap = F.abs(F.unix_micros("event_timestamp") - F.col("_micros"))
-    return pinged.groupBy(*EVENT).agg(
-        F.min(F.when(F.col("_micros").isNotNull(), F.struct(gap.alias("gap"), "_micros", *PING))).alias("ping"))
+    length, micros = 2 * seconds, F.unix_micros("event_timestamp")
+
+    def start(cell: Column) -> Column:
+        return F.timestamp_micros(cell * F.lit(length * 1_000_000))
+
+    # times up to a cell after its start count for an event, and half a cell more to either side for a ping
+    events = deliveries.select(*EVENT, start(_cell(micros, length)).alias("_cell")).withWatermark(
+        "_cell", f"{DELIVERY.watermark} {length} seconds")
+    known = gps.where("vehicle_id is not null and event_timestamp is not null").select(
+        F.col("vehicle_id").alias("_vehicle"), F.struct(micros.alias("_micros"), *PING).alias("_ping"),
+        F.explode(_cells(micros, seconds, length)).alias("_place"))
+    pings = known.withColumn("_ping_cell", start(F.col("_place"))).withWatermark("_ping_cell", f"{VEHICLE_WATERMARK} {2 * length} seconds")
+    left = events.groupBy("vehicle_id", "_cell").agg(F.collect_set(F.struct("delivery_id", "event_type", "event_timestamp")).alias("_events"))
+    right = pings.groupBy("_vehicle", "_ping_cell").agg(F.collect_list("_ping").alias("_pings"))
+    met = left.join(right, (F.col("vehicle_id") == F.col("_vehicle")) & (F.col("_cell") == F.col("_ping_cell")), "left_outer")
+    pinged = met.select("vehicle_id", "_pings", F.explode("_events").alias("_event")).select("vehicle_id", "_pings", "_event.*")
+
+    def gap(ping: Column) -> Column:
+        return F.abs(micros - ping["_micros"])
+
+    # the least gap first, so that few pings are compared as a whole
+    least = pinged.withColumn("gap", F.array_min(F.transform("_pings", gap)))
+    nearest = F.array_min(F.filter("_pings", lambda ping: gap(ping) == F.col("gap")))
+    found = least.withColumn("_ping", F.when(F.col("gap") <= seconds * 1_000_000, nearest))
+    return found.select(*EVENT, F.when(F.col("_ping").isNotNull(), F.struct("gap", "_ping.*")).alias("ping"))

@@ -172,3 +172,23 @@ def test_nearest_pings_meet_no_whole_vehicle(spark):
     assert "Join" not in plan(tables)
     keys = next(line for line in plan(streams).splitlines() if "Join" in line)
     assert "_cell" in keys.split("]")[0]
+
+
+def test_nearest_pings_of_a_stream_keep_a_row_of_state_per_vehicle_and_cell(spark, tmp_path):
+    rng = random.Random(3)
+    event = "delivery_id string, event_type string, vehicle_id string, event_timestamp timestamp"
+    events = [(f"D{i}", "DELIVERED", f"V{i % 3}", at(rng.uniform(0, 28))) for i in range(300)]
+    pings = [ping(i, rng.uniform(0, 28), f"V{i % 2}") for i in range(80)]
+    # the second batches repeat rows and bring some that are late by less than the delay
+    far = [("F", "DELIVERED", "V1", at(300))], [ping(900, 300)]
+    left = stream(spark, tmp_path / "d", event, events[:200], events[200:] + events[:20] + [("N", "DELIVERED", None, at(27.5))], far[0])
+    right = stream(spark, tmp_path / "p", PING, pings[:50], pings[50:] + pings[:5], far[1])
+    out = str(tmp_path / "out")
+    made = joins.nearest_pings(left, right).withColumn("event_date", C.event_date("event_timestamp"))
+    query = sinks.to_parquet(made, out, str(tmp_path / "cp"))
+    query.awaitTermination()
+    columns = ["delivery_id", "vehicle_id", "event_timestamp", "event_id", "gap_seconds"]
+    tables = joins.nearest_pings(spark.createDataFrame(events + [("N", "DELIVERED", None, at(27.5))], event), spark.createDataFrame(pings, PING))
+    assert sorted(map(str, spark.read.parquet(out).select(columns).collect())) == sorted(map(str, tables.select(columns).collect()))
+    # three vehicles and the null one in three cells, pings of two in two cells more: before, a row per event and ping
+    assert max(operator.numRowsUpdated for p in query.recentProgress for operator in p.stateOperators) <= 24
