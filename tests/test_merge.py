@@ -1,5 +1,6 @@
 import json
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -274,6 +275,65 @@ def test_a_table_without_index_gets_one(spark, tmp_path):
     assert rows(versioned.read(spark, root), "id", "event_date") == [(1, "2024-01-03")]
 
 
+def test_merge_in_slices_of_keys_is_the_merge_at_once(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    batches = [[(rng.choice([None, *range(40)]), rng.randrange(6), rng.choice("abc")) for _ in range(50)] for _ in range(3)]
+    once, sliced = str(tmp_path / "once"), str(tmp_path / "sliced")
+    counts, write = [], versioned.tables.write_partitions
+    monkeypatch.setattr(versioned.tables, "write_partitions", lambda df, path, *a, **b: counts.append(path) or write(df, path, *a, **b))
+    for root, most in ((once, 10**6), (sliced, 20)):
+        monkeypatch.setattr(versioned, "SLICE_ROWS", most)
+        for number, batch in enumerate(batches):
+            versioned.merge_into(spark, root, events(spark, *batch), ["id"], only_newer=number == 2, loaded_at=day(number))
+    columns = ("id", "event_timestamp", "event_date", "v", "loaded_at")
+    assert rows(versioned.read(spark, sliced), *columns) == rows(versioned.read(spark, once), *columns)
+    # three slices of 50 rows at first, then as many as are allowed
+    assert sum(sliced in path for path in counts) == 3 + 4 + 4 and sum(once in path for path in counts) == 3
+    assert not list((tmp_path / "sliced" / "_merging").iterdir())
+
+
+def test_unfinished_slices_are_removed_later(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    with monkeypatch.context() as broken:
+        broken.setattr(versioned, "_move_dates", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            versioned.merge_into(spark, root, events(spark, (1, 0, "lost")), ["id"])
+    assert versioned.read(spark, root) is None and len(list((tmp_path / "_merging").iterdir())) == 1
+    versioned.merge_into(spark, root, events(spark, (1, 0, "a")), ["id"])
+    versioned.remove_unnamed(spark, root)
+    assert rows(versioned.read(spark, root), "id", "v") == [(1, "a")] and not list((tmp_path / "_merging").iterdir())
+
+
+def test_merge_leaves_no_shuffle_files(spark, tmp_path):
+    """Only those of its small aggregates stay until the driver collects its garbage."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f.getName(): f.length() for f in (files.getAllFiles().apply(i) for i in range(files.getAllFiles().size())) if "shuffle" in f.getName()}
+    rng = random.Random(9)
+    made = spark.createDataFrame([(i, day(i % 5), day(i % 5).date().isoformat(), str(rng.random())) for i in range(20000)], EVENT)
+    before = set(held())
+    for _ in range(2):
+        versioned.merge_into(spark, str(tmp_path), made, ["id"])
+    until = time.time() + 20
+    while (left := sum(size for name, size in held().items() if name not in before)) > 50_000 and time.time() < until:
+        time.sleep(0.5)
+    assert left <= 50_000
+
+
+@pytest.mark.parametrize("few", [2, 1000])
+def test_index_takes_what_is_new_and_tells_the_dates_of_its_keys(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(key_dates, "FEW_KEYS", few)
+    rng, known = random.Random(6), set()
+    index = key_dates.KeyDates(spark, str(tmp_path), buckets=8)
+    for _ in range(4):
+        batch = [(rng.choice([None, *range(30)]), rng.randrange(9), "v") for _ in range(25)]
+        source = events(spark, *batch)
+        pairs = {(r.key, r.event_date) for r in source.select(key_dates.key_of(["id"]).alias("key"), "event_date").collect()}
+        dates = index.touch(source, ["id"])
+        assert set(dates) == {d for k, d in known if k in {k for k, _ in pairs}} and len(dates) == len(set(dates))
+        known |= pairs
+        assert sorted(map(tuple, index.table().collect())) == sorted(known)
+
+
 def test_stored_row_that_is_later_stays(spark):
     target = spark.createDataFrame([(1, day(5), "late", None), (2, day(1), "old", "x")], "id int, ts timestamp, v string, w string")
     source = spark.createDataFrame([(1, day(3), "stale", "w"), (2, day(1), "same", None), (3, None, "new", "n")], target.schema)
@@ -355,6 +415,22 @@ def test_offsets_are_published_with_their_rows(spark, tmp_path, monkeypatch):
     assert rows(versioned.read(spark, target), "event_id", "speed_mph") == [("1", 9.0), ("2", 2.0)]
 
 
+def test_arrived_rows_are_not_stored_a_second_time(spark, tmp_path, monkeypatch):
+    from roadgauge.plans import incremental
+
+    monkeypatch.setattr(incremental, "stage", lambda *a: pytest.fail("writes the arrived rows"))
+    monkeypatch.setattr(key_dates, "stage", lambda *a: pytest.fail("writes the keys"))
+    monkeypatch.setattr(key_dates, "FEW_KEYS", 1)
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    feed = incremental.Feed("moving", ("event_id",), incremental._derive_gps)
+    land(spark, source, ("a", day(0), 1.0, day(0)), ("b", day(1), 1.0, day(1)))
+    incremental.run_feed(spark, feed, source, target, day(1))
+    land(spark, source, ("a", day(3), 2.0, day(3)), ("c", day(1), 1.0, day(1)))
+    metrics = incremental.run_feed(spark, feed, source, target, day(4))
+    assert rows(versioned.read(spark, target), "event_id", "event_date") == [("a", "2024-01-04"), ("b", "2024-01-02"), ("c", "2024-01-02")]
+    assert metrics["moving_records_processed"] == 4
+
+
 def test_bounded_start_is_explicit(spark, tmp_path):
     from roadgauge.plans import incremental
 
