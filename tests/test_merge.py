@@ -431,6 +431,27 @@ def test_arrived_rows_are_not_stored_a_second_time(spark, tmp_path, monkeypatch)
     assert metrics["moving_records_processed"] == 4
 
 
+def test_landing_and_merging_shuffle_rows_once_at_most(spark, tmp_path):
+    """Landing shuffles nothing; a later merge shuffles stored rows, new rows and new keys once each, besides four small aggregates."""
+    from roadgauge.plans import incremental, queries_history
+
+    number = lambda: spark._jsc.sc().newShuffleId()
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    made = spark.range(4000).selectExpr(
+        "concat('D', id) as delivery_id", "'DELIVERED' as event_type", "cast(id % 9 as int) as delay_minutes",
+        "timestamp'2024-01-01 00:00:00' + make_dt_interval(cast(id % 5 as int)) as event_timestamp",
+        "cast(date'2024-01-01' + cast(id % 5 as int) as string) as event_date")
+    first = number()
+    queries_history.arrive(made.where("delay_minutes < 3"), source)
+    queries_history.arrive(made.where("delay_minutes >= 3"), source)
+    assert number() == first + 1
+    for at in (10, 11):
+        before = number()
+        incremental.run_feed(spark, incremental.DELIVERIES, source, target, day(at))
+    assert number() - before - 1 <= 7
+    assert rows(versioned.read(spark, target), "delivery_id", "event_date") == rows(made, "delivery_id", "event_date")
+
+
 def test_bounded_start_is_explicit(spark, tmp_path):
     from roadgauge.plans import incremental
 
